@@ -84,3 +84,17 @@ def size_limit(text: str) -> int:
     if not m:
         raise ValueError(f"not a size: {text!r}")
     return int(m[1]) << {"": 0, "k": 10, "m": 20, "g": 30}[m[2]]
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, limit: int, *, where=None, seed: int = 17) -> list:
+    """At most ``limit`` labelled rows (doc_id, text, label), always the same for the
+    same tables: those whose hashed id comes first.  A document labelled twice
+    takes its smallest label; a null label or id is no label.  Only ``limit`` ids
+    are broadcast and only ``limit`` rows reach the driver."""
+    picked = labels.select(F.col("doc_id").alias("i"), F.col(label).cast("int").alias("y")).where("i is not null and y is not null")
+    if where is not None:
+        picked = picked.where(where("i"))
+    picked = picked.groupBy("i").agg(F.min("y").alias("y"), F.xxhash64("i", F.lit(seed)).alias("h")).orderBy("h", "i").limit(limit)
+    rows = docs.select(F.col("doc_id").alias("d"), F.coalesce(F.col("text"), F.lit("")).alias("t")).join(F.broadcast(picked), F.col("d") == F.col("i"))
+    got = {r["d"]: r for r in sorted(rows.select("d", "h", "t", "y").collect(), key=lambda r: (r["h"], r["d"], r["t"]), reverse=True)}
+    return sorted(((r["d"], r["t"], int(r["y"])) for r in got.values()), key=lambda r: r[0])[:limit]

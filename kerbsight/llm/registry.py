@@ -3,9 +3,15 @@
 from __future__ import annotations
 
 from .decontaminate import op2_decontamination
+from .quality import op1_quality_rules
+from .url_filter import OP5_SQL, op5_url_filter
 
-QUERIES = {"op2_decontamination": op2_decontamination}
-ORACLES: dict[str, str] = {}
+QUERIES = {
+    "op1_quality_rules": op1_quality_rules,
+    "op2_decontamination": op2_decontamination,
+    "op5_url_filter": op5_url_filter,
+}
+ORACLES: dict[str, str] = {"op5_url_filter": OP5_SQL}
 
 
 def queries() -> dict:

@@ -3,13 +3,19 @@
 from __future__ import annotations
 
 from .decontaminate import op2_decontamination
+from .html_extract import op8_html_extract
+from .pieces import op6_sentencepiece
 from .quality import op1_quality_rules
+from .quality_classifier import op4_quality_classifier
 from .url_filter import OP5_SQL, op5_url_filter
 
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_decontamination": op2_decontamination,
+    "op4_quality_classifier": op4_quality_classifier,
     "op5_url_filter": op5_url_filter,
+    "op6_sentencepiece": op6_sentencepiece,
+    "op8_html_extract": op8_html_extract,
 }
 ORACLES: dict[str, str] = {"op5_url_filter": OP5_SQL}
 

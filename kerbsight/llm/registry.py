@@ -7,6 +7,7 @@ from .html_extract import op8_html_extract
 from .pieces import op6_sentencepiece
 from .quality import op1_quality_rules
 from .quality_classifier import op4_quality_classifier
+from .toxicity import op10_toxicity
 from .url_filter import OP5_SQL, op5_url_filter
 
 QUERIES = {
@@ -16,6 +17,7 @@ QUERIES = {
     "op5_url_filter": op5_url_filter,
     "op6_sentencepiece": op6_sentencepiece,
     "op8_html_extract": op8_html_extract,
+    "op10_toxicity": op10_toxicity,
 }
 ORACLES: dict[str, str] = {"op5_url_filter": OP5_SQL}
 

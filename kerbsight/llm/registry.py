@@ -7,6 +7,7 @@ from .html_extract import op8_html_extract
 from .pieces import op6_sentencepiece
 from .quality import op1_quality_rules
 from .quality_classifier import op4_quality_classifier
+from .repeats import OP7_SQL, op7_substring_dedup
 from .toxicity import op10_toxicity
 from .url_filter import OP5_SQL, op5_url_filter
 
@@ -16,10 +17,14 @@ QUERIES = {
     "op4_quality_classifier": op4_quality_classifier,
     "op5_url_filter": op5_url_filter,
     "op6_sentencepiece": op6_sentencepiece,
+    "op7_substring_dedup": op7_substring_dedup,
     "op8_html_extract": op8_html_extract,
     "op10_toxicity": op10_toxicity,
 }
-ORACLES: dict[str, str] = {"op5_url_filter": OP5_SQL}
+ORACLES: dict[str, str] = {
+    "op5_url_filter": OP5_SQL,
+    "op7_substring_dedup": OP7_SQL,
+}
 
 
 def queries() -> dict:

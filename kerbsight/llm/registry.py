@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .decontaminate import op2_decontamination
 from .html_extract import op8_html_extract
+from .near_dedup import OP3_SQL, op3_near_dedup
 from .pieces import op6_sentencepiece
 from .quality import op1_quality_rules
 from .quality_classifier import op4_quality_classifier
@@ -14,6 +15,7 @@ from .url_filter import OP5_SQL, op5_url_filter
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_decontamination": op2_decontamination,
+    "op3_near_dedup": op3_near_dedup,
     "op4_quality_classifier": op4_quality_classifier,
     "op5_url_filter": op5_url_filter,
     "op6_sentencepiece": op6_sentencepiece,
@@ -22,6 +24,7 @@ QUERIES = {
     "op10_toxicity": op10_toxicity,
 }
 ORACLES: dict[str, str] = {
+    "op3_near_dedup": OP3_SQL,
     "op5_url_filter": OP5_SQL,
     "op7_substring_dedup": OP7_SQL,
 }

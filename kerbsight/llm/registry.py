@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .decontaminate import op2_decontamination
 from .html_extract import op8_html_extract
+from .language_model import op9_lm_score
 from .near_dedup import OP3_SQL, op3_near_dedup
 from .pieces import op6_sentencepiece
 from .quality import op1_quality_rules
@@ -21,6 +22,7 @@ QUERIES = {
     "op6_sentencepiece": op6_sentencepiece,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_html_extract": op8_html_extract,
+    "op9_lm_score": op9_lm_score,
     "op10_toxicity": op10_toxicity,
 }
 ORACLES: dict[str, str] = {

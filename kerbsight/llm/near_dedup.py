@@ -188,13 +188,14 @@ def _links(docs: DataFrame, sk: DataFrame, key: str, text: str, shingle: int, pe
     """(node, root) of the components of nodes that are linked."""
     sets = sk.where("n > 0")
     band = sets.select("s", "reg").mapInArrow(_band_rows(rows), "key bigint, s bigint")
-    bucket = band.groupBy("key").agg(F.min("s").alias("hub"), F.max("s").alias("top")).where("hub < top").select("key", "hub")
-    # Buckets of two nodes or more
+    # Buckets of two nodes or more.  Stored, as every aggregate that a hot key is joined
+    # with: adaptive execution splits a join only if both sides are plain exchanges.
+    bucket = base.cut(band.groupBy("key").agg(F.min("s").alias("hub"), F.max("s").alias("top")).where("hub < top").select("key", "hub"))
     met = base.cut(band.join(bucket, "key").select("key", "s", "hub").distinct())
     nodes = met.select("s").distinct()
-    # One row a node, with the registers and the row key of one of its texts
-    one = sets.join(nodes, "s", "left_semi").groupBy("s").agg(F.min(F.struct("k", "n", "reg")).alias("x")).select("s", "x.*")
-    one = base.cut(one)
+    # One row a node, with the registers and the row key of one of its texts: copies
+    # are combined before the exchange
+    one = base.cut(sets.groupBy("s").agg(F.min(F.struct("k", "n", "reg")).alias("x")).select("s", "x.*").join(nodes, "s", "left_semi"))
     texts = docs.select(F.xxhash64(key, text).alias("k"), F.col(text).cast("string").alias("text"))
     codes = texts.join(one.select("k", "s"), "k").select("s", "text").mapInArrow(_codes(shingle), "s bigint, codes binary")
     codes = base.cut(codes.groupBy("s").agg(F.min("codes").alias("codes")))
@@ -209,10 +210,9 @@ def _links(docs: DataFrame, sk: DataFrame, key: str, text: str, shingle: int, pe
 
     # Buckets whose members are in different components
     rooted = met.select("key", "s").join(comp.withColumnRenamed("node", "s"), "s", "left").select("key", "s", F.coalesce("root", "s").alias("root"))
-    open_ = rooted.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x < y").select("key")
-    rooted = base.cut(rooted.join(open_, "key"))
     sides = rooted.groupBy("key", "root").agg(F.count("*").alias("c"))
-    major = sides.groupBy("key").agg(F.max(F.struct("c", "root")).alias("m"), F.sum("c").alias("all")).select("key", F.col("m.root").alias("major"), F.col("m.c").alias("c"), "all")
+    major = sides.groupBy("key").agg(F.max(F.struct("c", "root")).alias("m"), F.sum("c").alias("all"), F.count("*").alias("roots")).where("roots > 1")
+    major = base.cut(major.select("key", F.col("m.root").alias("major"), F.col("m.c").alias("c"), "all"))
     tagged = rooted.join(major, "key").select("key", "s", "root", (F.col("root") != F.col("major")).alias("minor"), "c", (F.col("all") - F.col("c")).alias("m"))
     # Parts: the major side in blocks 0, 1, ... and the minor side in blocks behind those;
     # a minor member goes to every part, at home in one.
@@ -240,13 +240,13 @@ def _codes(shingle: int):
 
 
 def group(docs: DataFrame, *, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE, percent: int = PERCENT, rows: int = ROWS, block: int = BLOCK) -> DataFrame:
-    """(doc_id, k, n_shingles, component_id, twins) for each row: the smallest id
-    reachable over links, and how many rows of the same set have this row's id."""
+    """(doc_id, k, n_shingles, component_id) for each row: its key, the size of its set
+    and the smallest id reachable over links."""
     sk = base.cut(sketches(docs, key=key, text=text, shingle=shingle))
     comp = _links(docs, sk, key, text, shingle, percent, rows, block)
     node = sk.where("n > 0").groupBy("s").agg(F.min("doc_id").alias("least"))
     root = node.join(comp.withColumnRenamed("node", "s"), "s", "left").select("s", "least", F.coalesce("root", "s").alias("root"))
-    best = root.groupBy("root").agg(F.min("least").alias("component_id"))
+    best = base.cut(root.groupBy("root").agg(F.min("least").alias("component_id")))
     named = root.join(best, "root").select("s", "component_id")
     full = sk.select("doc_id", "k", "n", "s").join(named, "s", "left")
     return full.select("doc_id", "k", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))

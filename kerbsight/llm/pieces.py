@@ -33,7 +33,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, BooleanType, IntegerType, StringType, StructField, StructType
 
 from . import base
 from .textbatch import _STEP, _STEP_INV, _powers, mix
@@ -41,7 +41,7 @@ from .textbatch import _STEP, _STEP_INV, _powers, mix
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 THETA = 1.0
 SEED = 1
-SLICE = 1 << 19
+SLICE = 1 << 18
 SPACE = 0x2581
 #: Stands for a literal U+2581, outside Unicode's range.
 LITERAL = 0x110000 + SPACE
@@ -85,9 +85,38 @@ class Vocabulary:
         self.hash, self.id = hashes[order], ids[order]
         self.weight = np.array([weight[i] for i in self.id.tolist()])
         assert len(np.unique(self.hash)) == len(ids)
-        #: The last entry stands for no piece.
+        self._place()
         self.fallback = (-theta * np.log(2.0 + n)) if ranked else min(weight.values()) - 10.0 * theta
 
+    def _place(self) -> None:
+        """Two direct-mapped tables from hash bits to pieces; what meets in the
+        first goes to the second."""
+        self.bits = max(16, int(len(self.hash)).bit_length() + 4)
+        while True:
+            mask = _U((1 << self.bits) - 1)
+            first = np.full(1 << self.bits, -1, np.int32)
+            order = np.arange(len(self.hash), dtype=np.int32)
+            first[self.hash & mask] = order
+            lost = order[first[self.hash & mask] != order]
+            second = np.full(1 << self.bits, -1, np.int32)
+            at = (self.hash[lost] >> _U(32)) & mask
+            second[at] = lost
+            if len(np.unique(at)) == len(lost):
+                self.mask, self.first, self.second = mask, first, second
+                return
+            self.bits += 1
+
+    def find(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which hashes are pieces, and their rows."""
+        k = self.first[h & self.mask]
+        ok = (k >= 0) & (self.hash[k] == h)
+        at = np.flatnonzero(~ok)
+        k2 = self.second[(h[at] >> _U(32)) & self.mask]
+        more = (k2 >= 0) & (self.hash[k2] == h[at])
+        ok[at[more]], k[at[more]] = True, k2[more]
+        at = np.flatnonzero(ok)
+        return at, k[at]
+
     def decode(self, ids) -> str:
         data = b"".join(map(self.bytes.__getitem__, ids))
         return data[1:].decode("utf-8", "replace")
@@ -144,19 +173,22 @@ class Encoder:
         rank[order] = np.arange(len(order))
         which, first = rank[which], first[order]
         usize = size[first]
-        ustart = np.concatenate(([0], np.cumsum(usize)))
-        flat = np.repeat(start[first] - ustart[:-1], usize) + np.arange(ustart[-1])
-        arc, cdf = self._filter(points[flat], code[flat], ustart, usize)
+        # Places side by side: all first points, then all second points, ...
+        alive = np.searchsorted(-usize, -np.arange(int(usize[0])), "left")
+        block = np.concatenate(([0], np.cumsum(alive)))
+        step = np.repeat(np.arange(len(alive)), alive)
+        at = start[first][np.arange(block[-1]) - block[step]] + step
+        arc, cdf = self._filter(points, total, at, step, block)
         # Backward sampling: all occurrences step from the end of their unit to its start.
         chosen = np.full(n, -1, np.int64)
         occ, pos = np.arange(len(start)), size.copy()
         while len(occ):
-            at = ustart[which[occ]] + pos - 1  # the distinct unit's point that the arc ends with
             here = start[occ] + pos - 1
+            row = block[pos - 1] + which[occ]
             r = mix(key[here] + mix(place[here].astype(np.uint64) * _U(2) + _U(1)))
-            u = (r >> _U(11)).astype(np.float64) * 2.0**-53
-            length = np.minimum((cdf[at] <= u[:, None]).sum(1), cdf.shape[1] - 1)
-            chosen[here] = arc[at, length]
+            u = (r >> _U(40)).astype(np.float32) * np.float32(2.0**-24)
+            length = np.minimum((cdf[row] <= u[:, None]).sum(1), cdf.shape[1] - 1)
+            chosen[here] = arc[row, length]
             pos = pos - (length + 1)
             on = pos > 0
             occ, pos = occ[on], pos[on]
@@ -167,46 +199,45 @@ class Encoder:
             ids, end = self._spell(ids, end, points, spelled)
         return ids, end
 
-    def _filter(self, points, code, ustart, usize) -> tuple[np.ndarray, np.ndarray]:
-        """For each point the arc of every length that ends there (piece id) and
-        the cumulated probability of drawing it."""
-        v, n = self.v, len(points)
-        self._room(n + 1)
-        width = int(min(v.longest, usize.max()))
-        total = _prefix(code, self.pow)
-        inside = np.arange(n) - np.repeat(ustart[:-1], usize)
+    def _filter(self, points, total, at, step, block) -> tuple[np.ndarray, np.ndarray]:
+        """For each row (a place in a distinct unit) the arc of every length that
+        ends there (piece id) and the cumulated probability of drawing it.
+
+        total: prefix sums over the points; at: the point of each row; step: its
+        place in its unit; block: the first row of each place."""
+        v, n = self.v, len(at)
+        width = int(min(v.longest, len(block) - 1))
         arc = np.full((n, width), -1, np.int32)
-        weight = np.full((n, width), -np.inf)
+        weight = np.full((n, width), -np.inf, np.float32)
+        upto = total[at + 1]
         for length in range(1, width + 1):
-            end = np.flatnonzero(inside >= length - 1)
-            begin = end - (length - 1)
-            h = mix((total[end + 1] - total[begin]) * self.inv[begin] ^ _U(length))
-            k = np.minimum(np.searchsorted(v.hash, h), len(v.hash) - 1)
-            ok = v.hash[k] == h
-            arc[end[ok], length - 1] = v.id[k[ok]]
-            weight[end[ok], length - 1] = v.weight[k[ok]]
-        bare = arc[:, 0] < 0
+            low = block[length - 1]  # rows from here on have so many points before them
+            begin = at[low:] - (length - 1)
+            h = mix((upto[low:] - total[begin]) * self.inv[begin] ^ _U(length))
+            found, k = v.find(h)
+            arc[low + found, length - 1] = v.id[k]
+            weight[low + found, length - 1] = v.weight[k]
+        bare = np.flatnonzero(arc[:, 0] < 0)
         arc[bare, 0] = len(v.bytes)
-        weight[bare, 0] = v.fallback * _utf8_size(points[bare])
-        # alpha[i]: log weight of all paths from the unit's start to behind point i
+        weight[bare, 0] = v.fallback * _utf8_size(points[at[bare]])
+        # alpha: log weight of all paths from the unit's start to behind the row's point
         alpha = np.zeros(n)
-        cdf = np.ones((n, width))
-        back = np.arange(1, width + 1)
-        alive = np.searchsorted(-usize, -np.arange(int(usize.max())), "left")
-        for t, m in enumerate(alive.tolist()):
-            at = ustart[:m] + t
+        cdf = np.ones((n, width), np.float32)
+        for t in range(len(block) - 1):
+            a, b = block[t], block[t + 1]
             w = min(width, t + 1)
-            prior = alpha[(at[:, None] - back[:w]).clip(0)]
-            if w == t + 1:
-                prior[:, t] = 0.0
-            x = weight[at, :w] + prior
+            x = weight[a:b, :w].astype(np.float64)
+            for k in range(min(w, t)):
+                c = block[t - 1 - k]
+                x[:, k] += alpha[c : c + b - a]
             top = x.max(1, keepdims=True)
-            e = np.exp(x - top)
-            c = np.cumsum(e, 1)
-            alpha[at] = top[:, 0] + np.log(c[:, -1])
-            cdf[at, :w] = c / c[:, -1:]
-            cdf[at, w - 1] = 1.0
-        # Lengths without an arc have no mass; the last arc with mass takes rounding.
+            x -= top
+            np.exp(x, out=x)
+            np.cumsum(x, 1, out=x)
+            alpha[a:b] = top[:, 0] + np.log(x[:, -1])
+            x /= x[:, -1:]
+            cdf[a:b, :w] = x
+            # Rounding never draws an arc without mass: the last one with mass ends at 1.
         return arc, cdf
 
     def _spell(self, ids, end, points, spelled):
@@ -327,13 +358,29 @@ def decode(rows: DataFrame, *, pieces: str = "pieces", model: str = MODEL, out:
     return base.map_arrow(rows, run, StructType([StructField(out, StringType())]))
 
 
+def round_trip(docs: DataFrame, *, text: str = "text", key: str = "doc_id", model: str = MODEL, theta: float = THETA, seed: int = SEED, out: str = "pieces") -> DataFrame:
+    """As encode, with a column ``lossless``: decoding the pieces gives the text
+    again.  One pass, where encode and decode take two."""
+    held = _model(docs.sparkSession, model)
+    k = base.free_name(docs, "row_key")
+
+    def run(batch: pa.RecordBatch) -> dict[str, pa.Array]:
+        v = _vocabulary(held, theta)
+        texts = base.column(batch, text).to_pylist()
+        got = encode_all(Encoder(v, seed), texts, np.asarray(base.column(batch, k)).astype(np.int64).view(np.uint64))
+        same = [x is None if t is None else v.decode(x.tolist()) == t for t, x in zip(texts, got)]
+        return {out: pa.array(got, pa.list_(pa.int32())), "lossless": pa.array(same)}
+
+    added = StructType([StructField(out, ArrayType(IntegerType())), StructField("lossless", BooleanType())])
+    return base.map_arrow(docs.withColumn(k, F.xxhash64(F.col(key))), run, added, keep=docs.columns)
+
+
 def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = base.table(spark, sf_dir, "documents").select("doc_id", "text")
-    back = decode(encode(docs))
-    return back.select(
+    return round_trip(docs).select(
         "doc_id",
         F.length("text").cast("long").alias("n_chars"),
         F.size("pieces").cast("long").alias("n_pieces"),
         F.sha2(F.array_join("pieces", ",").cast("binary"), 256).alias("pieces_sha256"),
-        F.col("decoded").eqNullSafe(F.col("text")).alias("lossless"),
+        "lossless",
     )

@@ -30,6 +30,12 @@ def positive(**named: int) -> None:
             raise ValueError(f"{name} must be positive")
 
 
+def fence(rows: DataFrame) -> DataFrame:
+    """The same rows behind a generator: filters above are not rewritten into the
+    long expressions below, which would evaluate those many times over."""
+    return rows.select(F.inline(F.array(F.struct(*rows.columns))))
+
+
 def features(pages: DataFrame) -> DataFrame:
     """(page_no, pos, feature): the objects of each page's feature list, as JSON text.
     A page without such a list fails the job.  pages: (page_no, body)."""
@@ -75,12 +81,18 @@ def licenses(configuration: Column, landing: Column) -> Column:
 
 def items(rows: DataFrame, *, endpoint: str = schemas.ENDPOINT) -> DataFrame:
     """Typed items of features; those without a usable id or position go."""
-    parsed = rows.select(stac.parse_object(F.col("feature")).alias("f"), F.from_json("feature", "assets map<string,variant>").assets.alias("assets"))
+    parsed = fence(rows.select(stac.parse_object(F.col("feature")).alias("f"), F.from_json("feature", "assets map<string,variant>").assets.alias("assets")))
     empty = F.create_map().cast(stac.OBJECT)
-    props = parsed.select("f", "assets", F.coalesce(stac.as_object(stac.get(F.col("f"), "properties")), empty).alias("p"))
-    f, p = F.col("f"), F.col("p")
-    coords = stac.as_list(stac.get(stac.as_object(stac.get(f, "geometry")), "coordinates"))
-    self_link = stac.link_by_rel(stac.get(f, "links"), "self")
+    f, p, coords = F.col("f"), F.col("p"), F.col("coords")
+    props = fence(
+        parsed.select(
+            "f",
+            "assets",
+            F.coalesce(stac.as_object(stac.get(f, "properties")), empty).alias("p"),
+            stac.as_list(stac.get(stac.as_object(stac.get(f, "geometry")), "coordinates")).alias("coords"),
+            stac.link_by_rel(stac.get(f, "links"), "self").alias("self"),
+        )
+    )
     named = props.select(
         stac.text_of(stac.get(f, "id")).alias("source_id"),
         stac.coordinate(coords, 1).alias("latitude"),
@@ -91,9 +103,9 @@ def items(rows: DataFrame, *, endpoint: str = schemas.ENDPOINT) -> DataFrame:
         stac.heading(p).alias("heading_deg"),
         stac.field_of_view(p).alias("field_of_view_deg"),
         "p",
-        self_link.alias("self"),
+        "self",
     )
-    return named.select(
+    return fence(named).select(
         "source_id",
         "latitude",
         "longitude",

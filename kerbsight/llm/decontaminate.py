@@ -205,3 +205,24 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.concat_ws(",", "items").cast("binary"), 256).alias("items_sha256"),
         contaminated(F.col("n_hit"), F.col("n_words")).alias("contaminated"),
     )
+
+
+OP2_SQL = r"""
+with d as (
+  select row_number() over () as r, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+') as w from documents),
+b as (
+  select cast(item_id as varchar) as item,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+') as w from benchmark),
+iw as (
+  select distinct item, least(len(w), 13) as n, array_to_string(w[a : a + least(len(w), 13) - 1], ' ') as t
+  from (select item, w, unnest(range(1, greatest(len(w) - 12, 1) + 1)) as a from b where len(w) > 0)),
+lens as (select distinct n from iw),
+dw as (select r, a, n, array_to_string(w[a : a + n - 1], ' ') as t from (select r, w, n, unnest(range(1, len(w) - n + 2)) as a from d, lens where len(w) >= n)),
+hit as (select r, a, n, item from dw join iw using (n, t)),
+words as (select r, count(distinct p) as n_hit from (select r, unnest(range(a, a + n)) as p from hit) group by r),
+items as (select r, count(distinct item) as n_items, string_agg(distinct item, ',' order by item) as names from hit group by r)
+select doc_id, cast(len(w) as bigint) as n_words, cast(coalesce(n_hit, 0) as bigint) as n_hit, cast(coalesce(n_items, 0) as bigint) as n_items,
+  sha256(coalesce(names, '')) as items_sha256, coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= len(w) as contaminated
+from d left join words using (r) left join items using (r)
+"""

@@ -244,17 +244,23 @@ def _sum(keys: list[str]):
     return run
 
 
+RESULTS = ("n_tokens bigint", "n_known bigint", "train_tokens bigint", "base_score double", "score double")
+
+
 def score(docs: DataFrame, *, text: str = "text", train: str = "train", keys: tuple[str, ...] = ("doc_id",), discount: float = DISCOUNT, shards: int | None = None, block: int = BLOCK) -> DataFrame:
     """keys, n_tokens, n_known, train_tokens, base_score and score of every row;
-    the boolean column ``train`` says which rows the model learns from."""
+    the boolean column ``train`` says which rows the model learns from.  A key named
+    like a result gives way to it."""
     spark = docs.sparkSession
     shards = shards or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    names = list(keys)
-    rows = docs.select(*[F.col(k) for k in names], F.col(text).cast("string").alias("text"), F.col(train).alias("train"))
+    names = [f"key{i}" for i in range(len(keys))]
+    rows = docs.select(*[F.col(k).alias(n) for k, n in zip(keys, names)], F.col(text).cast("string").alias("text"), F.col(train).alias("train"))
     asked = rows.mapInArrow(_ask(names, shards, block), _REQUEST)
     served = asked.groupBy("shard").applyInArrow(_serve(discount), _ANSWER)
-    kinds = ", ".join(f"`{k}` {docs.schema[k].dataType.simpleString()}" for k in names)
-    return served.groupBy("block").applyInArrow(_sum(names), f"{kinds}, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double")
+    kinds = ", ".join(f"{n} {docs.schema[k].dataType.simpleString()}" for k, n in zip(keys, names))
+    done = served.groupBy("block").applyInArrow(_sum(names), f"{kinds}, {', '.join(RESULTS)}")
+    results = [r.split()[0] for r in RESULTS]
+    return done.select(*[F.col(n).alias(k) for k, n in zip(keys, names) if k not in results], *results)
 
 
 def op9_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .decontaminate import op2_decontamination
+from .decontaminate import OP2_SQL, op2_decontamination
 from .html_extract import op8_html_extract
 from .language_model import op9_lm_score
 from .near_dedup import OP3_SQL, op3_near_dedup
@@ -26,6 +26,7 @@ QUERIES = {
     "op10_toxicity": op10_toxicity,
 }
 ORACLES: dict[str, str] = {
+    "op2_decontamination": OP2_SQL,
     "op3_near_dedup": OP3_SQL,
     "op5_url_filter": OP5_SQL,
     "op7_substring_dedup": OP7_SQL,

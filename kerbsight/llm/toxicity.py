@@ -54,7 +54,6 @@ def char_rows(forms: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Hashed n-grams of each form: (rows of the character table, first index of each form)."""
     raw = b"".join(b"<" + f + b">" for f in forms)
     size = np.array([len(f) + 2 for f in forms], np.int64)
-    start = np.cumsum(size) - size
     code = _BYTE[np.frombuffer(raw, np.uint8)] if raw else np.zeros(0, np.uint64)
     owner = np.repeat(np.arange(len(forms)), size)
     rows, at = [], []
@@ -66,13 +65,12 @@ def char_rows(forms: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         for k in range(n):
             h += code[k : k + m] * _POW[k + 1]
         inside = np.flatnonzero(owner[:m] == owner[n - 1 :])
-        rows.append((mix(h[inside] + _U(n)) % _U(CHARS)).astype(np.int64))
+        rows.append((mix(h[inside] + _U(n)) % _U(CHARS)).astype(np.int32))
         at.append(owner[inside])
     if not rows:
         return np.zeros(0, np.int64), np.zeros(len(forms), np.int64)
     rows, at = np.concatenate(rows), np.concatenate(at)
     order = np.argsort(at, kind="stable")
-    del start
     return rows[order], np.searchsorted(at[order], np.arange(len(forms) + 1))
 
 
@@ -281,7 +279,7 @@ def fit_texts(texts: list[str], y: np.ndarray, *, epochs: int = 5, rate: float =
         trained[:] = True
     sets = []
     seen = {"word": np.zeros(WORDS, np.int64), "char": np.zeros(CHARS, np.int64)}
-    for i, j, data, off in groups(pa.array(texts, pa.string()), 2 << 20):
+    for i, j, data, off in groups(pa.array(texts, pa.string()), 1 << 19):
         w = words_of(data, off, lower=True)
         doc, begin, size = windows_of(w.first)
         label, use = y[i:j][doc], trained[i:j][doc]

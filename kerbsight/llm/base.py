@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import re
 import tempfile
 from collections.abc import Callable, Iterator
@@ -35,7 +36,17 @@ def shared_dir(spark: SparkSession) -> str:
 def cut(df: DataFrame) -> DataFrame:
     """The same rows, stored in the shared folder: later steps survive lost executors."""
     shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    out = df.checkpoint(eager=True)
+    release(df.sparkSession)
+    return out
+
+
+def release(spark: SparkSession) -> None:
+    """Lets Spark drop what finished steps have left: it deletes their shuffle files and
+    broadcasts once the driver's objects for them are collected, which long
+    iterative jobs cannot leave to chance."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
 
 
 def map_arrow(

@@ -2,9 +2,8 @@
 
 Links live in a DataFrame and stay there; each round costs a minimum per node
 and a join, and is stored in the shared folder so that lineage stays short.  The
-minimum is combined before the shuffle, and stored before the join with the links:
-only a join whose sides are both plain exchanges is split by adaptive execution,
-and so a node with very many links is no single task.
+minimum is combined before the shuffle.  Links are three numbers wide at most, so
+even those of a node with very many neighbours stream through a sorted join.
 """
 
 from __future__ import annotations
@@ -18,14 +17,14 @@ from . import base
 def _large_star(links: DataFrame) -> DataFrame:
     """Every larger neighbour of a node links to the node's smallest neighbour."""
     both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = base.cut(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")))
+    least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
     return both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
 
 
 def _small_star(links: DataFrame) -> DataFrame:
     """A node and its smaller neighbours link to the smallest of them."""
     down = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a > b")
-    least = base.cut(down.groupBy("a").agg(F.min("b").alias("m")))
+    least = down.groupBy("a").agg(F.min("b").alias("m"))
     return down.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(least.select("a", F.col("m").alias("b"))).where("a > b").distinct()
 
 

@@ -244,7 +244,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, sample: int = SAMPLE) -> Field:
     feats, gold, cuts, at = [], [], [0], 0
     row = 0
     texts = pa.array([t for _, t, _ in rows], pa.string())
-    for i, j, data, off in groups(texts):
+    for i, j, data, off in groups(texts, 1 << 19):
         lines = Lines(data, off)
         feats.append(lines.features())
         per = np.diff(lines.first)

@@ -214,7 +214,9 @@ def find(docs: DataFrame, *, window: int = WINDOW, prefix: int = PREFIX, group:
     starts of repeated windows.  docs has text and a 96-bit key k1, k2 of id and text."""
     body = docs.select("k1", "k2", "text")
     rows = body.mapInArrow(_anchor_rows(window, prefix), KEYED)
-    repeated = rows.groupBy("g").agg(F.count("*").alias("n")).where("n > 1").select("g", F.when(F.col("n") > group, F.ceil(F.col("n") / group)).otherwise(0).alias("deal"))
+    # Stored before the join: adaptive execution splits a hot prefix only if both
+    # sides of the join are plain exchanges
+    repeated = base.cut(rows.groupBy("g").agg(F.count("*").alias("n")).where("n > 1").select("g", F.when(F.col("n") > group, F.ceil(F.col("n") / group)).otherwise(0).alias("deal")))
     places = (
         rows.join(repeated, "g")
         .groupBy("k1", F.shiftright("at", 32).cast("int").alias("k2"))

@@ -2,16 +2,30 @@
 
 Random indexing gives each word form and each word shape a fixed sparse vector of
 +1 and -1 (its index vector, drawn from a hash).  The vector of a word is the sum
-of the index vectors of its neighbours over a bounded sample, so words used
-alike get like vectors; a word never seen there has a zero vector and counts by its shape
-alone.  A document is pooled from its words: the mean over the document and,
+of the index vectors of its neighbours over all documents, so words used
+alike get like vectors; a form is its full 64-bit fingerprint, and one without
+neighbours has a zero vector and counts by its shape alone.  A document is pooled from its words: the mean over the document and,
 over its segments of ``SEGMENT`` words, the largest and smallest mean.  A two-layer numpy network
 gives a logit; a temperature fitted on a third of the sample that it did not see
 calibrates it, together with an offset.
 
+The contexts are counted in Spark, in whole numbers:
+
+1. Fitting broadcasts the forms of its sample (bounded by the sample), adds up their
+   contexts over all documents by partition and by range of forms, and collects one
+   vector a form.  They travel with the model.
+2. Scoring works on blocks of about ``BLOCK`` bytes.  A block sends the contexts of each
+   form that the sample lacks to the form's shard, which adds up all blocks' and answers
+   each with the vectors; the block's word numbers travel along and are pooled then.
+
+A vector is kept in a byte a dimension: exact up to sums of 127, above scaled to 127
+(only its direction is used).  There are as many shards as shuffle partitions, so a
+shard shrinks as that setting grows with the input.
+
 Inputs of a score are the words of the text alone, never labels, language,
-source or id.  Fitting takes at most ``SAMPLE`` labelled rows; scoring covers
-every text, whole.
+source or id.  The network is fitted on at most ``SAMPLE`` labelled rows; contexts and
+scores cover every text, whole.  Texts scored that are not those of the fit bring the contexts of forms that
+the sample lacks themselves.
 
 Edge cases: null and empty texts pool to zeros and get the score the network gives
 for that; repeated rows get equal scores; with no labels or one kind only, the
@@ -21,23 +35,27 @@ result; an input column named like the result is replaced.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from . import base
+from .language_model import _join, _shard, _split
 from .textbatch import Words, groups, mix, words_of
 
 SAMPLE = 4000
 DIM = 48
 SHAPE_DIM = 32
-ROWS = 1 << 15
 NONZERO = 4
 SEGMENT = 40
 REACH = 2
 STEP_WORDS = 1 << 17
+BLOCK = 12 << 20
 HIDDEN = 32
 _U = np.uint64
 
@@ -76,64 +94,157 @@ def shapes(w: Words) -> np.ndarray:
     return (code * _U(4) + length) * _U(2) + same
 
 
+def _numbers(part: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct values, and which of them each one is."""
+    return np.unique(part, return_inverse=True)
+
+
+def contexts(w: Words, look: np.ndarray, row: np.ndarray, rows: int) -> np.ndarray:
+    """For each row the summed index vectors of the neighbours of its words; row: that
+    of each word, below zero for words not asked for."""
+    total = np.zeros((rows, DIM), np.int64)
+    doc, n = w.doc, len(w.code)
+    for a in range(0, n, STEP_WORDS):  # a bounded number of words at a time
+        b = min(n, a + STEP_WORDS)
+        lo, hi = max(0, a - REACH), min(n, b + REACH)
+        forms, at = _numbers(w.code[lo:hi])
+        index = index_vectors(forms, DIM, 1).astype(np.int8)[at]
+        forms, at = _numbers(look[lo:hi])
+        index += index_vectors(forms, DIM, 2).astype(np.int8)[at]
+        near = np.zeros_like(index)  # at most 2 * REACH * 2 * NONZERO
+        for k in range(1, REACH + 1):
+            same = (doc[lo + k : hi] == doc[lo : hi - k])[:, None]
+            near[:-k] += index[k:] * same
+            near[k:] += index[:-k] * same
+        order = np.argsort(row[a:b], kind="stable")
+        order = order[np.searchsorted(row[a:b][order], 0) :]
+        if len(order):
+            of = row[a:b][order]
+            first = np.flatnonzero(np.concatenate(([True], of[1:] != of[:-1])))
+            total[of[first]] += np.add.reduceat(near[a - lo :][order], first, 0, dtype=np.int32)
+    return total
+
+
+def quantised(total: np.ndarray) -> np.ndarray:
+    """Sums in a byte a dimension, scaled to 127 where they pass it."""
+    most = np.maximum(np.abs(total).max(1, initial=0), 127)
+    return np.rint(total * (127.0 / most)[:, None]).astype(np.int8)
+
+
+def unit(vectors: np.ndarray) -> np.ndarray:
+    out = vectors.astype(np.float32)
+    return out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-6)
+
+
+def _packed(x: np.ndarray) -> bytes:
+    """Integers without their leading zeros (small ones of either sign), by byte planes of each column."""
+    if x.dtype != np.int8:
+        x = (x << 1) ^ (x >> (8 * x.dtype.itemsize - 1))
+    planes = np.ascontiguousarray(x).view(np.uint8)
+    return pa.compress(np.ascontiguousarray(planes.T).tobytes(), "zstd", asbytes=True)
+
+
+def _unpacked(data: bytes, n: int, kind, width: int = DIM) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    raw = np.frombuffer(pa.decompress(data, decompressed_size=n * width * size, codec="zstd"), np.uint8) if n else np.zeros(0, np.uint8)
+    x = np.ascontiguousarray(raw.reshape(width * size, n).T).view(kind).reshape(n, width)
+    return x if kind == np.int8 else (x >> 1) ^ -(x & 1)
+
+
+def pooled(table: np.ndarray, which: np.ndarray, look: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """The pooled vector of each text; which: row of each word in the table of vectors."""
+    n = np.diff(first)
+    out = np.zeros((len(n), 3 * (DIM + SHAPE_DIM) + 1), np.float32)
+    segs = -(-n // SEGMENT)
+    seg = np.concatenate(([0], np.cumsum(segs)))
+    begin = np.repeat(first[:-1], segs) + SEGMENT * (np.arange(seg[-1]) - np.repeat(seg[:-1], segs))
+    size = np.minimum(begin + SEGMENT, np.repeat(first[1:], segs)) - begin
+    total = np.zeros((len(begin), DIM + SHAPE_DIM), np.float32)
+    a = 0
+    while a < len(begin):  # a bounded number of words at a time
+        b = max(a + 1, int(np.searchsorted(begin, begin[a] + STEP_WORDS)))
+        lo, hi = begin[a], begin[b - 1] + size[b - 1]
+        forms, at = _numbers(look[lo:hi])
+        x = np.concatenate([table[which[lo:hi]], index_vectors(forms, SHAPE_DIM, 3)[at]], 1)
+        total[a:b] = np.add.reduceat(x, begin[a:b] - lo, 0)
+        a = b
+    rows = np.flatnonzero(segs)
+    if len(rows):
+        at = seg[:-1][rows]
+        out[rows, : DIM + SHAPE_DIM] = np.add.reduceat(total, at, 0) / n[rows, None]
+        mean = total / size[:, None]
+        out[rows, DIM + SHAPE_DIM : 2 * (DIM + SHAPE_DIM)] = np.maximum.reduceat(mean, at, 0)
+        out[rows, 2 * (DIM + SHAPE_DIM) : -1] = np.minimum.reduceat(mean, at, 0)
+        out[rows, -1] = np.log1p(n[rows]) / 10
+    return out
+
+
 class WordVectors:
-    """Context vectors by hashed word, from random indexing over a sample."""
+    """Context vectors of some forms, by their sorted fingerprints."""
 
-    def __init__(self, table: np.ndarray):
-        self.table = table
+    def __init__(self, code: np.ndarray, vectors: np.ndarray):
+        self.code, self.vectors = code, vectors
 
-    @staticmethod
-    def row(code: np.ndarray) -> np.ndarray:
-        return (code % _U(ROWS)).astype(np.int64)
+    def row(self, code: np.ndarray) -> np.ndarray:
+        """The row of each fingerprint, -1 for those that are not here."""
+        at = np.minimum(np.searchsorted(self.code, code), max(0, len(self.code) - 1))
+        return np.where(self.code[at] == code, at, -1) if len(self.code) else np.full(len(code), -1)
 
     @classmethod
-    def fit(cls, texts: list[str]) -> WordVectors:
-        table = np.zeros((ROWS, DIM), np.float32)
-        for _, _, data, off in groups(pa.array(texts, pa.string()), 1 << 19):
-            w = words_of(data, off, lower=False)
-            if not len(w.code):
-                continue
-            forms, inverse = np.unique(w.code, return_inverse=True)
-            looks, at = np.unique(shapes(w), return_inverse=True)
-            index = index_vectors(forms, DIM, 1)[inverse] + index_vectors(looks, DIM, 2)[at]
-            doc, row = w.doc, cls.row(w.code)
-            for k in range(1, REACH + 1):
-                near = np.flatnonzero(doc[k:] == doc[:-k])
-                np.add.at(table, row[near], index[near + k])
-                np.add.at(table, row[near + k], index[near])
-        norm = np.linalg.norm(table, axis=1, keepdims=True)
-        return cls(table / np.maximum(norm, 1e-6))
+    def count(cls, docs: DataFrame, code: np.ndarray) -> WordVectors:
+        """The vectors of these forms, from all texts of docs."""
+        spark = docs.sparkSession
+        held = spark.sparkContext.broadcast(cls(code, np.zeros((0, DIM), np.int8)))
+        parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+        cuts = np.linspace(0, len(code), parts + 1).astype(np.int64)
+
+        def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            known, total = held.value, None
+            for batch in batches:
+                for _, _, data, off in groups(base.column(batch, "text").cast(pa.string()), BLOCK):
+                    w = words_of(data, off)
+                    if total is None:
+                        total = np.zeros((len(known.code), DIM), np.int64)
+                    forms, at = _numbers(known.row(w.code))
+                    total[forms[forms >= 0]] += contexts(w, shapes(w), at - np.searchsorted(forms, 0), int((forms >= 0).sum()))
+            if total is not None:
+                some = np.flatnonzero(total.any(1))
+                ends = np.searchsorted(some, cuts)
+                for k in np.flatnonzero(np.diff(ends)):
+                    at = some[ends[k] : ends[k + 1]]
+                    yield pa.RecordBatch.from_arrays([pa.array([k]), pa.array([_join(at - cuts[k])], pa.binary()), pa.array([_packed(total[at])], pa.binary())], names=["part", "rows", "sums"])
+
+        def gather(group: pa.Table) -> pa.Table:
+            k = group["part"][0].as_py()
+            total = np.zeros((cuts[k + 1] - cuts[k], DIM), np.int64)
+            for rows, sums in zip(group["rows"], group["sums"]):
+                at = _split(rows.as_py(), "i8")[0]
+                total[at] += _unpacked(sums.as_py(), len(at), np.int64)
+            return pa.table({"part": pa.array([k]), "vectors": pa.array([quantised(total).tobytes()], pa.binary())})
+
+        vectors = np.zeros((len(code), DIM), np.int8)
+        found = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(add, "part bigint, rows binary, sums binary")
+        for r in found.groupBy("part").applyInArrow(gather, "part bigint, vectors binary").collect():
+            vectors[cuts[r.part] : cuts[r.part + 1]] = np.frombuffer(r.vectors, np.int8).reshape(-1, DIM)
+        held.unpersist()
+        return cls(code, vectors)
 
     def pool(self, texts: pa.Array) -> np.ndarray:
-        """The pooled vector of each text."""
-        out = np.zeros((len(texts), 3 * (DIM + SHAPE_DIM) + 1), np.float32)
-        for i, j, data, off in groups(texts, 1 << 20):
+        """The pooled vector of each text; forms that are not here have a zero vector."""
+        out = [np.zeros((0, 3 * (DIM + SHAPE_DIM) + 1), np.float32)]
+        table = np.concatenate([unit(self.vectors), np.zeros((1, DIM), np.float32)])
+        for _, _, data, off in groups(texts, 1 << 20):
             w = words_of(data, off)
-            n = w.count
-            segs = -(-n // SEGMENT)
-            first = np.concatenate(([0], np.cumsum(segs)))
-            begin = np.repeat(w.first[:-1], segs) + SEGMENT * (np.arange(first[-1]) - np.repeat(first[:-1], segs))
-            size = np.minimum(begin + SEGMENT, np.repeat(w.first[1:], segs)) - begin
-            total = np.zeros((len(begin), DIM + SHAPE_DIM), np.float32)
-            look = shapes(w)
-            a = 0
-            while a < len(begin):  # a bounded number of words at a time
-                b = max(a + 1, int(np.searchsorted(begin, begin[a] + STEP_WORDS)))
-                lo, hi = begin[a], begin[b - 1] + size[b - 1]
-                forms, at = np.unique(look[lo:hi], return_inverse=True)
-                x = np.concatenate([self.table[self.row(w.code[lo:hi])], index_vectors(forms, SHAPE_DIM, 3)[at]], 1)
-                total[a:b] = np.add.reduceat(x, begin[a:b] - lo, 0)
-                a = b
-            has = np.flatnonzero(segs)
-            rows = np.arange(i, j)[has]
-            if len(has):
-                at = first[:-1][has]
-                out[rows, : DIM + SHAPE_DIM] = np.add.reduceat(total, at, 0) / n[has, None]
-                mean = total / size[:, None]
-                out[rows, DIM + SHAPE_DIM : 2 * (DIM + SHAPE_DIM)] = np.maximum.reduceat(mean, at, 0)
-                out[rows, 2 * (DIM + SHAPE_DIM) : -1] = np.minimum.reduceat(mean, at, 0)
-                out[rows, -1] = np.log1p(n[has]) / 10
-        return out
+            out.append(pooled(table, self.row(w.code), shapes(w), w.first))
+        return np.concatenate(out)
+
+
+def forms_in(texts: list[str]) -> np.ndarray:
+    """The sorted fingerprints of all words."""
+    out = [np.zeros(0, np.uint64)]
+    for _, _, data, off in groups(pa.array(texts, pa.string())):
+        out.append(np.unique(words_of(data, off).code))
+    return np.unique(np.concatenate(out))
 
 
 class Network:
@@ -202,10 +313,13 @@ def calibrate(logit: np.ndarray, y: np.ndarray, steps: int = 300) -> tuple[float
 Model = tuple[WordVectors, Network] | float
 
 
-def fit_texts(texts: list[str], y: np.ndarray) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, *, where=None, sample: int = SAMPLE) -> Model:
+    """where: a condition on the id's column name that training rows must meet."""
+    rows = base.labelled_sample(docs, labels, "quality", sample, where=where)
+    texts, y = [t for _, t, _ in rows], np.array([float(y > 0) for _, _, y in rows])
     if len(set(y.tolist())) < 2:
         return float(y.mean()) if len(y) else 0.5
-    vectors = WordVectors.fit(texts)
+    vectors = WordVectors.count(docs, forms_in(texts))
     x = vectors.pool(pa.array(texts, pa.string()))
     kept = np.arange(len(y)) % 3 != 0
     if len(set(y[kept].tolist())) < 2:
@@ -216,27 +330,112 @@ def fit_texts(texts: list[str], y: np.ndarray) -> Model:
     return vectors, net
 
 
-def fit(docs: DataFrame, labels: DataFrame, *, where=None, sample: int = SAMPLE) -> Model:
-    """where: a condition on the id's column name that training rows must meet."""
-    rows = base.labelled_sample(docs, labels, "quality", sample, where=where)
-    return fit_texts([t for _, t, _ in rows], np.array([float(y > 0) for _, _, y in rows]))
-
-
-def score(docs: DataFrame, model: Model, *, text: str = "text", out: str = "score") -> DataFrame:
-    """docs with the calibrated probability of good quality in ``out``."""
-    held = docs.sparkSession.sparkContext.broadcast(model)
-
-    def run(batch: pa.RecordBatch) -> dict[str, pa.Array]:
-        m = held.value
-        if isinstance(m, float):
-            return {out: pa.array(np.full(batch.num_rows, m))}
-        return {out: pa.array(m[1].score(m[0].pool(base.column(batch, text).cast(pa.string()))), pa.float64())}
-
-    return base.map_arrow(docs, run, StructType([StructField(out, DoubleType())]))
+_REQUEST = "shard bigint, block bigint, forms binary, sums binary, state binary"
+_ANSWER = "shard bigint, block bigint, vectors binary, state binary"
+
+
+def _ask(held, keys: list[str], shards: int, block: int):
+    """Each block's contexts of the forms that the model lacks, by shard."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << 24
+        known = held.value[0]
+        for batch in batches:
+            for i, j, data, off in groups(base.column(batch, "text"), block):
+                w = words_of(data, off)
+                look = shapes(w)
+                code, at, where, times = np.unique(w.code, return_index=True, return_inverse=True, return_counts=True)
+                # Frequent forms have small numbers, which compress
+                order = np.argsort(-times, kind="stable")
+                rank = np.empty_like(order)
+                rank[order] = np.arange(len(order))
+                code, form, where = code[order], (look[at[order]] >> _U(1)).astype(np.uint16), rank[where]
+                row = known.row(code).astype(np.int32)
+                lacking = np.flatnonzero(row < 0)
+                shard = _shard(code[lacking], shards)
+                by = np.argsort(shard, kind="stable")
+                lacking, cuts = lacking[by], np.searchsorted(shard[by], np.arange(shards + 1))
+                place = np.full(len(code), -1)
+                place[lacking] = np.arange(len(lacking))
+                sums = contexts(w, look, place[where], len(lacking))
+                rows = pa.RecordBatch.from_arrays([base.column(batch, k).slice(i, j - i) for k in keys], names=keys)
+                sink = pa.BufferOutputStream()
+                with pa.ipc.new_stream(sink, rows.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+                    writer.write_batch(rows)
+                state = _join(np.frombuffer(sink.getvalue(), np.uint8), w.first.astype(np.int64), row, form, lacking.astype(np.int32)) + _packed(where.astype(np.int32)[:, None])
+                home = number % shards
+                # A shard without forms here is not asked, but for the home of the state
+                asked = [s for s in range(shards) if cuts[s] < cuts[s + 1] or s == home]
+                parts = [slice(cuts[s], cuts[s + 1]) for s in asked]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(asked),
+                        pa.array([number] * len(asked)),
+                        pa.array([_join(code[lacking[c]]) for c in parts], pa.binary()),
+                        pa.array([_packed(sums[c]) for c in parts], pa.binary()),
+                        pa.array([state if s == home else None for s in asked], pa.binary()),
+                    ],
+                    names=["shard", "block", "forms", "sums", "state"],
+                )
+                number += 1
+
+    return run
+
+
+def _serve(group: pa.Table) -> pa.Table:
+    """The vectors of a shard's forms, over all blocks, for each block."""
+    codes = [_split(f.as_py(), "u8")[0] for f in group["forms"]]
+    forms, at = _numbers(np.concatenate(codes))
+    cuts = np.cumsum([0] + [len(c) for c in codes])
+    total = np.zeros((len(forms), DIM), np.int64)
+    for k, sums in enumerate(group["sums"]):
+        total[at[cuts[k] : cuts[k + 1]]] += _unpacked(sums.as_py(), len(codes[k]), np.int64)
+    vectors = quantised(total)
+    answers = [_packed(vectors[at[cuts[k] : cuts[k + 1]]]) for k in range(len(codes))]
+    return pa.table({"shard": group["shard"], "block": group["block"], "vectors": pa.array([_join(np.array([len(c)])) + x for c, x in zip(codes, answers)], pa.binary()), "state": group["state"]})
+
+
+def _finish(held, keys: list[str], out: str):
+    def run(group: pa.Table) -> pa.Table:
+        known, net = held.value
+        group = group.sort_by("shard")
+        state = next(x.as_py() for x in group["state"] if x.is_valid)
+        blob, first, row, form, lacking = _split(state, "u1 i8 i4 u2 i4")
+        at = 40 + len(blob) + 8 * len(first) + 4 * len(row) + 2 * len(form) + 4 * len(lacking)
+        where = _unpacked(state[at:], int(first[-1]), np.int32, 1)[:, 0]
+        table = np.zeros((len(row), DIM), np.int8)
+        table[row >= 0] = known.vectors[row[row >= 0]]
+        answers = [x.as_py() for x in group["vectors"]]
+        table[lacking] = np.concatenate([_unpacked(x[16:], int(_split(x, "i8")[0][0]), np.int8) for x in answers])
+        same = np.zeros(len(where), np.uint64)
+        if len(same):
+            same[1:] = where[1:] == where[:-1]
+            same[first[:-1][first[:-1] < len(same)]] = 0
+        x = pooled(unit(table), where, form[where].astype(np.uint64) * _U(2) + same, first)
+        rows = pa.ipc.open_stream(pa.py_buffer(blob.tobytes())).read_all()
+        return pa.table({**{k: rows[k] for k in keys}, out: pa.array(net.score(x), pa.float64())})
+
+    return run
+
+
+def score(docs: DataFrame, model: Model, *, text: str = "text", out: str = "score", keys: tuple[str, ...] | None = None, shards: int | None = None, block: int = BLOCK) -> DataFrame:
+    """docs (its columns ``keys``, if given) with the calibrated probability of good quality in ``out``."""
+    spark = docs.sparkSession
+    keep = [c for c in keys or docs.columns if c.lower() != out.lower()]
+    if isinstance(model, float):
+        return docs.select(*keep, F.lit(model).alias(out))
+    shards = shards or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    held = spark.sparkContext.broadcast(model)
+    names = [f"key{i}" for i in range(len(keep))]
+    rows = docs.select(*[F.col(c).alias(n) for c, n in zip(keep, names)], F.col(text).cast("string").alias("text"))
+    served = rows.mapInArrow(_ask(held, names, shards, block), _REQUEST).groupBy("shard").applyInArrow(_serve, _ANSWER)
+    schema = StructType([StructField(n, docs.schema[c].dataType) for c, n in zip(keep, names)] + [StructField("score", DoubleType())])
+    done = served.groupBy("block").applyInArrow(_finish(held, names, "score"), schema)
+    return done.select(*[F.col(n).alias(c) for c, n in zip(keep, names)], F.col("score").alias(out))
 
 
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = base.table(spark, sf_dir, "documents").select("doc_id", "text")
     model = fit(docs, base.table(spark, sf_dir, "labels"), where=lambda i: base.crc_mod(i, 5) != 0)
-    out = score(docs, model)
+    out = score(docs, model, keys=("doc_id",))
     return out.select("doc_id", (base.crc_mod("doc_id", 5) == 0).alias("held_out"), "score", F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"))

@@ -359,3 +359,32 @@ def test_pipeline(spark, tmp_path):
         if k < len(corpus_pipeline.STAGES) - 1:
             assert docs.columns == columns
     assert docs.where("not lossless").isEmpty() and F is not None
+
+
+def test_word_vectors_cover_all_documents(spark):
+    from kerbsight.llm import quality_classifier as qc
+
+    r = random.Random(3)
+    rows = [(i, " ".join(f"w{r.randrange(60)}" for _ in range(r.randrange(0, 40)))) for i in range(30)] + [(30, "alone"), (31, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    code = lambda x: textbatch.words_of(np.frombuffer(x.encode(), np.uint8), np.array([0, len(x.encode())])).code
+    want = collections.defaultdict(lambda: np.zeros(qc.DIM))
+    for _, t in rows:
+        for _, _, d, o in textbatch.groups(pa.array([t or ""])):
+            w = textbatch.words_of(d, o)
+            index = qc.index_vectors(w.code, qc.DIM, 1) + qc.index_vectors(qc.shapes(w), qc.DIM, 2)
+            for i, j in itertools.permutations(range(len(w.code)), 2):
+                if abs(i - j) <= qc.REACH:
+                    want[w.code[i]] += index[j]
+    # Forms of one text have the contexts of all texts; one that occurs nowhere has none
+    forms = np.unique(np.concatenate([code(rows[5][1]), code("nowhere alone")]))
+    vectors = qc.WordVectors.count(docs, forms)
+    assert (vectors.vectors == qc.quantised(np.stack([want[c] for c in forms]))).all()
+    assert not vectors.vectors[vectors.row(code("nowhere alone"))].any() and vectors.row(code("other")).tolist() == [-1]
+    # Texts are pooled with the forms of all texts, held by the model or not
+    full = qc.WordVectors(np.array(sorted(want), np.uint64), qc.quantised(np.stack([want[c] for c in sorted(want)])))
+    x = full.pool(pa.array([t or "" for _, t in rows]))
+    net = qc.Network.fit(x, np.arange(len(rows)) % 2.0, epochs=3)
+    for kwargs in ({}, {"shards": 3, "block": 500}):
+        got = {d.doc_id: d.score for d in qc.score(docs, (vectors, net), **kwargs).collect()}
+        assert [got[i] for i, _ in rows] == pytest.approx(net.score(x).tolist(), abs=1e-5)

@@ -217,8 +217,11 @@ def find(docs: DataFrame, *, window: int = WINDOW, prefix: int = PREFIX, group:
     # Stored before the join: adaptive execution splits a hot prefix only if both
     # sides of the join are plain exchanges
     repeated = base.cut(rows.groupBy("g").agg(F.count("*").alias("n")).where("n > 1").select("g", F.when(F.col("n") > group, F.ceil(F.col("n") / group)).otherwise(0).alias("deal")))
+    # Rows of equal key have equal places: one entry each, however many rows there are
     places = (
         rows.join(repeated, "g")
+        .groupBy("k1", "at")
+        .agg(F.max("deal").alias("deal"))
         .groupBy("k1", F.shiftright("at", 32).cast("int").alias("k2"))
         .agg(F.collect_list(F.struct(F.col("at").bitwiseAND(F.lit(_LOW)).cast("int").alias("p"), F.col("deal").cast("int").alias("d"))).alias("x"))
         .select("k1", "k2", F.col("x.p").alias("places"), F.col("x.d").alias("deals"))
@@ -229,7 +232,7 @@ def find(docs: DataFrame, *, window: int = WINDOW, prefix: int = PREFIX, group:
     # The longer prefix: windows of dealt groups that occur in two subgroups
     lone = F.when(F.col("single") == 1, F.struct("k1", "k2", "low", "high"))
     beyond = found.where("single > 0").groupBy("g", "label").agg(F.count("*").alias("n"), F.collect_list(lone).alias("x")).where("n > 1").select(F.inline("x"))
-    return here.unionByName(beyond).groupBy("k1", F.col("k2").cast("int").alias("k2")).agg(F.collect_list(F.struct("low", "high")).alias("ranges"))
+    return here.unionByName(beyond).distinct().groupBy("k1", F.col("k2").cast("int").alias("k2")).agg(F.collect_list(F.struct("low", "high")).alias("ranges"))
 
 
 RESULT = StructType([StructField("n_words", LongType()), StructField("n_removed", LongType()), StructField("text", StringType())])

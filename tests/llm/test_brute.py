@@ -388,3 +388,33 @@ def test_word_vectors_cover_all_documents(spark):
     for kwargs in ({}, {"shards": 3, "block": 500}):
         got = {d.doc_id: d.score for d in qc.score(docs, (vectors, net), **kwargs).collect()}
         assert [got[i] for i, _ in rows] == pytest.approx(net.score(x).tolist(), abs=1e-5)
+
+
+def test_repeats_of_equal_rows_stay_linear(spark, monkeypatch):
+    copies, n = 40, 120
+    same = " ".join(f"s{k}" for k in range(n))
+    docs = spark.createDataFrame([(1, same)] * copies + [(None, same + " x")] * copies + [(2, "short")], "doc_id bigint, text string").repartition(4)
+    for group in (4096, 16):
+        wide = docs.select("text", F.xxhash64("doc_id", "text").alias("k1"), F.hash("text").alias("k2"))
+        ranges = repeats.find(wide, group=group).collect()
+        # Once each, not once for each pair of rows
+        assert len(ranges) == 2 and all(len({tuple(x) for x in r.ranges}) == len(r.ranges) <= n for r in ranges)
+        done = repeats.remove(docs, group=group).collect()
+        assert len(done) == 2 * copies + 1
+        assert all(r.deduped.n_removed == (0 if r.doc_id == 2 else r.deduped.n_words) for r in done)
+    sizes = spark.sparkContext.accumulator(0)
+    leaf_rows = repeats._leaf_rows
+
+    def counted(*args):
+        run = leaf_rows(*args)
+
+        def count(batches):
+            for batch in run(batches):
+                sizes.add(batch.num_rows)
+                yield batch
+
+        return count
+
+    monkeypatch.setattr(repeats, "_leaf_rows", counted)
+    repeats.find(wide).count()
+    assert copies < sizes.value <= 2 * copies * n

@@ -1,7 +1,7 @@
 """The provider's network interface: a Python data source for paged search, and fetches.
 
 Next links depend on the page before, so a search is one partition.  A repeated
-request, a link to another origin or too many pages end it: a server can't make
+request ends it; a link to another origin, or one left after ``MAX_PAGES``, is an error: a server can't make
 the reader loop or wander off.
 """
 
@@ -84,6 +84,8 @@ def search_pages(ask: Client, endpoint: str, latitude: float, longitude: float,
             raise ProviderError(f"next page on another origin: {href}")
         body = following.get("body")
         step = (str(following.get("method") or "GET").upper(), href, body if isinstance(body, dict) else None)
+        if number + 1 == MAX_PAGES and (step[0], step[1], json.dumps(step[2], sort_keys=True)) not in asked:
+            raise ProviderError(f"more than {MAX_PAGES} pages")
 
 
 def provider_documents(ask: Client, endpoint: str, *, timeout: float = 30.0) -> tuple[str | None, str | None]:

@@ -186,3 +186,20 @@ def test_command_line(spark, tmp_path, capsys, monkeypatch):
 def test_registered_names():
     assert set(Q.ORACLES) <= set(entry.queries()) and set(entry.oracle_sql()) <= set(entry.queries())
     assert F is not None
+
+
+def test_search_past_the_page_cap_is_an_error(monkeypatch):
+    monkeypatch.setattr(http, "MAX_PAGES", 3)
+
+    def ask(last):
+        def get(method, url, body, timeout, most):
+            n = int(url.rsplit("/", 1)[1]) if "/p/" in url else 0
+            links = [{"rel": "next", "href": f"/p/{n + 1}"}] if n < last else []
+            return 200, {}, json.dumps({"features": [{"id": str(n)}], "links": links}).encode()
+
+        return get
+
+    assert [n for n, _ in http.search_pages(ask(2), "https://e", 1.0, 2.0, 10.0, limit=50)] == [0, 1, 2]
+    assert [n for n, _ in http.search_pages(ask(9), "https://e", 1.0, 2.0, 10.0, limit=3)] == [0, 1, 2]
+    with pytest.raises(http.ProviderError):
+        list(http.search_pages(ask(9), "https://e", 1.0, 2.0, 10.0, limit=50))

@@ -3,8 +3,9 @@
 A text is read in overlapping windows of ``WINDOW`` words, one every ``STRIDE``
 words, to its end.  A word enters as the sum of a word vector and of its
 character vectors (hashed n-grams of 3 to 5 bytes with word borders, scaled by
-the root of their number); forms and n-grams in fewer than ``MIN_DOCS`` training
-texts have none.  A GRU reads the window from either side, attention pools its states, and a linear layer
+the root of their number).  Both tables are hashed: forms share the ``WORDS`` = 16,384 rows of the
+one, n-grams the ``CHARS`` = 65,536 of the other, so an unseen form takes the vector of the forms
+in its row, and a row counts as known from ``MIN_DOCS`` training texts with any of its forms; other rows are zero.  A GRU reads the window from either side, attention pools its states, and a linear layer
 gives a logit.  A text scores by its most toxic window, calibrated (slope and offset)
 on a third of the sample that the network did not see.
 

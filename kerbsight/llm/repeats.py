@@ -1,4 +1,6 @@
-"""Substring dedup: repeated word windows, by prefix-partitioned suffix trees.
+"""Substring dedup: repeated word windows, by anchor groups and window fingerprints.
+
+This replaces prefix-partitioned suffix trees: no tree is built and no suffixes are sorted.
 
 A window of 35 words is repeated if its word sequence starts anywhere else, in the
 same text or another.  Every word that a repeated window covers is removed; all

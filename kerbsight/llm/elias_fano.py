@@ -8,7 +8,8 @@ of one byte buffer: bytes received from another task, or a memory-mapped file.
 The trie's first level holds context fingerprints, the second the successors of
 all contexts.  A successor is stored relative to its context (the context's rank in
 front of 40 bits of the word's fingerprint), which makes the whole level one monotone sequence;
-monotone pointers mark where a context's successors start.  Probabilities and
+monotone pointers mark where a context's successors start; they are stored, but no query reads them,
+as the rank in a successor already bounds the search.  Probabilities and
 back-off weights are quantised to 8 bits with a codebook for each trie.
 """
 
@@ -216,8 +217,7 @@ class Trie:
 
     def successors(self, rank: np.ndarray, child: np.ndarray) -> np.ndarray:
         """Probability codes of the bigrams (context's rank, 40 bits of the word), 0
-        if unseen: the successor of the context-relative value, if it lies between
-        the context's pointers."""
+        if unseen: the value itself in the one sequence of all contexts' successors."""
         at, hit = self.children.successor((rank.astype(np.uint64) << _U(CHILD_BITS)) | child)
         out = np.zeros(len(at), np.uint8)
         out[hit] = self.prob[at[hit]]

@@ -1,20 +1,26 @@
 """HTML extraction by minimum-cut labelling.
 
-A page is read into text blocks with their element path.  A logistic classifier
-turns the features of a block (elements and name words on its path, links,
-length, punctuation) into two terminal capacities: what it costs to call the
-block content and what it costs to call it boilerplate.  Edges between
-neighbouring blocks, and to the last block below the same parent, cost
-something if their ends are labelled differently, more so the closer they are
-in the tree.  The minimum cut is the cheapest labelling; max-flow finds it.
-
-Blocks whose terminal capacity alone outweighs all their edges keep that label
-in every minimum cut, so they are settled first and the flow runs over the
-rest.
-
-The classifier is fitted on at most ``SAMPLE`` pages: blocks below ``article`` or
-``main`` and no boilerplate element or name teach content; blocks below a
-boilerplate element or name teach boilerplate.
+A page is read into text blocks with their element path.  What a block costs as
+content or as boilerplate, its terminal capacity, is the sum of
+
+* a classifier's log odds from its text alone (length, share of linked text, sentence
+  end, commas), at most ``MOST_TEXT`` either way, and
+* what the markup says (``evidence``): an element that never holds main text, a
+  boilerplate name on the innermost element that has one, or the page's main element.
+
+Edges between neighbouring blocks, and to the last block below the same
+parent, cost something if their ends are labelled differently, more so the closer
+they are in the tree.  The minimum cut is the cheapest labelling; max-flow finds it.  So a
+heading or an odd line follows the paragraphs around it, whatever its own text looks like.
+
+Blocks whose terminal capacity outweighs all their edges keep that label
+in every minimum cut, so they are settled first and the flow runs over the rest.
+
+The classifier learns from every page: blocks in the main element, without boilerplate
+markup, are examples of content, blocks in boilerplate markup of the other
+kind.  Spark counts them by the bins of the text's features; only those counts (at most
+two for each of ``N_KEYS`` bins, however many pages there are) reach the driver, and the
+logistic fit weighs both kinds equally.  Markup is no input of the classifier.
 
 Edge cases: null or empty html gives an empty text; a page cut off anywhere is
 read as far as it goes (an unfinished tag is dropped, an unfinished character
@@ -27,10 +33,9 @@ result is replaced.
 from __future__ import annotations
 
 import html as _html
-import math
 import re
-from collections import deque
-from zlib import crc32
+from collections import Counter, deque
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -40,8 +45,11 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from . import base
 
-SAMPLE = 400
-DIM = 1 << 12
+#: Bins of a block's text: length, linked share, sentence end, commas.
+BINS = (11, 5, 2, 4)
+N_KEYS = 11 * 5 * 2 * 4
+#: Limits of the log odds from the text, and the weights of markup and edges beside it.
+MOST_TEXT, MAIN, NAME, NEVER_WEIGHT, EDGE = 3.0, 2.5, 4.5, 9.0, 2.0
 
 _TOKEN = re.compile(
     r"<!--(?:.*?(?:-->|--!>)|.*\Z)"
@@ -67,6 +75,8 @@ NAMED = frozenset(
     "disqus footer header masthead menu nav navbar navigation newsletter notice notices pager pagination popup promo "
     "promoted related share sharing sidebar signup social sponsor sponsored subscribe toolbar widget".split()
 )
+#: First parts of class names that tell a state or topic, not what the element is.
+STATES = frozenset("has no not with without is category tag type post page single template".split())
 #: Start tags that end an open p, and the lists of siblings that end each other.
 CLOSES_P = frozenset("address article aside blockquote details dialog div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section table ul".split())
 SIBLING = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
@@ -74,12 +84,28 @@ STOPS = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}
 
 
 class Block:
+    """A text block: its text, the elements around it, their names and numbers from
+    the outside in, and the share of its text inside links."""
+
     __slots__ = ("text", "path", "names", "linked", "parent")
 
     def __init__(self, text, path, names, linked, parent):
         self.text, self.path, self.names, self.linked, self.parent = text, path, names, linked, parent
 
 
+def name_words(attrs: str) -> tuple[str, ...]:
+    """The boilerplate names among an element's class, id and role words."""
+    out = []
+    for groups in _NAMES.findall(attrs):
+        for token in " ".join(groups).split():
+            words = re.findall(r"[a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", token).lower())
+            if words and words[0] not in STATES:
+                out += [w for w in words if w in NAMED]
+    if _HIDDEN.search(attrs):
+        out.append("hidden!")
+    return tuple(out)
+
+
 def blocks_of(page: str) -> list[Block]:
     """The visible text blocks of a page, in order."""
     out: list[Block] = []
@@ -91,9 +117,8 @@ def blocks_of(page: str) -> list[Block]:
         if parts:
             text = " ".join(_html.unescape("".join(parts)).split())
             if text:
-                held = [x for x in stack if x[0] not in INLINE]
-                names = [n for x in stack for n in x[1]]
-                out.append(Block(text, tuple(x[0] for x in held), tuple(names), min(1.0, state["linked"] / max(1, len(text))), tuple(x[2] for x in held)))
+                held = [x for x in stack if x[0] not in INLINE or x[1]]
+                out.append(Block(text, tuple(x[0] for x in held), tuple(x[1] for x in held), min(1.0, state["linked"] / max(1, len(text))), tuple(x[2] for x in held)))
             parts.clear()
         state["linked"] = 0
 
@@ -140,11 +165,7 @@ def blocks_of(page: str) -> list[Block]:
         attrs = m["attrs"] if m["tag"] else m["attrs2"]
         if name in VOID or attrs.rstrip().endswith("/") and name not in INLINE | CONTENT | NEVER | CLOSES_P:
             continue
-        words: tuple[str, ...] = ()
-        if attrs and not attrs.isspace():
-            words = tuple(w for g in _NAMES.findall(attrs) for v in g if v for w in re.findall(r"[a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", v).lower()))
-            if _HIDDEN.search(attrs):
-                words += ("hidden!",)
+        words = name_words(attrs) if attrs and not attrs.isspace() else ()
         state["count"] += 1
         stack.append((name, words, state["count"]))
     text(page[at:])
@@ -152,46 +173,100 @@ def blocks_of(page: str) -> list[Block]:
     return out
 
 
-def boilerplate(b: Block) -> bool:
-    """An element or name on the path says that the block is no main text."""
-    if any(e in NEVER for e in b.path) or any(n in NAMED or n == "hidden!" for n in b.names):
-        return True
-    return "header" in b.path and not any(e in CONTENT for e in b.path[: b.path.index("header")])
+def main_element(blocks: list[Block]) -> int | None:
+    """The number of the article or main element with the most text that is not linked
+    (the innermost of equal ones); a page may have none."""
+    size: Counter = Counter()
+    for b in blocks:
+        for e, k in zip(b.path, b.parent):
+            if e in CONTENT:
+                size[k] += (1 - b.linked) * len(b.text)
+    return max(size, key=lambda k: (size[k], k)) if size else None
+
+
+def evidence(blocks: list[Block]) -> list[float]:
+    """What the markup says of each block: positive for content.  An element that never
+    holds main text decides; else the innermost of a boilerplate name and the main element.
+    Names on the main element, on those around it, or around nine tenths of the text
+    name the page, not boilerplate, and don't count."""
+    main = main_element(blocks)
+    size: Counter = Counter()
+    around: set[int] = set()
+    for b in blocks:
+        for k in b.parent:
+            size[k] += len(b.text)
+        if main in b.parent:
+            around.update(b.parent[: b.parent.index(main) + 1])
+    if main is None:
+        total = sum(len(b.text) for b in blocks)
+        around = {k for k, n in size.items() if 10 * n >= 9 * total}
+    out = []
+    for b in blocks:
+        value = 0.0
+        inside = main in b.parent
+        for i, (e, names, k) in enumerate(zip(b.path, b.names, b.parent)):
+            if "hidden!" in names or e in NEVER or e == "header" and main not in b.parent[:i]:
+                value = -NEVER_WEIGHT
+                break
+            if k == main:
+                value = MAIN
+            elif names and k not in around:
+                value = -NAME
+        out.append(value if value or not inside else MAIN)
+    return out
 
 
-def features(b: Block) -> list[int]:
-    """Hashed indicator features of a block."""
-    said = {f"<{e}" for e in b.path} | {f".{n}" for n in b.names} | {f"^{b.path[-1] if b.path else ''}"}
-    said |= {f"named{boilerplate(b)}", f"inside{any(e in CONTENT for e in b.path)}", f"linked{round(4 * b.linked)}"}
-    said |= {f"size{min(8, len(b.text).bit_length())}", f"stop{b.text[-1] in '.!?…。'}", f"commas{min(3, b.text.count(','))}"}
-    return sorted({crc32(s.encode()) % DIM for s in said})
+def key_of(b: Block) -> int:
+    """The bin of a block's text."""
+    n = len(b.text)
+    parts = (min(10, n.bit_length()), round(4 * b.linked), b.text[-1] in ".!?…。:;", min(3, b.text.count(",")))
+    out = 0
+    for size, part in zip(BINS, parts):
+        out = out * size + int(part)
+    return out
 
 
-def fit(pages: list[str], *, steps: int = 150, rate: float = 0.5, decay: float = 1e-3) -> tuple[np.ndarray, float]:
-    """Logistic weights and bias from the blocks that the page's own markup names."""
-    rows, gold = [], []
+def _bins() -> np.ndarray:
+    """The bins of every key, one column a feature; the last column joins length and end."""
+    rest, out = np.arange(N_KEYS), []
+    for size in reversed(BINS):
+        out.append(rest % size)
+        rest = rest // size
+    length, linked, stop, commas = reversed(out)
+    return np.stack([length, linked, stop, commas, 2 * length + stop], 1)
+
+
+def block_counts(pages: list[str | None]) -> Counter:
+    """(bin, content or not) of the blocks whose markup tells, and how many."""
+    out: Counter = Counter()
     for page in pages:
-        for b in blocks_of(page):
-            bad, good = boilerplate(b), any(e in CONTENT for e in b.path)
-            if bad or good:
-                rows.append(features(b))
-                gold.append(float(good and not bad))
-    # The prior: names and elements count before anything has been seen.
-    w, bias = np.zeros(DIM), 0.0
-    w[crc32(b"namedTrue") % DIM], w[crc32(b"namedFalse") % DIM] = -4.0, 1.0
-    w[crc32(b"insideTrue") % DIM], w[crc32(b"insideFalse") % DIM] = 2.0, -1.0
-    prior = w.copy()
-    if not rows:
-        return w, bias
-    y, n = np.array(gold), len(rows)
-    at = np.repeat(np.arange(n), [len(r) for r in rows])
-    idx = np.concatenate([np.array(r) for r in rows])
+        blocks = blocks_of(page or "")
+        for b, e in zip(blocks, evidence(blocks)):
+            if e:
+                out[key_of(b), e > 0] += 1
+    return out
+
+
+def fit(counts: Counter, *, steps: int = 300, rate: float = 0.5, decay: float = 2e-3) -> np.ndarray:
+    """The log odds of each bin, both kinds weighing the same, by logistic regression
+    with a prior: long sentences look like content, links and fragments do not."""
+    x, y = _bins(), np.array([0.0, 1.0])
+    n = np.zeros((N_KEYS, 2))
+    for (k, good), c in counts.items():
+        n[k, int(good)] += c
+    n /= np.maximum(n.sum(0), 1)
+    width = [*BINS, 2 * BINS[0]]
+    w = [np.zeros(k) for k in width]
+    w[0][:] = np.clip(np.arange(BINS[0]) - 6, -2, 2) / 2
+    w[1][:] = np.array([0.5, 0.0, -1.0, -1.5, -2.0])
+    w[2][:] = np.array([-0.5, 0.5])
+    prior = [v.copy() for v in w]
+    odds = lambda: sum(v[x[:, i]] for i, v in enumerate(w))
     for _ in range(steps):
-        z = np.bincount(at, w[idx], n) + bias
-        g = y - 1 / (1 + np.exp(-np.clip(z, -30, 30)))
-        w += rate * (np.bincount(idx, g[at], DIM) / n - decay * (w - prior))
-        bias += rate * g.mean()
-    return w, bias
+        g = (n * (y - 1 / (1 + np.exp(-odds()))[:, None])).sum(1)
+        for i, v in enumerate(w):
+            v += rate * (np.bincount(x[:, i], g, width[i]) - decay * (v - prior[i]))
+    return odds()
 
 
 def _max_flow(n: int, source: list[float], sink: list[float], edges: list[tuple[int, int, float]]) -> list[bool]:
@@ -284,7 +359,7 @@ def min_cut(score: list[float], edges: list[tuple[int, int, float]]) -> list[boo
     return [bool(x) for x in label]
 
 
-def edges_of(blocks: list[Block], *, weight: float = 0.6) -> list[tuple[int, int, float]]:
+def edges_of(blocks: list[Block], *, weight: float = EDGE) -> list[tuple[int, int, float]]:
     """Smoothness: to the next block and to the last block below the same parent,
     by the share of the element path that both have."""
     out, last = [], {}
@@ -304,31 +379,41 @@ def edges_of(blocks: list[Block], *, weight: float = 0.6) -> list[tuple[int, int
 
 
 class Extractor:
-    def __init__(self, weights: np.ndarray, bias: float):
-        self.weights, self.bias = weights.tolist(), bias
+    def __init__(self, odds: np.ndarray):
+        self.odds = np.clip(odds, -MOST_TEXT, MOST_TEXT).tolist()
+
+    def scores(self, blocks: list[Block]) -> list[float]:
+        """What a block gains as content: the signed terminal capacities."""
+        return [self.odds[key_of(b)] + e for b, e in zip(blocks, evidence(blocks))]
 
     def labels(self, blocks: list[Block]) -> list[bool]:
-        # Capacities are the log odds, clipped so that markup can't be outvoted without limit.
-        score = [max(-12.0, min(12.0, self.bias + math.fsum(self.weights[k] for k in features(b)))) for b in blocks]
-        return min_cut(score, edges_of(blocks))
+        return min_cut(self.scores(blocks), edges_of(blocks))
 
     def text(self, page: str | None) -> str:
         blocks = blocks_of(page or "")
         return "\n\n".join(b.text for b, on in zip(blocks, self.labels(blocks)) if on)
 
 
-def train(pages: DataFrame, *, html: str = "html", sample: int = SAMPLE) -> tuple[np.ndarray, float]:
-    """Weights from at most ``sample`` pages, those whose hashed html comes first."""
-    h = F.col(html)
-    rows = pages.where(h.isNotNull()).select(F.xxhash64(h).alias("h"), h.alias("p")).orderBy("h", F.length("p")).limit(sample)
-    return fit([r["p"] for r in rows.collect()])
+def train(pages: DataFrame, *, html: str = "html") -> np.ndarray:
+    """Log odds of each bin, from all pages."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: Counter = Counter()
+        for batch in batches:
+            for part in base.slices(batch):
+                total += block_counts(base.column(part, "html").to_pylist())
+        if total:
+            yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in total], pa.int32()), pa.array([g for _, g in total]), pa.array(list(total.values()), pa.int64())], names=["k", "good", "n"])
+
+    found = pages.select(F.col(html).cast("string").alias("html")).mapInArrow(count, "k int, good boolean, n bigint")
+    return fit(Counter({(r["k"], r["good"]): r["n"] for r in found.groupBy("k", "good").agg(F.sum("n").alias("n")).collect()}))
 
 
-def extract(pages: DataFrame, model: tuple[np.ndarray, float], *, html: str = "html", out: str = "text") -> DataFrame:
+def extract(pages: DataFrame, odds: np.ndarray, *, html: str = "html", out: str = "text") -> DataFrame:
     """pages with the main text of each in ``out``."""
 
     def run(batch: pa.RecordBatch) -> dict[str, pa.Array]:
-        x = Extractor(*model)
+        x = Extractor(odds)
         return {out: pa.array([x.text(v.as_py()) for v in base.column(batch, html)], pa.string())}
 
     return base.map_arrow(pages, run, StructType([StructField(out, StringType())]))

@@ -6,9 +6,15 @@ conditional random field over the lines, decoded by Viterbi, marks every line as
 content or boilerplate; the share of a text's words in content lines decides
 whether the text is kept.  Plain count rules come first.
 
-The field is fitted on at most ``SAMPLE`` labelled documents, whose lines take
-the label of their document (weak supervision); scoring covers every text.
-Without labels of both kinds every line is content.
+The field is fitted on at most ``SAMPLE`` labelled documents.  Labels are of
+documents, so those of their lines are found by multiple-instance rounds: a good
+document is mostly content and a bad one mostly boilerplate (``MOST`` of its words), but
+neither wholly.  A round labels each line by its marginal probability under the
+field so far, turns as many of the likeliest lines as that share needs, and fits the field to it.  The
+first field has no transitions.  Weights are drawn to ``PRIOR``, so that kinds of lines that the
+sample lacks are still judged: repeated, near-empty, unfinished or symbol-ridden lines look like
+boilerplate, long sentences like content.  Scoring covers every line of every text.
+Without labels of both kinds only the prior judges.
 
 Edge cases: a null or empty text has no words and fails the base rules; texts
 are never cut, however long; repeated rows get the same result each; a share
@@ -21,6 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import ArrayType, BooleanType, DoubleType, LongType, StructField, StructType
 
 from . import base
@@ -29,8 +36,13 @@ from .textbatch import Words, _word_codes, grams, groups, mix, per_doc_sum, word
 SAMPLE = 3000
 MIN_SHARE = 0.5
 MIN_WORDS = 50
-#: Training sequences are cut into pieces of so many lines.
-PIECE = 64
+#: Least share of a labelled document's words that its label holds for.
+MOST = 0.7
+ROUNDS = 2
+#: Lines of so few words may be menu items.
+ITEM = 5
+#: Training sequences are cut into pieces of so many lines; those that are scored never are.
+PIECE = 512
 
 _CLASSES = {
     "upper": bytes(range(65, 91)),
@@ -57,6 +69,17 @@ EDGES = {
     "length": [3.0, 5.0, 8.0, 12.0],
     "repeat": [0.5],
     "stop": [0.5],
+    "item": [0.5, 1.5],
+}
+#: What a bin says before anything is seen: log odds of content, by feature and bin.
+PRIOR = {
+    "words": [0.0, -1.0, -0.3, 0.5, 0.8, 0.8],
+    "symbol": [0.0, -0.3, -1.0, -2.0, -2.0],
+    "bar": [0.0, -0.5, -1.5],
+    "stutter": [0.0, 0.0, -0.5, -1.5],
+    "repeat": [0.0, -1.0],
+    "stop": [-0.7, 0.5],
+    "item": [0.0, 0.5, -3.0],
 }
 OFFSET = np.cumsum([0] + [len(e) + 1 for e in EDGES.values()])
 N_FEATURES = int(OFFSET[-1])
@@ -134,6 +157,7 @@ class Lines:
             np.cumsum(np.concatenate(([False], w.code[1:] == w.code[:-1])), out=same[1:])
         tail = np.where(self.n_words > 0, self.word_hi - 1, 0)
         last = data[np.maximum(w.end[tail] - 1, 0)] if len(w.code) else np.zeros(len(words), np.uint8)
+        stop = ((last == 46) | (last == 33) | (last == 63)) & (self.n_words > 0)
         value = {
             "words": self.n_words,
             "upper": n["upper"] / np.maximum(n["upper"] + n["lower"], 1),
@@ -144,7 +168,9 @@ class Lines:
             "stutter": (same[self.word_hi] - same[np.minimum(self.word_lo + 1, self.word_hi)]) / words,
             "length": (size[self.word_hi] - size[self.word_lo]) / words,
             "repeat": self.again,
-            "stop": (last == 46) & (self.n_words > 0),
+            "stop": stop,
+            # A few words: a finished sentence, or rather a menu item or heading
+            "item": ((self.n_words > 0) & (self.n_words <= ITEM)) * np.where(stop, 1, 2),
         }
         return np.stack([OFFSET[i] + np.searchsorted(np.asarray(e), np.asarray(value[k], np.float64), "right") for i, (k, e) in enumerate(EDGES.items())], 1)
 
@@ -196,65 +222,100 @@ class Field:
         return state
 
     def gradient(self, features, first, gold):
-        """Log-likelihood of the gold states and its gradient, by forward-backward."""
+        """Log-likelihood gradient of the gold states, by forward-backward, and the
+        marginal probabilities of the states."""
         scores = self.scores(features)
         begin, alive = self._steps(first)
         a = np.zeros_like(scores)
         b = np.zeros_like(scores)
         for t, m in enumerate(alive):
             row = begin[:m] + t
-            a[row] = scores[row] + (np.logaddexp.reduce(a[row - 1][:, :, None] + self.move, 1) if t else 0)
+            a[row] = scores[row] + (_add_log(a[row - 1][:, :, None] + self.move, 1) if t else 0)
         for t in range(len(alive) - 2, -1, -1):
             row = begin[: alive[t + 1]] + t
-            b[row] = np.logaddexp.reduce((b + scores)[row + 1][:, None, :] + self.move, 2)
-        z = np.logaddexp.reduce(a + b, 1)
+            b[row] = _add_log((b[row + 1] + scores[row + 1])[:, None, :] + self.move, 2)
+        z = _add_log(a + b, 1)
         p = np.exp(a + b - z[:, None])
         diff = -p
         diff[np.arange(len(gold)), gold] += 1
-        emit = np.zeros_like(self.emit)
-        for k in range(features.shape[1]):
-            np.add.at(emit, features[:, k], diff)
+        flat = features.ravel()
+        emit = np.stack([np.bincount(flat, np.repeat(diff[:, k], features.shape[1]), len(self.emit)) for k in (0, 1)], 1)
         inner = np.ones(len(gold), bool)
         inner[first[:-1]] = False
         row = np.flatnonzero(inner)
         pair = np.exp(a[row - 1][:, :, None] + self.move + (scores + b)[row][:, None, :] - z[row][:, None, None])
-        move = -pair.sum(0)
-        np.add.at(move, (gold[row - 1], gold[row]), 1)
-        return emit, move
-
-    @classmethod
-    def fit(cls, features: np.ndarray, first: np.ndarray, gold: np.ndarray, *, steps: int = 80, rate: float = 0.2, decay: float = 1e-3) -> Field:
-        """Adam on the mean log-likelihood with an L2 penalty; no randomness."""
-        f = cls(np.zeros((N_FEATURES, 2)), np.zeros((2, 2)))
+        move = np.bincount(2 * gold[row - 1] + gold[row], minlength=4).reshape(2, 2) - pair.sum(0)
+        return emit, move, p
+
+    @staticmethod
+    def prior() -> np.ndarray:
+        emit = np.zeros((N_FEATURES, 2))
+        for at, k in zip(OFFSET, EDGES):
+            odds = np.array(PRIOR.get(k, np.zeros(len(EDGES[k]) + 1)))
+            emit[at : at + len(odds)] = np.stack([-odds / 2, odds / 2], 1)
+        return emit
+
+    def fit(self, features: np.ndarray, first: np.ndarray, gold: np.ndarray, *, chain: bool = True, steps: int = 30, rate: float = 0.3, decay: float = 1e-3) -> Field:
+        """Adam on the mean log-likelihood with an L2 penalty towards the prior, from
+        the weights so far; no randomness.  chain: whether transitions are fitted."""
+        f, prior = Field(self.emit.copy(), self.move.copy()), [self.prior(), np.zeros((2, 2))]
         m = [np.zeros_like(f.emit), np.zeros_like(f.move)]
         v = [np.zeros_like(f.emit), np.zeros_like(f.move)]
         for t in range(1, steps + 1):
-            for i, (w, g) in enumerate(zip((f.emit, f.move), f.gradient(features, first, gold))):
-                g = g / len(gold) - decay * w
+            for i, (w, g) in enumerate(zip((f.emit, f.move)[: 1 + chain], f.gradient(features, first, gold))):
+                g = g / len(gold) - decay * (w - prior[i])
                 m[i] = 0.9 * m[i] + 0.1 * g
                 v[i] = 0.99 * v[i] + 0.01 * g * g
-                w += rate * (m[i] / (1 - 0.9**t)) / (np.sqrt(v[i] / (1 - 0.99**t)) + 1e-8)
+                w += rate * (1 - t / (steps + 1)) * (m[i] / (1 - 0.9**t)) / (np.sqrt(v[i] / (1 - 0.99**t)) + 1e-8)
         return f
 
 
-def fit(docs: DataFrame, labels: DataFrame, *, sample: int = SAMPLE) -> Field:
-    rows = base.labelled_sample(docs, labels, "quality", sample)
-    if len({y for _, _, y in rows}) < 2:
-        return Field(np.tile([0.0, 1.0], (N_FEATURES, 1)), np.zeros((2, 2)))
-    feats, gold, cuts, at = [], [], [0], 0
-    row = 0
-    texts = pa.array([t for _, t, _ in rows], pa.string())
-    for i, j, data, off in groups(texts, 1 << 19):
+def _add_log(x: np.ndarray, axis: int) -> np.ndarray:
+    """log(exp(a) + exp(b)) of the two entries along an axis."""
+    a, b = np.take(x, 0, axis), np.take(x, 1, axis)
+    top = np.maximum(a, b)
+    return top + np.log1p(np.exp(np.minimum(a, b) - top))
+
+
+def line_labels(p: np.ndarray, words: np.ndarray, first: np.ndarray, good: np.ndarray, most: float = MOST) -> np.ndarray:
+    """The state of each line of labelled documents: the likelier one, but ``most`` of
+    a document's words, where necessary in its likeliest lines, have the label's.
+
+    p: probability of content of each line; first: documents' lines; good: their labels."""
+    doc = np.repeat(np.arange(len(good)), np.diff(first))
+    fit = np.where(good[doc], p, 1 - p)  # of the document's own label
+    order = np.lexsort((-fit, doc))
+    size = words[order].astype(np.int64)
+    total = np.concatenate(([0], np.cumsum(size)))
+    before = total[:-1] - total[first[:-1]][doc]
+    own = np.empty(len(p), bool)
+    own[order] = (fit[order] >= 0.5) | (before < most * (total[first[1:]] - total[first[:-1]])[doc])
+    return np.where(own, good[doc], ~good[doc]).astype(int)
+
+
+def fit_texts(texts: list[str], good: np.ndarray, *, rounds: int = ROUNDS) -> Field:
+    """good: whether each text is labelled as good."""
+    field = Field(Field.prior(), np.zeros((2, 2)))
+    if good.all() or not good.any():
+        return field
+    feats, words, first = [], [], [np.zeros(1, np.int64)]
+    for _, _, data, off in groups(pa.array(texts, pa.string()), 1 << 19):
         lines = Lines(data, off)
         feats.append(lines.features())
-        per = np.diff(lines.first)
-        gold.append(np.repeat([y for _, _, y in rows[i:j]], per))
-        for n in per.tolist():
-            cuts += [at + min(n, k + PIECE) for k in range(0, n, PIECE)]
-            at += n
-        row = j
-    assert row == len(rows)
-    return Field.fit(np.concatenate(feats), np.array(cuts), np.concatenate(gold).astype(int))
+        words.append(lines.n_words)
+        first.append(lines.first[1:] + first[-1][-1])
+    feats, words, first = np.concatenate(feats), np.concatenate(words), np.concatenate(first)
+    pieces = np.unique(np.concatenate([first, *[first[:-1][np.diff(first) > k] + k for k in range(PIECE, int(np.diff(first).max()), PIECE)]]))
+    gold = np.repeat(good, np.diff(first)).astype(int)
+    for k in range(rounds):
+        field = field.fit(feats, pieces, gold, chain=k > 0)
+        gold = line_labels(field.gradient(feats, pieces, gold)[2][:, 1], words, first, good)
+    return field.fit(feats, pieces, gold, steps=50)
+
+
+def fit(docs: DataFrame, labels: DataFrame, *, sample: int = SAMPLE) -> Field:
+    rows = base.labelled_sample(docs, labels, "quality", sample)
+    return fit_texts([t for _, t, _ in rows], np.array([y > 0 for _, _, y in rows], bool))
 
 
 VERDICT = StructType(
@@ -263,34 +324,41 @@ VERDICT = StructType(
 )
 
 
+def verdicts(texts: pa.Array, field: Field, min_share: float = MIN_SHARE) -> pa.StructArray:
+    """The VERDICT of each text."""
+    parts: list[pa.Array] = [pa.array([], pa.struct([(f.name, to_arrow_type(f.dataType)) for f in VERDICT]))]
+    for _, _, data, off in groups(texts):
+        lines = Lines(data, off)
+        c = lines.base()
+        state = field.viterbi(field.scores(lines.features()), lines.first).astype(bool)
+        share = per_doc_sum(lines.n_words * state, lines.first) / np.maximum(c["n_words"], 1)
+        failed = (c["n_words"] < MIN_WORDS) | (100 * c["n_repeat_words"] > 50 * c["n_words"])
+        arrays = [pa.array(c[k], pa.int64()) for k in VERDICT.names[:5]]
+        marks = pa.ListArray.from_arrays(pa.array(lines.first, pa.int32()), pa.array(state))
+        arrays += [pa.array(failed), pa.array(share, pa.float64()), marks, pa.array(~failed & (share >= min_share))]
+        parts.append(pa.StructArray.from_arrays(arrays, names=VERDICT.names))
+    return parts[-1] if len(parts) == 2 else pa.concat_arrays([p.cast(parts[0].type) for p in parts])
+
+
 def judge(docs: DataFrame, field: Field, *, text: str = "text", out: str = "rules", min_share: float = MIN_SHARE) -> DataFrame:
     """docs with a struct column ``out``: the base counts, the state of each line
     (``content``), the share of words in content lines, and ``kept``.  An input
     column named like ``out`` is replaced."""
-    emit, move = field.emit, field.move
 
     def run(batch: pa.RecordBatch) -> dict[str, pa.Array]:
-        f = Field(emit, move)
-        parts: list[pa.Array] = []
-        for _, _, data, off in groups(base.column(batch, text).cast(pa.string())):
-            lines = Lines(data, off)
-            c = lines.base()
-            state = f.viterbi(f.scores(lines.features()), lines.first).astype(bool)
-            share = per_doc_sum(lines.n_words * state, lines.first) / np.maximum(c["n_words"], 1)
-            failed = (c["n_words"] < MIN_WORDS) | (100 * c["n_repeat_words"] > 50 * c["n_words"])
-            arrays = [pa.array(c[k], pa.int64()) for k in VERDICT.names[:5]]
-            marks = pa.ListArray.from_arrays(pa.array(lines.first, pa.int32()), pa.array(state))
-            arrays += [pa.array(failed), pa.array(share, pa.float64()), marks, pa.array(~failed & (share >= min_share))]
-            parts.append(pa.StructArray.from_arrays(arrays, names=VERDICT.names))
-        return {out: pa.concat_arrays(parts)}
+        return {out: verdicts(base.column(batch, text).cast(pa.string()), field, min_share)}
 
     return base.map_arrow(docs, run, StructType([StructField(out, VERDICT)]))
 
 
-def keep(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents that pass, same columns."""
-    out = base.free_name(docs, "rules")
-    return judge(docs, fit(docs, labels), out=out).where(F.col(f"{out}.kept")).select(*docs.columns)
+def keep(docs: DataFrame, labels: DataFrame, *, text: str = "text", min_share: float = MIN_SHARE) -> DataFrame:
+    """The documents that pass, same columns; nothing else leaves Python."""
+    field = fit(docs, labels)
+
+    def run(batch: pa.RecordBatch) -> dict[str, pa.Array]:
+        return {"kept": verdicts(base.column(batch, text).cast(pa.string()), field, min_share).field("kept")}
+
+    return base.map_arrow(docs, run, StructType([StructField("kept", BooleanType())]), only="kept")
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

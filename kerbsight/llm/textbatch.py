@@ -18,9 +18,11 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
+from . import base
+
 BLOCK = 1 << 20
 #: Bytes of text handled together; a longer document makes a group of its own.
-GROUP_BYTES = 6 << 20
+GROUP_BYTES = 1 << 20
 
 _U = np.uint64
 _rng = np.random.Generator(np.random.PCG64(20240611))
@@ -161,6 +163,8 @@ def groups(texts: pa.Array, limit: int = GROUP_BYTES) -> Iterator[tuple[int, int
         j = max(i + 1, int(np.searchsorted(off, off[i] + limit, "right")) - 1)
         yield i, j, data[off[i] : off[j]], off[i : j + 1] - off[i]
         i = j
+    if len(data) > limit // 2:
+        base.trim()
 
 
 def per_doc_sum(values: np.ndarray, first: np.ndarray) -> np.ndarray:

@@ -1,19 +1,27 @@
 """Toxicity: a bidirectional gated recurrent network with attention pooling.
 
-A text is read in overlapping windows of ``WINDOW`` words, one every ``STRIDE``
-words, to its end.  A word enters as the sum of a word vector and of its
+A text is read in overlapping windows of ``WINDOW`` words to its end; one starts every
+``STRIDE`` words, so every word and every run of ``WINDOW - STRIDE`` words lies whole in some window
+(that is the meaning of all windows here).  A word enters as the sum of a word vector and of its
 character vectors (hashed n-grams of 3 to 5 bytes with word borders, scaled by
-the root of their number).  Both tables are hashed: forms share the ``WORDS`` = 16,384 rows of the
-one, n-grams the ``CHARS`` = 65,536 of the other, so an unseen form takes the vector of the forms
-in its row, and a row counts as known from ``MIN_DOCS`` training texts with any of its forms; other rows are zero.  A GRU reads the window from either side, attention pools its states, and a linear layer
+the root of their number).  Forms in ``MIN_DOCS`` training texts or more have a row of their own in the
+word table, found by their full fingerprint; all others have the zero vector.  The n-grams share ``CHARS`` =
+65,536 hashed rows, zero below ``MIN_DOCS`` training texts.  A GRU reads the window from either side,
+attention pools its states, and a linear layer
 gives a logit.  A text scores by its most toxic window, calibrated (slope and offset)
 on a third of the sample that the network did not see.
 
 The network is written and trained in numpy: backpropagation through time on
-windows that take the label of their text, from at most ``SAMPLE`` labelled rows
-(of each text that isn't toxic ``NEGATIVE`` windows; of a toxic one all windows in the
-first round and then the ``SURE`` share that scores highest).  Scoring
-covers all windows of every text.  Inputs are the words alone, never labels,
+windows, from at most ``SAMPLE`` labelled rows.  Labels are of texts, and few windows of a toxic text are
+toxic, so training has a start and a choice of windows:
+
+* One dimension of each table starts with how much more often a form (an n-gram) occurs in toxic training
+  texts, in standard errors of the log odds; the rest is drawn at random.
+* Of each text that isn't toxic ``NEGATIVE`` windows are trained on, of a toxic one the ``SURE`` share that
+  look most toxic: by that start in the first round, by the network after it.  Toxic windows weigh
+  as much as the others together, at most ``MOST_WEIGHT`` times.
+
+Scoring covers all windows of every text.  Inputs are the words alone, never labels,
 language, source or id.
 
 Edge cases: null and empty texts have one empty window, whose logit is the output
@@ -37,13 +45,15 @@ from .textbatch import _POW, Words, groups, mix, words_of
 
 SAMPLE = 4500
 NEGATIVE = 3
-SURE = 0.4
+SURE = 0.15
+MOST_WEIGHT = 6.0
+#: The start's standard errors enter the tables divided by these.
+WORD_START, CHAR_START = 1.0, 4.0
 MIN_DOCS = 3
 WINDOW = 24
 STRIDE = 16
 DIM = 16
 HIDDEN = 8
-WORDS = 1 << 14
 CHARS = 1 << 16
 #: Windows scored side by side.
 BATCH = 4096
@@ -84,14 +94,14 @@ def _gather(rows: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 def forms_of(w: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """The distinct words: row in the word table, character rows, their first
+    """The distinct words: fingerprints, character rows, their first
     indices; and which distinct word each word is."""
     codes, first, which = np.unique(w.code, return_index=True, return_inverse=True)
     raw = w.data.tobytes()
     # n-grams of a very long word: all of them, as of any other
     forms = [raw[a:b] for a, b in zip(w.start[first].tolist(), w.end[first].tolist())]
     rows, cuts = char_rows(forms)
-    return (codes % _U(WORDS)).astype(np.int64), rows, cuts, which
+    return codes, rows, cuts, which
 
 
 def windows_of(first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -114,20 +124,30 @@ class Network:
 
     NAMES = ("word", "char", "wf", "uf", "bf", "wb", "ub", "bb", "wa", "va", "wo", "bo")
 
-    def __init__(self, p: dict[str, np.ndarray], calibration: tuple[float, float] = (1.0, 0.0)):
-        self.p, self.calibration = p, calibration
+    def __init__(self, p: dict[str, np.ndarray], codes: np.ndarray, calibration: tuple[float, float] = (1.0, 0.0)):
+        self.p, self.codes, self.calibration = p, codes, calibration
+
+    def rows(self, code: np.ndarray) -> np.ndarray:
+        """The row of each form in the word table; the last, of zeros, for unknown ones."""
+        at = np.searchsorted(self.codes, code)
+        hit = at < len(self.codes)
+        hit[hit] = self.codes[at[hit]] == code[hit]
+        return np.where(hit, at, len(self.codes))
 
     @classmethod
-    def new(cls, rng: np.random.Generator) -> Network:
+    def new(cls, rng: np.random.Generator, codes: np.ndarray) -> Network:
+        """codes: the sorted fingerprints of the forms that have a word vector."""
+
         def draw(*shape: int, by: float) -> np.ndarray:
             return (rng.normal(0, 1, shape) * by).astype(np.float32)
 
         h = HIDDEN
-        p = {"word": draw(WORDS, DIM, by=0.05), "char": draw(CHARS, DIM, by=0.2)}
+        p = {"word": draw(len(codes) + 1, DIM, by=0.05), "char": draw(CHARS, DIM, by=0.05)}
+        p["word"][-1] = 0
         for d in "fb":
             p["w" + d], p["u" + d], p["b" + d] = draw(DIM, 3 * h, by=DIM**-0.5), draw(h, 3 * h, by=h**-0.5), np.zeros(3 * h, np.float32)
         p |= {"wa": draw(2 * h, h, by=(2 * h) ** -0.5), "va": draw(h, by=1.0), "wo": draw(2 * h, by=0.3), "bo": np.zeros(1, np.float32)}
-        return cls(p)
+        return cls(p, codes)
 
     def inputs(self, word: np.ndarray, rows: np.ndarray, cuts: np.ndarray) -> np.ndarray:
         """The input vector of each distinct word; one more row of zeros for padding."""
@@ -182,8 +202,8 @@ class Network:
             out[k : k + BATCH] = self._head(s, mask)[3]
         return out
 
-    def gradient(self, word, rows, cuts, index, y):
-        """Gradient of the mean log loss of windows; table gradients as (rows, values)."""
+    def gradient(self, word, rows, cuts, index, y, weight=None):
+        """Gradient of the mean log loss of windows (weighed); table gradients as (rows, values)."""
         p, h = self.p, HIDDEN
         x = self.inputs(word, rows, cuts)
         mask = index != len(x) - 1
@@ -193,7 +213,7 @@ class Network:
         a, w, c, logit = self._head(s, mask)
         prob = _sigmoid(logit)
         g: dict = {}
-        dl = ((prob - y) / len(y)).astype(np.float32)
+        dl = ((prob - y) / len(y) * (1.0 if weight is None else weight)).astype(np.float32)
         g["wo"], g["bo"] = c.T @ dl, np.array([dl.sum()])
         dc = dl[:, None] * p["wo"]
         ds = w[:, :, None] * dc
@@ -271,6 +291,14 @@ def _places(value: np.ndarray, doc: np.ndarray) -> np.ndarray:
 Model = Network | float
 
 
+def excess(toxic: np.ndarray, total: np.ndarray, n_toxic: int, n: int) -> np.ndarray:
+    """Standard errors by which the log odds of occurring in toxic texts exceed those of
+    the others, from numbers of texts (half a text added everywhere); at most 4 either way."""
+    a, b = toxic + 0.5, total - toxic + 0.5
+    odds = np.log(a / (n_toxic - toxic + 0.5)) - np.log(b / (n - n_toxic - total + toxic + 0.5))
+    return np.clip(odds / np.sqrt(1 / a + 1 / b), -4, 4)
+
+
 def fit_texts(texts: list[str], y: np.ndarray, *, epochs: int = 5, rate: float = 0.015, decay: float = 1e-5, seed: int = 3) -> Model:
     if len(set(y.tolist())) < 2:
         return float(y.mean()) if len(y) else 0.0
@@ -278,40 +306,58 @@ def fit_texts(texts: list[str], y: np.ndarray, *, epochs: int = 5, rate: float =
     trained = np.arange(len(y)) % 3 != 0
     if len(set(y[trained].tolist())) < 2:
         trained[:] = True
-    sets = []
-    seen = {"word": np.zeros(WORDS, np.int64), "char": np.zeros(CHARS, np.int64)}
+    # Texts with each form and, through its forms, with each n-gram: all of them, toxic ones
+    codes, marks, chars, held = [], [], np.zeros((2, CHARS), np.int64), []
     for i, j, data, off in groups(pa.array(texts, pa.string()), 1 << 19):
         w = words_of(data, off, lower=True)
-        doc, begin, size = windows_of(w.first)
+        code, rows, cuts, which = forms_of(w)
+        pairs = np.unique((w.doc * (len(code) + 1) + which)[trained[i:j][w.doc]])
+        doc, form = pairs // (len(code) + 1), pairs % (len(code) + 1)
+        codes.append(code[form])
+        marks.append(y[i:j][doc] > 0)
+        n = np.diff(cuts)
+        at = np.repeat(cuts[form] - (np.cumsum(n[form]) - n[form]), n[form]) + np.arange(n[form].sum())
+        hits = np.unique(np.repeat(doc, n[form]) * CHARS + rows[at])
+        chars[0] += np.bincount(hits % CHARS, minlength=CHARS)
+        chars[1] += np.bincount(hits % CHARS, y[i:j][hits // CHARS] > 0, CHARS).astype(np.int64)
+        held.append((i, j, w.first, code, rows, cuts, which))
+    code, at, total = np.unique(np.concatenate(codes), return_inverse=True, return_counts=True)
+    toxic = np.bincount(at, np.concatenate(marks), len(code))
+    some = total >= MIN_DOCS
+    net = Network.new(rng, code[some])
+    n, n_toxic = int(trained.sum()), int((y[trained] > 0).sum())
+    known = {"word": np.append(np.ones(int(some.sum()), bool), False), "char": chars[0] >= MIN_DOCS}
+    start = excess(toxic[some], total[some], n_toxic, n)
+    net.p["word"][:-1, 0] += start / WORD_START
+    net.p["char"][:, 1] += excess(chars[1], chars[0], n_toxic, n) / CHAR_START
+    net.p["char"] *= known["char"][:, None]
+    start = np.append(start, 0.0)
+    sets, many = [], np.zeros(2)
+    for i, j, first, code, rows, cuts, which in held:
+        doc, begin, size = windows_of(first)
         label, use = y[i:j][doc], trained[i:j][doc]
+        word = net.rows(code)
+        # The most telling form of each window
+        index = _index(which, begin, size, len(word))
+        look = np.append(start[word], -4.0)[index].max(0) + 1e-3 * rng.random(len(doc))
         place = _places(rng.random(len(doc)), doc)
         take = np.flatnonzero(use & ((label > 0) | (place < NEGATIVE)))
-        word, rows, cuts, which = forms_of(w)
-        # Texts with each form and, through its forms, with each n-gram
-        pairs = np.unique(w.doc * (len(word) + 1) + which)
-        form = pairs % (len(word) + 1)
-        np.add.at(seen["word"], word[form], 1)
-        n = np.diff(cuts)
-        at = np.repeat(cuts[form] - (np.cumsum(n[form]) - n[form]), n[form]) + np.arange(n[form].sum())
-        hits = np.unique(np.repeat(pairs // (len(word) + 1), n[form]) * CHARS + rows[at])
-        seen["char"] += np.bincount(hits % CHARS, minlength=CHARS)
-        sets.append(((word, rows, cuts, which), begin[take], size[take], label[take].astype(np.float32), doc[take]))
-    net = Network.new(rng)
-    known = {k: n >= MIN_DOCS for k, n in seen.items()}
-    for k in known:
-        net.p[k] *= known[k][:, None]
+        sets.append(((word, rows, cuts, which), begin[take], size[take], label[take].astype(np.float32), doc[take], look[take]))
+        per = np.bincount(doc[use & (label > 0)])
+        many += [(label[take] == 0).sum(), np.maximum(1, np.round(SURE * per[per > 0])).sum()]
+    weight = float(np.clip(many[0] / max(1.0, many[1]), 1.0, MOST_WEIGHT))
     adam = _Adam(net.p, known, rate, decay)
     for epoch in range(epochs):
         adam.rate = rate * (1 - epoch / epochs)
         for g in rng.permutation(len(sets)):
-            (word, rows, cuts, which), begin, size, label, doc = sets[g]
+            (word, rows, cuts, which), begin, size, label, doc, look = sets[g]
             order = rng.permutation(len(label))
             if epoch:
-                logit = net.logits(net.inputs(word, rows, cuts), _index(which, begin, size, len(word)))
-                sure = _places(-logit, doc) < np.maximum(1, np.round(SURE * np.bincount(doc)))[doc]
-                order = order[((label == 0) | sure)[order]]
-            for k in range(0, len(order), 256):
-                at = order[k : k + 256]
+                look = net.logits(net.inputs(word, rows, cuts), _index(which, begin, size, len(word)))
+            sure = _places(-look, doc) < np.maximum(1, np.round(SURE * np.bincount(doc)))[doc]
+            order = order[((label == 0) | sure)[order]]
+            for k in range(0, len(order), 128):
+                at = order[k : k + 128]
                 index = _index(which, begin[at], size[at], -1)
                 # Only the distinct words of these windows
                 used, inverse = np.unique(index, return_inverse=True)
@@ -320,7 +366,7 @@ def fit_texts(texts: list[str], y: np.ndarray, *, epochs: int = 5, rate: float =
                     used, inverse = used[1:], np.where(index == -1, len(used) - 1, inverse - 1)
                 n = cuts[used + 1] - cuts[used]
                 sub = np.repeat(cuts[used] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-                adam.step(net.gradient(word[used], rows[sub], np.concatenate(([0], np.cumsum(n))), inverse, label[at]))
+                adam.step(net.gradient(word[used], rows[sub], np.concatenate(([0], np.cumsum(n))), inverse, label[at], np.where(label[at] > 0, weight, 1.0)))
     test = np.flatnonzero(~trained) if not trained.all() else np.arange(len(y))
     logit = score_texts(net, pa.array([texts[k] for k in test], pa.string()), raw=True)
     net.calibration = calibrate(logit, y[test])
@@ -329,10 +375,10 @@ def fit_texts(texts: list[str], y: np.ndarray, *, epochs: int = 5, rate: float =
 
 def score_texts(net: Network, texts: pa.Array, *, raw: bool = False) -> np.ndarray:
     out = np.full(len(texts), -np.inf)
-    for i, _, data, off in groups(texts, 2 << 20):
+    for i, _, data, off in groups(texts):
         w = words_of(data, off, lower=True)
         word, rows, cuts, which = forms_of(w)
-        x = net.inputs(word, rows, cuts)
+        x = net.inputs(net.rows(word), rows, cuts)
         doc, begin, size = windows_of(w.first)
         for k in range(0, len(doc), BATCH):
             some = slice(k, k + BATCH)

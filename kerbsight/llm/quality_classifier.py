@@ -1,11 +1,14 @@
 """Quality classifier: random-indexing word vectors and a two-layer network.
 
-Random indexing gives each word form and each word shape a fixed sparse vector of
-+1 and -1 (its index vector, drawn from a hash).  The vector of a word is the sum
-of the index vectors of its neighbours over all documents, so words used
-alike get like vectors; a form is its full 64-bit fingerprint, and one without
-neighbours has a zero vector and counts by its shape alone.  A document is pooled from its words: the mean over the document and,
-over its segments of ``SEGMENT`` words, the largest and smallest mean.  A two-layer numpy network
+Words are runs of letters, digits and non-ASCII characters, A-Z lower-cased.  Random
+indexing gives each word form a fixed sparse vector of +1 and -1 (its index
+vector, drawn from a hash).  The vector of a form is the sum of the index vectors of its
+neighbours over all documents, so words used alike get like vectors; a form is its full
+64-bit fingerprint, and one without neighbours has a zero vector.  Beside its
+vector a word has a shape: how it is written, what stands between it and the next word, and
+whether it repeats the one before; shapes are a fixed table of index vectors.  A document is pooled from
+its words: the mean over the document and, over its segments of ``SEGMENT`` words, the
+largest and smallest mean.  A two-layer numpy network
 gives a logit; a temperature fitted on a third of the sample that it did not see
 calibrates it, together with an offset.
 
@@ -18,7 +21,7 @@ The contexts are counted in Spark, in whole numbers:
    form that the sample lacks to the form's shard, which adds up all blocks' and answers
    each with the vectors; the block's word numbers travel along and are pooled then.
 
-A vector is kept in a byte a dimension: exact up to sums of 127, above scaled to 127
+A vector is kept in four bits a dimension: exact up to sums of 7, above scaled to 7
 (only its direction is used).  There are as many shards as shuffle partitions, so a
 shard shrinks as that setting grows with the input.
 
@@ -27,7 +30,8 @@ source or id.  The network is fitted on at most ``SAMPLE`` labelled rows; contex
 scores cover every text, whole.  Texts scored that are not those of the fit bring the contexts of forms that
 the sample lacks themselves.
 
-Edge cases: null and empty texts pool to zeros and get the score the network gives
+Edge cases: null and empty texts, and texts without a letter or digit, pool to zeros and get the
+score the network gives
 for that; repeated rows get equal scores; with no labels or one kind only, the
 score is that kind's share (0.5 without any); an empty table gives an empty
 result; an input column named like the result is replaced.
@@ -35,6 +39,7 @@ result; an input column named like the result is replaced.
 
 from __future__ import annotations
 
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -49,7 +54,7 @@ from .language_model import _join, _shard, _split
 from .textbatch import Words, groups, mix, words_of
 
 SAMPLE = 4000
-DIM = 48
+DIM = 32
 SHAPE_DIM = 32
 NONZERO = 4
 SEGMENT = 40
@@ -78,57 +83,87 @@ _KINDS[3, list(b"#*$%&|<>{}[]_=+~^\\/@")] = True  # symbols
 _KINDS[4, list(b"!?")] = True
 
 
-def shapes(w: Words) -> np.ndarray:
-    """A code for how each word looks and whether it repeats the one before:
-    amounts (none, one, two, more) of five kinds of characters."""
-    code = np.zeros(len(w.code), np.uint64)
+N_SHAPES = 4**6 * 2
+
+
+def words(data: np.ndarray, off: np.ndarray) -> tuple[Words, np.ndarray]:
+    """The words of some texts and a code for the shape of each: amounts (none, one, two, more)
+    of five kinds of characters from its start to the next word's, its length, and
+    whether it repeats the word before."""
+    w = words_of(data, off, lower=True, punct=True)
+    code = np.zeros(len(w.code), np.uint16)
+    if not len(code):
+        return w, code
+    until = np.append(w.start[1:], len(data))
+    last = w.first[1:][w.count > 0] - 1
+    until[last] = off[1:][w.count > 0]
+    total = np.zeros(len(data) + 1, np.int32)
     for k in range(5):
-        at = np.flatnonzero(_KINDS[k][w.data])
-        n = np.searchsorted(at, w.end) - np.searchsorted(at, w.start)
-        code = code * _U(4) + np.minimum(n, 3).astype(np.uint64)
-    length = np.minimum((w.end - w.start) // 4, 3).astype(np.uint64)
-    same = np.zeros(len(w.code), np.uint64)
-    if len(same):
-        same[1:] = w.code[1:] == w.code[:-1]
-        same[w.first[:-1][w.first[:-1] < len(same)]] = 0
-    return (code * _U(4) + length) * _U(2) + same
-
-
-def _numbers(part: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct values, and which of them each one is."""
-    return np.unique(part, return_inverse=True)
-
-
-def contexts(w: Words, look: np.ndarray, row: np.ndarray, rows: int) -> np.ndarray:
-    """For each row the summed index vectors of the neighbours of its words; row: that
-    of each word, below zero for words not asked for."""
-    total = np.zeros((rows, DIM), np.int64)
-    doc, n = w.doc, len(w.code)
-    for a in range(0, n, STEP_WORDS):  # a bounded number of words at a time
-        b = min(n, a + STEP_WORDS)
-        lo, hi = max(0, a - REACH), min(n, b + REACH)
-        forms, at = _numbers(w.code[lo:hi])
-        index = index_vectors(forms, DIM, 1).astype(np.int8)[at]
-        forms, at = _numbers(look[lo:hi])
-        index += index_vectors(forms, DIM, 2).astype(np.int8)[at]
-        near = np.zeros_like(index)  # at most 2 * REACH * 2 * NONZERO
-        for k in range(1, REACH + 1):
-            same = (doc[lo + k : hi] == doc[lo : hi - k])[:, None]
-            near[:-k] += index[k:] * same
-            near[k:] += index[:-k] * same
-        order = np.argsort(row[a:b], kind="stable")
-        order = order[np.searchsorted(row[a:b][order], 0) :]
-        if len(order):
-            of = row[a:b][order]
-            first = np.flatnonzero(np.concatenate(([True], of[1:] != of[:-1])))
-            total[of[first]] += np.add.reduceat(near[a - lo :][order], first, 0, dtype=np.int32)
+        np.cumsum(_KINDS[k][data], out=total[1:])
+        code = code * 4 + np.minimum(total[until] - total[w.start], 3).astype(np.uint16)
+    same = np.zeros(len(w.code), np.uint16)
+    same[1:] = w.code[1:] == w.code[:-1]
+    same[w.first[:-1][w.count > 0]] = 0
+    return w, (code * 4 + np.minimum((w.end - w.start) // 4, 3).astype(np.uint16)) * 2 + same
+
+
+#: Four dimensions travel in one 64-bit number, 16 bits each: sums of them stay apart while none
+#: passes 32767, so for so many words with 2 * REACH neighbours each.
+LANES, RUN = DIM // 4, 32767 // (2 * REACH * NONZERO)
+
+
+def index_lanes(codes: np.ndarray) -> np.ndarray:
+    """The index vectors of forms, four dimensions to a number: LANES x forms."""
+    v = index_vectors(codes, DIM, 1).astype(np.int64).reshape(len(codes), LANES, 4)
+    return np.ascontiguousarray((v << (16 * np.arange(4))).sum(2).T)
+
+
+def _unlaned(x: np.ndarray) -> np.ndarray:
+    """Sums of lanes (LANES x rows) as rows x DIM."""
+    out = np.empty((x.shape[1], LANES, 4), np.int32)
+    for k in range(4):
+        out[:, :, k] = x.T.astype(np.int16)
+        x = (x - x.astype(np.int16)) >> 16
+    return out.reshape(-1, DIM)
+
+
+def contexts(which: np.ndarray, first: np.ndarray, index: np.ndarray, row: np.ndarray, rows: int) -> np.ndarray:
+    """For each of ``rows`` rows the summed index vectors of the neighbours of its words.
+
+    which: number of each word's form; first: the words of each text; index: the index lanes of
+    the forms; row: that of each form, below zero for forms not asked for."""
+    total = np.zeros((rows, DIM), np.int32)
+    # Texts one after the other with gaps, which are a form without index vector
+    n, docs, forms = len(which), len(first) - 1, index.shape[1]
+    line = np.full(n + REACH * (docs + 1), forms, np.int32)
+    line[np.arange(n) + np.repeat(REACH * np.arange(1, docs + 1), np.diff(first))] = which
+    index, row = np.concatenate([index, np.zeros((LANES, 1), np.int64)], 1), np.append(row, -1)
+    for a in range(REACH, len(line) - REACH, STEP_WORDS):  # a bounded number of words at a time
+        b = min(len(line) - REACH, a + STEP_WORDS)
+        near, of = line[a - REACH : b + REACH], row[line[a:b]]
+        order = np.argsort(of, kind="stable")
+        order = order[np.searchsorted(of[order], 0) :]
+        if not len(order):
+            continue
+        of = of[order]
+        new = np.concatenate(([True], of[1:] != of[:-1]))
+        start = np.flatnonzero(new)
+        nth = np.arange(len(of)) - np.repeat(start, np.diff(np.append(start, len(of))))
+        begin = np.flatnonzero(nth % RUN == 0)
+        sums = np.empty((LANES, len(begin)), np.int64)
+        for k in range(LANES):
+            x = index[k][near]
+            around = sum(x[j : j + b - a] for j in range(2 * REACH + 1) if j != REACH)
+            sums[k] = np.add.reduceat(around[order], begin)
+        np.add.at(total, of[begin[~new[begin]]], _unlaned(sums[:, ~new[begin]]))
+        total[of[start]] += _unlaned(sums[:, new[begin]])
     return total
 
 
 def quantised(total: np.ndarray) -> np.ndarray:
-    """Sums in a byte a dimension, scaled to 127 where they pass it."""
-    most = np.maximum(np.abs(total).max(1, initial=0), 127)
-    return np.rint(total * (127.0 / most)[:, None]).astype(np.int8)
+    """Sums in -7 to 7, scaled where they pass it."""
+    most = np.maximum(np.abs(total).max(1, initial=0), 7)
+    return np.rint(total * (7.0 / most)[:, None]).astype(np.int8)
 
 
 def unit(vectors: np.ndarray) -> np.ndarray:
@@ -137,37 +172,61 @@ def unit(vectors: np.ndarray) -> np.ndarray:
 
 
 def _packed(x: np.ndarray) -> bytes:
-    """Integers without their leading zeros (small ones of either sign), by byte planes of each column."""
-    if x.dtype != np.int8:
-        x = (x << 1) ^ (x >> (8 * x.dtype.itemsize - 1))
-    planes = np.ascontiguousarray(x).view(np.uint8)
-    return pa.compress(np.ascontiguousarray(planes.T).tobytes(), "zstd", asbytes=True)
-
-
-def _unpacked(data: bytes, n: int, kind, width: int = DIM) -> np.ndarray:
-    size = np.dtype(kind).itemsize
-    raw = np.frombuffer(pa.decompress(data, decompressed_size=n * width * size, codec="zstd"), np.uint8) if n else np.zeros(0, np.uint8)
-    x = np.ascontiguousarray(raw.reshape(width * size, n).T).view(kind).reshape(n, width)
-    return x if kind == np.int8 else (x >> 1) ^ -(x & 1)
+    """Whole numbers of a table in as few bytes as the largest needs, column by column and by byte
+    planes, compressed.  Rows within -7 and 7 take half a byte a number and stand apart."""
+    small = np.abs(x).max(1, initial=0) <= 7
+    if x.shape[1] % 2 == 0 and small.any() and not small.all():
+        parts = [pa.compress(np.packbits(small).tobytes(), "zstd", asbytes=True), _packed(x[small])]
+        return b"m" + struct.pack("<qq", *map(len, parts)) + b"".join(parts) + _packed(x[~small])
+    top = int(np.abs(x).max(initial=0))
+    if small.all() and x.shape[1] % 2 == 0:
+        u = (x + 8).astype(np.uint8)
+        kind, raw = b"h", np.ascontiguousarray((u[:, ::2] * 16 + u[:, 1::2]).T).tobytes()
+    else:
+        kind = b"1" if top < 1 << 7 else b"2" if top < 1 << 15 else b"4" if top < 1 << 31 else b"8"
+        raw = np.ascontiguousarray(np.ascontiguousarray(x.astype(f"<i{kind.decode()}")).view(np.uint8).T).tobytes()
+    return kind + pa.compress(raw, "zstd", asbytes=True)
+
+
+def _unpacked(data: bytes, n: int, width: int = DIM) -> np.ndarray:
+    kind = data[:1].decode()
+    if kind == "m":
+        a, b = struct.unpack_from("<qq", data, 1)
+        small = np.unpackbits(np.frombuffer(pa.decompress(data[17 : 17 + a], decompressed_size=(n + 7) // 8, codec="zstd"), np.uint8))[:n] > 0
+        rest = _unpacked(data[17 + a + b :], int((~small).sum()), width)
+        out = np.empty((n, width), rest.dtype)
+        out[small], out[~small] = _unpacked(data[17 + a : 17 + a + b], int(small.sum()), width), rest
+        return out
+    size = n * width // 2 if kind == "h" else n * width * int(kind)
+    raw = np.frombuffer(pa.decompress(data[1:], decompressed_size=size, codec="zstd"), np.uint8) if size else np.zeros(0, np.uint8)
+    if kind == "h":
+        u = raw.reshape(width // 2, n).T
+        out = np.empty((n, width), np.int8)
+        out[:, ::2], out[:, 1::2] = (u >> 4).astype(np.int8) - 8, (u & 15).astype(np.int8) - 8
+        return out
+    return np.ascontiguousarray(raw.reshape(width * int(kind), n).T).view(f"<i{kind}").reshape(n, width)
 
 
 def pooled(table: np.ndarray, which: np.ndarray, look: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """The pooled vector of each text; which: row of each word in the table of vectors."""
+    """The pooled vector of each text; which: row of each word in the table of
+    vectors; look: its shape."""
     n = np.diff(first)
     out = np.zeros((len(n), 3 * (DIM + SHAPE_DIM) + 1), np.float32)
     segs = -(-n // SEGMENT)
     seg = np.concatenate(([0], np.cumsum(segs)))
     begin = np.repeat(first[:-1], segs) + SEGMENT * (np.arange(seg[-1]) - np.repeat(seg[:-1], segs))
     size = np.minimum(begin + SEGMENT, np.repeat(first[1:], segs)) - begin
-    total = np.zeros((len(begin), DIM + SHAPE_DIM), np.float32)
-    a = 0
-    while a < len(begin):  # a bounded number of words at a time
-        b = max(a + 1, int(np.searchsorted(begin, begin[a] + STEP_WORDS)))
-        lo, hi = begin[a], begin[b - 1] + size[b - 1]
-        forms, at = _numbers(look[lo:hi])
-        x = np.concatenate([table[which[lo:hi]], index_vectors(forms, SHAPE_DIM, 3)[at]], 1)
-        total[a:b] = np.add.reduceat(x, begin[a:b] - lo, 0)
-        a = b
+    total = np.empty((len(begin), DIM + SHAPE_DIM), np.float32)
+    table = np.concatenate([table, np.zeros((1, DIM), np.float32)])
+    shape_vectors = np.concatenate([index_vectors(np.arange(N_SHAPES).astype(np.uint64), SHAPE_DIM, 3), np.zeros((1, SHAPE_DIM), np.float32)])
+    inner, step = np.arange(SEGMENT), max(1, STEP_WORDS // SEGMENT)
+    for a in range(0, len(begin), step):  # a bounded number of words at a time
+        some = slice(a, a + step)
+        on = inner < size[some, None]
+        at = np.where(on, begin[some, None] + inner, 0).ravel()
+        for x, words_of_it, lo, width in ((table, which, 0, DIM), (shape_vectors, look, DIM, SHAPE_DIM)):
+            row = np.where(on.ravel(), words_of_it[at], len(x) - 1)
+            total[some, lo : lo + width] = np.einsum("skd->sd", np.take(x, row, axis=0).reshape(-1, SEGMENT, width))
     rows = np.flatnonzero(segs)
     if len(rows):
         at = seg[:-1][rows]
@@ -201,29 +260,32 @@ class WordVectors:
         def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             known, total = held.value, None
             for batch in batches:
-                for _, _, data, off in groups(base.column(batch, "text").cast(pa.string()), BLOCK):
-                    w = words_of(data, off)
+                for _, _, data, off in groups(base.column(batch, "text").cast(pa.string()), 2 << 20):
+                    w = words_of(data, off, lower=True, punct=True)
                     if total is None:
                         total = np.zeros((len(known.code), DIM), np.int64)
-                    forms, at = _numbers(known.row(w.code))
-                    total[forms[forms >= 0]] += contexts(w, shapes(w), at - np.searchsorted(forms, 0), int((forms >= 0).sum()))
+                    forms, which = np.unique(w.code, return_inverse=True)
+                    row = known.row(forms)
+                    mine = np.flatnonzero(row >= 0)
+                    place = np.full(len(forms), -1)
+                    place[mine] = np.arange(len(mine))
+                    total[row[mine]] += contexts(which, w.first, index_lanes(forms), place, len(mine))
             if total is not None:
                 some = np.flatnonzero(total.any(1))
                 ends = np.searchsorted(some, cuts)
                 for k in np.flatnonzero(np.diff(ends)):
                     at = some[ends[k] : ends[k + 1]]
-                    yield pa.RecordBatch.from_arrays([pa.array([k]), pa.array([_join(at - cuts[k])], pa.binary()), pa.array([_packed(total[at])], pa.binary())], names=["part", "rows", "sums"])
+                    yield pa.RecordBatch.from_arrays([pa.array([k]), pa.array([_packed(np.diff(at, prepend=cuts[k])[:, None])], pa.binary()), pa.array([len(at)]), pa.array([_packed(total[at])], pa.binary())], names=["part", "rows", "n", "sums"])
 
         def gather(group: pa.Table) -> pa.Table:
             k = group["part"][0].as_py()
             total = np.zeros((cuts[k + 1] - cuts[k], DIM), np.int64)
-            for rows, sums in zip(group["rows"], group["sums"]):
-                at = _split(rows.as_py(), "i8")[0]
-                total[at] += _unpacked(sums.as_py(), len(at), np.int64)
+            for rows, n, sums in zip(group["rows"], group["n"].to_pylist(), group["sums"]):
+                total[np.cumsum(_unpacked(rows.as_py(), n, 1)[:, 0].astype(np.int64))] += _unpacked(sums.as_py(), n)
             return pa.table({"part": pa.array([k]), "vectors": pa.array([quantised(total).tobytes()], pa.binary())})
 
         vectors = np.zeros((len(code), DIM), np.int8)
-        found = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(add, "part bigint, rows binary, sums binary")
+        found = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(add, "part bigint, rows binary, n bigint, sums binary")
         for r in found.groupBy("part").applyInArrow(gather, "part bigint, vectors binary").collect():
             vectors[cuts[r.part] : cuts[r.part + 1]] = np.frombuffer(r.vectors, np.int8).reshape(-1, DIM)
         held.unpersist()
@@ -233,9 +295,9 @@ class WordVectors:
         """The pooled vector of each text; forms that are not here have a zero vector."""
         out = [np.zeros((0, 3 * (DIM + SHAPE_DIM) + 1), np.float32)]
         table = np.concatenate([unit(self.vectors), np.zeros((1, DIM), np.float32)])
-        for _, _, data, off in groups(texts, 1 << 20):
-            w = words_of(data, off)
-            out.append(pooled(table, self.row(w.code), shapes(w), w.first))
+        for _, _, data, off in groups(texts):
+            w, look = words(data, off)
+            out.append(pooled(table, self.row(w.code), look, w.first))
         return np.concatenate(out)
 
 
@@ -243,7 +305,7 @@ def forms_in(texts: list[str]) -> np.ndarray:
     """The sorted fingerprints of all words."""
     out = [np.zeros(0, np.uint64)]
     for _, _, data, off in groups(pa.array(texts, pa.string())):
-        out.append(np.unique(words_of(data, off).code))
+        out.append(np.unique(words_of(data, off, lower=True, punct=True).code))
     return np.unique(np.concatenate(out))
 
 
@@ -342,27 +404,29 @@ def _ask(held, keys: list[str], shards: int, block: int):
         known = held.value[0]
         for batch in batches:
             for i, j, data, off in groups(base.column(batch, "text"), block):
-                w = words_of(data, off)
-                look = shapes(w)
-                code, at, where, times = np.unique(w.code, return_index=True, return_inverse=True, return_counts=True)
-                # Frequent forms have small numbers, which compress
-                order = np.argsort(-times, kind="stable")
+                w, look = words(data, off)
+                first = w.first.astype(np.int64)
+                code, which, times = np.unique(w.code, return_inverse=True, return_counts=True)
+                del w
+                # Forms that the model has come first, frequent ones in front (small numbers
+                # compress), then the others by shard and fingerprint
+                row = known.row(code)
+                shard = np.where(row >= 0, -1, _shard(code, shards))
+                order = np.lexsort((code, np.where(row >= 0, -times, 0), shard))
                 rank = np.empty_like(order)
                 rank[order] = np.arange(len(order))
-                code, form, where = code[order], (look[at[order]] >> _U(1)).astype(np.uint16), rank[where]
-                row = known.row(code).astype(np.int32)
-                lacking = np.flatnonzero(row < 0)
-                shard = _shard(code[lacking], shards)
-                by = np.argsort(shard, kind="stable")
-                lacking, cuts = lacking[by], np.searchsorted(shard[by], np.arange(shards + 1))
-                place = np.full(len(code), -1)
-                place[lacking] = np.arange(len(lacking))
-                sums = contexts(w, look, place[where], len(lacking))
+                code, row, which, shard = code[order], row[order], rank[which].astype(np.int32), shard[order]
+                del order, rank, times
+                cuts = np.searchsorted(shard, np.arange(shards + 1))
+                mine = int(cuts[0])  # forms of the model
+                place = np.concatenate([np.full(mine, -1), np.arange(len(code) - mine)])
+                sums = contexts(which, first, index_lanes(code), place, len(code) - mine)
                 rows = pa.RecordBatch.from_arrays([base.column(batch, k).slice(i, j - i) for k in keys], names=keys)
                 sink = pa.BufferOutputStream()
                 with pa.ipc.new_stream(sink, rows.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
                     writer.write_batch(rows)
-                state = _join(np.frombuffer(sink.getvalue(), np.uint8), w.first.astype(np.int64), row, form, lacking.astype(np.int32)) + _packed(where.astype(np.int32)[:, None])
+                sent = [_packed(np.diff(first)[:, None]), _packed(row[:mine][:, None]), _packed(which[:, None]), _packed(look.astype(np.int32)[:, None])]
+                state = _join(np.array([len(rows), mine]), np.frombuffer(sink.getvalue(), np.uint8), *[np.frombuffer(x, np.uint8) for x in sent])
                 home = number % shards
                 # A shard without forms here is not asked, but for the home of the state
                 asked = [s for s in range(shards) if cuts[s] < cuts[s + 1] or s == home]
@@ -371,12 +435,13 @@ def _ask(held, keys: list[str], shards: int, block: int):
                     [
                         pa.array(asked),
                         pa.array([number] * len(asked)),
-                        pa.array([_join(code[lacking[c]]) for c in parts], pa.binary()),
-                        pa.array([_packed(sums[c]) for c in parts], pa.binary()),
+                        pa.array([_join(code[c]) for c in parts], pa.binary()),
+                        pa.array([_packed(sums[c.start - mine : c.stop - mine]) for c in parts], pa.binary()),
                         pa.array([state if s == home else None for s in asked], pa.binary()),
                     ],
                     names=["shard", "block", "forms", "sums", "state"],
                 )
+                del which, look, sums, code, row, shard, place, state, sent
                 number += 1
 
     return run
@@ -385,14 +450,14 @@ def _ask(held, keys: list[str], shards: int, block: int):
 def _serve(group: pa.Table) -> pa.Table:
     """The vectors of a shard's forms, over all blocks, for each block."""
     codes = [_split(f.as_py(), "u8")[0] for f in group["forms"]]
-    forms, at = _numbers(np.concatenate(codes))
+    forms, at = np.unique(np.concatenate(codes), return_inverse=True)
     cuts = np.cumsum([0] + [len(c) for c in codes])
     total = np.zeros((len(forms), DIM), np.int64)
     for k, sums in enumerate(group["sums"]):
-        total[at[cuts[k] : cuts[k + 1]]] += _unpacked(sums.as_py(), len(codes[k]), np.int64)
+        total[at[cuts[k] : cuts[k + 1]]] += _unpacked(sums.as_py(), len(codes[k]))
     vectors = quantised(total)
-    answers = [_packed(vectors[at[cuts[k] : cuts[k + 1]]]) for k in range(len(codes))]
-    return pa.table({"shard": group["shard"], "block": group["block"], "vectors": pa.array([_join(np.array([len(c)])) + x for c, x in zip(codes, answers)], pa.binary()), "state": group["state"]})
+    answers = [_join(np.array([len(c)])) + _packed(vectors[at[cuts[k] : cuts[k + 1]]]) for k, c in enumerate(codes)]
+    return pa.table({"shard": group["shard"], "block": group["block"], "vectors": pa.array(answers, pa.binary()), "state": group["state"]})
 
 
 def _finish(held, keys: list[str], out: str):
@@ -400,18 +465,13 @@ def _finish(held, keys: list[str], out: str):
         known, net = held.value
         group = group.sort_by("shard")
         state = next(x.as_py() for x in group["state"] if x.is_valid)
-        blob, first, row, form, lacking = _split(state, "u1 i8 i4 u2 i4")
-        at = 40 + len(blob) + 8 * len(first) + 4 * len(row) + 2 * len(form) + 4 * len(lacking)
-        where = _unpacked(state[at:], int(first[-1]), np.int32, 1)[:, 0]
-        table = np.zeros((len(row), DIM), np.int8)
-        table[row >= 0] = known.vectors[row[row >= 0]]
+        (docs, mine), blob, *sent = _split(state, "i8 u1 u1 u1 u1 u1")
+        n, row = (_unpacked(x.tobytes(), int(k), 1)[:, 0] for x, k in zip(sent, (docs, mine)))
+        first = np.concatenate(([0], np.cumsum(n.astype(np.int64))))
+        which, look = (_unpacked(x.tobytes(), int(first[-1]), 1)[:, 0] for x in sent[2:])
         answers = [x.as_py() for x in group["vectors"]]
-        table[lacking] = np.concatenate([_unpacked(x[16:], int(_split(x, "i8")[0][0]), np.int8) for x in answers])
-        same = np.zeros(len(where), np.uint64)
-        if len(same):
-            same[1:] = where[1:] == where[:-1]
-            same[first[:-1][first[:-1] < len(same)]] = 0
-        x = pooled(unit(table), where, form[where].astype(np.uint64) * _U(2) + same, first)
+        table = unit(np.concatenate([known.vectors[row], *[_unpacked(x[16:], int(_split(x, "i8")[0][0])) for x in answers]]))
+        x = pooled(table, which, look, first)
         rows = pa.ipc.open_stream(pa.py_buffer(blob.tobytes())).read_all()
         return pa.table({**{k: rows[k] for k in keys}, out: pa.array(net.score(x), pa.float64())})
 

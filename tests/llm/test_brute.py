@@ -83,7 +83,8 @@ def test_crf_gradient():
             total += cost(gold[a:b]) - np.logaddexp.reduce([cost(p) for p in itertools.product((0, 1), repeat=b - a)])
         return total
 
-    emit, move = f.gradient(feats, first, gold)
+    emit, move, p = f.gradient(feats, first, gold)
+    assert p.sum(1) == pytest.approx(np.ones(9))
     for w, g in ((f.emit, emit), (f.move, move)):
         for at in ((0, 0), (1, 1)):
             old = w[at]
@@ -94,6 +95,60 @@ def test_crf_gradient():
             w[at] = old
 
 
+def line_bins(line, earlier):
+    """The features of a line, by their definitions."""
+    ws, raw = W.findall(line), line.encode()
+    n, share = max(1, len(ws)), lambda x, y: x / max(1, y)
+    up, low = sum(65 <= c <= 90 for c in raw), sum(97 <= c <= 122 for c in raw)
+    stop = bool(ws) and raw[: len(raw.rstrip(b"\t\n\v\f\r "))][-1:] in (b".", b"!", b"?")
+    value = {
+        "words": len(ws), "upper": share(up, up + low), "symbol": sum(c in b"#*$%&|<>" for c in raw) / n, "bang": sum(c in b"!?" for c in raw) / n,
+        "bar": raw.count(b"|") / n, "digit": share(sum(48 <= c <= 57 for c in raw), len(raw)), "stutter": sum(a == b for a, b in zip(ws, ws[1:])) / n,
+        "length": sum(len(x.encode()) for x in ws) / n, "repeat": bool(ws) and line in earlier, "stop": stop,
+        "item": (1 if stop else 2) if 0 < len(ws) <= quality.ITEM else 0,
+    }
+    return [int(quality.OFFSET[i]) + sum(value[k] >= e for e in edges) for i, (k, edges) in enumerate(quality.EDGES.items())]
+
+
+def test_quality_verdict(spark):
+    """The whole verdict of each text, line by line and path by path."""
+    t = texts(spark)
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
+    ids = sorted(i for i in labels if i in t)
+    f = quality.fit_texts([t[i] for i in ids], np.array([labels[i] > 0 for i in ids]))
+    menu = "\n".join([PROSE[0], "Home", "About us", "News | Sport | Weather", "Contact", "Log in", PROSE[1]])
+    docs = [*t.values(), menu]
+    got = quality.verdicts(pa.array(docs), f).to_pylist()
+    assert got[-1]["content"] == [True, False, False, False, False, False, True]
+    for text, v in zip(docs, got):
+        lines, best, back = text.split("\n"), None, []
+        for k, line in enumerate(lines):
+            s = f.emit[line_bins(line, lines[:k])].sum(0)
+            if best is None:
+                best = s
+            else:
+                via = best[:, None] + f.move
+                back.append([int(via[1, j] >= via[0, j]) for j in (0, 1)])
+                best = via.max(0) + s
+        state = [int(best[1] >= best[0])]
+        for b in back[::-1]:
+            state.append(b[state[-1]])
+        state = state[::-1]
+        words = [len(W.findall(x)) for x in lines]
+        share = sum(n for n, s in zip(words, state) if s) / max(1, sum(words))
+        assert v["content"] == [x > 0 for x in state] and v["content_share"] == pytest.approx(share)
+        assert v["kept"] == (not v["base_failed"] and share >= quality.MIN_SHARE)
+    multi = [v["content"] for v in got[:-1] if len(v["content"]) > 1]
+    assert sum(0 < sum(x) < len(x) for x in multi) > 0.02 * len(multi)
+
+
+def test_line_labels_of_instances():
+    p, words, first = np.array([0.9, 0.2, 0.1, 0.4, 0.6, 0.7]), np.array([10, 1, 1, 5, 5, 2]), np.array([0, 3, 6, 6])
+    good = np.array([True, False, True])
+    # A good text keeps its unlikely lines as boilerplate; a bad one must be boilerplate in 0.7 of its words
+    assert quality.line_labels(p, words, first, good).tolist() == [1, 0, 0, 0, 0, 1]
+
+
 def test_decontamination_in_parts(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     bench = spark.read.parquet(f"{SF}/benchmark.parquet")
@@ -240,9 +295,14 @@ def test_min_cut_is_minimal():
         assert cost(html_extract.min_cut(score, edges)) == pytest.approx(min(map(cost, itertools.product((False, True), repeat=n))))
 
 
+PROSE = ("This is a sentence of the article, which is long enough to be read as prose by anyone.", "Another sentence of it, again with a comma, and long enough to count as content, surely.")
+
+
 def test_html_article(spark):
     pages = [r.html for r in spark.read.parquet(f"{SF}/pages.parquet").collect()]
-    x = html_extract.Extractor(*html_extract.fit(pages))
+    odds = html_extract.fit(html_extract.block_counts(pages))
+    assert (html_extract.train(spark.read.parquet(f"{SF}/pages.parquet").repartition(3)) == odds).all()
+    x = html_extract.Extractor(odds)
     page = (
         "<html><head><title>t</title></head><body><header><h1>Site</h1></header><nav><ul><li><a href=/>Home</a></ul></nav><div class='cookie-notice'>We use cookies</div>"
         "<main><h1>Head &amp; shoulders</h1><p>Para one, long enough.<p>Para <b>two</b><br>more<div class=ad>Buy now</div><p>Three.</p><section id=comments><p>nice!</section></main>"
@@ -255,6 +315,50 @@ def test_html_article(spark):
         assert x.text(p).replace(" ", "") == "\n\n".join(b for b in blocks if b).replace(" ", "")
 
 
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<body class='post has-sidebar'><nav><a href=/>Home</a></nav><article><h1>A head</h1><p>{}<p>{}</article><div class=sidebar><p>Sidebar text that is prose, long enough to look like part of the article.</div><footer>c</footer></body>",
+        "<article class='category-social'><h1>A head</h1><p>{}</p><p>{}</p></article><section id=comments><article class=comment><p>I liked this one very much, thank you for writing it down for us all.</article></section>",
+        "<div><a href=1>Home</a></div><div><a href=2>News</a></div><div><div>A head</div><div>{}</div><div>{}</div></div><div><a href=x>Terms</a> <a href=y>Privacy</a></div>",
+        "A head<p>{}<p>{}",
+    ],
+)
+def test_html_keeps_the_article_of_other_themes(spark, page):
+    x = html_extract.Extractor(html_extract.fit(html_extract.block_counts([r.html for r in spark.read.parquet(f"{SF}/pages.parquet").collect()])))
+    assert x.text(page.format(*PROSE)) == "A head\n\n" + "\n\n".join(PROSE)
+
+
+def test_html_cut_decides(spark, monkeypatch):
+    """Links of an article's reading list look like a menu; their neighbours keep them."""
+    flows = []
+    flow = html_extract._max_flow
+    monkeypatch.setattr(html_extract, "_max_flow", lambda *a: flows.append(a[0]) or flow(*a))
+    x = html_extract.Extractor(html_extract.fit(html_extract.block_counts([r.html for r in spark.read.parquet(f"{SF}/pages.parquet").collect()])))
+    page = f"<body><nav><ul><li><a href=/>Home</a><li><a href=/n>News</a></ul></nav><article><h1>A head</h1><p>{PROSE[0]}</p><p><a href=1>First</a></p><p><a href=2>Second</a></p><p>{PROSE[1]}</p></article></body>"
+    blocks = html_extract.blocks_of(page)
+    own, labels = [s > 0 for s in x.scores(blocks)], x.labels(blocks)
+    assert labels == [False, False, True, True, True, True, True] and own[4:6] == [False, False] and flows
+
+
+def test_min_cut_of_a_long_page():
+    """Against dynamic programming over the labels of two blocks, which edges to the last two allow."""
+    r = random.Random(3)
+    n = 3000
+    score = [r.uniform(-1, 1) for _ in range(n)]
+    edges = [(i - k, i, r.choice([0.0, 0.5, 0.9])) for i in range(n) for k in (1, 2) if i >= k]
+    of = collections.defaultdict(dict)
+    for a, b, c in edges:
+        of[b][b - a] = c
+    own = lambda i, x: max(0, -score[i]) if x else max(0, score[i])
+    best = {(x, y): own(0, x) + own(1, y) + of[1][1] * (x != y) for x in (0, 1) for y in (0, 1)}
+    for i in range(2, n):
+        best = {(y, z): own(i, z) + min(best[x, y] + of[i][1] * (y != z) + of[i][2] * (x != z) for x in (0, 1)) for y in (0, 1) for z in (0, 1)}
+    x = html_extract.min_cut(score, edges)
+    cost = sum(own(i, on) for i, on in enumerate(x)) + sum(c for a, b, c in edges if x[a] != x[b])
+    assert cost == pytest.approx(min(best.values()))
+
+
 @pytest.mark.parametrize(("n", "top"), [(1, 10), (5, 5), (900, 3000), (900, 2**61), (3, 0), (257, 300)])
 def test_elias_fano(n, top):
     rng = np.random.default_rng(n)
@@ -320,11 +424,12 @@ def test_held_out_accuracy(spark, name, label, least):
 
 def test_toxicity_gradient():
     rng = np.random.default_rng(0)
-    net = toxicity.Network.new(rng)
+    net = toxicity.Network.new(rng, np.sort(textbatch.words_of(np.frombuffer(b"some bad here a text", np.uint8), np.array([0, 20])).code))
     net.p = {k: v.astype(np.float64) for k, v in net.p.items()}
     for _, _, d, o in textbatch.groups(pa.array(["some bad words here and there", "a b c", "another text that is longer " * 5])):
         w = textbatch.words_of(d, o)
-        word, rows, cuts, which = toxicity.forms_of(w)
+        code, rows, cuts, which = toxicity.forms_of(w)
+        word = net.rows(code)
         doc, begin, size = toxicity.windows_of(w.first)
         index = toxicity._index(which, begin, size, len(word))
         y = rng.integers(0, 2, len(doc)).astype(float)
@@ -372,7 +477,7 @@ def test_word_vectors_cover_all_documents(spark):
     for _, t in rows:
         for _, _, d, o in textbatch.groups(pa.array([t or ""])):
             w = textbatch.words_of(d, o)
-            index = qc.index_vectors(w.code, qc.DIM, 1) + qc.index_vectors(qc.shapes(w), qc.DIM, 2)
+            index = qc.index_vectors(w.code, qc.DIM, 1)
             for i, j in itertools.permutations(range(len(w.code)), 2):
                 if abs(i - j) <= qc.REACH:
                     want[w.code[i]] += index[j]
@@ -390,6 +495,93 @@ def test_word_vectors_cover_all_documents(spark):
         assert [got[i] for i, _ in rows] == pytest.approx(net.score(x).tolist(), abs=1e-5)
 
 
+def test_pooling_network_and_temperature():
+    from kerbsight.llm import quality_classifier as qc
+
+    r, rng = random.Random(8), np.random.default_rng(8)
+    texts = [" ".join(r.choice(["Ab", "ab!", "x#9", "café", "...", "LONGER"]) for _ in range(n)) for n in (0, 1, 39, 40, 41, 130)] + ["## %%"]
+    low = lambda t: t.translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"))
+    code = lambda x: textbatch.words_of(np.frombuffer(x.encode(), np.uint8), np.array([0, len(x.encode())])).code[0]
+    forms = np.unique([code(x) for x in ("ab", "x", "9", "café", "longer")])
+    vectors = qc.WordVectors(forms, rng.integers(-7, 8, (len(forms), qc.DIM)).astype(np.int8))
+    got = vectors.pool(pa.array(texts))
+    for t, x in zip(texts, got):
+        ws = [(m.start(), m.group()) for m in re.finditer(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", low(t))]
+        rows = []
+        for k, (a, word) in enumerate(ws):
+            span = t[a : ws[k + 1][0] if k + 1 < len(ws) else len(t)]
+            shape = 0
+            for kind in ("A-Z", "a-z", "0-9", r"#*$%&|<>{}\[\]_=+~^\\/@", "!?"):
+                shape = shape * 4 + min(3, len(re.findall(f"[{kind}]", span)))
+            shape = (shape * 4 + min(3, len(word.encode()) // 4)) * 2 + (k > 0 and ws[k - 1][1] == word)
+            at = np.flatnonzero(forms == code(word))
+            v = vectors.vectors[at[0]].astype(float) if len(at) else np.zeros(qc.DIM)
+            rows.append(np.concatenate([v / max(1e-6, np.linalg.norm(v)), qc.index_vectors(np.array([shape], np.uint64), qc.SHAPE_DIM, 3)[0]]))
+        segs = [np.mean(rows[k : k + qc.SEGMENT], 0) for k in range(0, len(rows), qc.SEGMENT)]
+        want = np.concatenate([np.mean(rows, 0), np.max(segs, 0), np.min(segs, 0), [np.log1p(len(rows)) / 10]]) if rows else np.zeros(len(x))
+        assert x == pytest.approx(want, abs=1e-5)
+    # Sums of packed lanes against plain ones, one form being frequent
+    docs = [[r.randrange(30) for _ in range(r.randrange(50))] for _ in range(30)] + [[7] * 5000]
+    which, first = np.array([x for d in docs for x in d]), np.cumsum([0] + [len(d) for d in docs])
+    codes, row = np.arange(30).astype(np.uint64) + np.uint64(9), np.arange(30)
+    row[3] = -1
+    iv, want = qc.index_vectors(codes, qc.DIM, 1).astype(int), np.zeros((30, qc.DIM), int)
+    for d in docs:
+        for i, j in ((i, j) for i in range(len(d)) for j in range(max(0, i - qc.REACH), min(len(d), i + qc.REACH + 1)) if i != j):
+            want[d[i]] += (row[d[i]] >= 0) * iv[d[j]]
+    total = qc.contexts(which, first, qc.index_lanes(codes), row, 30)
+    assert (total == want).all()
+    for x in (total, total[:3] * 0, total.astype(np.int64) << 33, total[:0]):
+        assert (qc._unpacked(qc._packed(x), len(x)) == x).all()
+    # The network learns a rule, and its temperature is where the log loss is least
+    x = rng.normal(size=(400, 6)).astype(np.float32)
+    y = (x[:, 0] * x[:, 1] > 0).astype(float)
+    net = qc.Network.fit(x, y, epochs=200)
+    assert ((net.score(x) > 0.5) == y).mean() > 0.95
+    logit, noisy = rng.normal(size=600) * 4, None
+    noisy = (rng.random(600) < 1 / (1 + np.exp(-logit / 2))).astype(float)
+    loss = lambda t, o: np.mean(np.log1p(np.exp(-(2 * noisy - 1) * (logit / t + o))))
+    t, o = qc.calibrate(logit, noisy)
+    assert all(loss(t, o) <= loss(t * a, o + b) + 1e-3 for a in (0.9, 1, 1.1) for b in (-0.1, 0, 0.1))
+
+
+def test_toxicity_windows_by_hand():
+    """Every window through a network written out for one window at a time."""
+    rng = np.random.default_rng(4)
+    texts = ["", "Some bad words here", " ".join(f"w{k % 37}" for k in range(90)), "a bb ccc " * 11]
+    net = toxicity.Network.new(rng, np.sort(textbatch.words_of(np.frombuffer(b"some bad w1 w2 bb", np.uint8), np.array([0, 17])).code))
+    net.p["word"][:-1] += rng.normal(size=net.p["word"][:-1].shape).astype(np.float32)
+    p, h = net.p, toxicity.HIDDEN
+    sig = lambda v: 1 / (1 + np.exp(-v))
+
+    def vector(word):
+        code = textbatch.words_of(np.frombuffer(word.encode(), np.uint8), np.array([0, len(word)])).code
+        rows, _ = toxicity.char_rows([word.encode()])
+        return p["word"][net.rows(code)[0]] + (p["char"][rows].sum(0) / np.sqrt(len(rows)) if len(rows) else 0)
+
+    def logit(ws):
+        xs = [vector(x) for x in ws]
+        states = []
+        for d in "fb":
+            n, out = np.zeros(h), []
+            for x in xs if d == "f" else xs[::-1]:
+                a, b = x @ p["w" + d] + p["b" + d], n @ p["u" + d]
+                z, r = sig(a[:h] + b[:h]), sig(a[h : 2 * h] + b[h : 2 * h])
+                n = z * n + (1 - z) * np.tanh(a[2 * h :] + r * b[2 * h :])
+                out.append(n)
+            states.append(out if d == "f" else out[::-1])
+        s = np.array([np.concatenate(v) for v in zip(*states)]).reshape(len(xs), 2 * h)
+        e = np.exp(np.tanh(s @ p["wa"]) @ p["va"])
+        return float((e / max(1e-9, e.sum())) @ s @ p["wo"] + p["bo"][0]) if len(xs) else float(p["bo"][0])
+
+    for t, got in zip(texts, toxicity.score_texts(net, pa.array(texts), raw=True)):
+        ws = t.lower().split()
+        starts = [0]
+        while starts[-1] + toxicity.WINDOW < len(ws):
+            starts.append(starts[-1] + toxicity.STRIDE)
+        assert got == pytest.approx(max(logit(ws[a : a + toxicity.WINDOW]) for a in starts), abs=1e-4)
+
+
 def test_repeats_of_equal_rows_stay_linear(spark, monkeypatch):
     copies, n = 40, 120
     same = " ".join(f"s{k}" for k in range(n))

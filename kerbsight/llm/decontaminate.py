@@ -2,17 +2,19 @@
 
 Test items are normalised to words (ASCII letters lower-cased, every other
 ASCII character but 0-9 a separator) and cut into windows of 13 consecutive
-words; an item of fewer words is one window.  All windows form one automaton,
-each text is normalised and scanned once, and what matches is mapped back to
-the bytes and words of the original text.
+words; an item of fewer words is one window.  The automaton reads words, not bytes: each
+word of the benchmark is two symbols of a small alphabet, every other word two blanks.  Each
+text is normalised and scanned once, and what matches is mapped back to
+the bytes and words of the original text.  (The trie and its failure links are those of the
+ahocorasick package.)
 
-Size of what is broadcast: the automaton of one part of the benchmark.  The
-benchmark is split into as many parts as keep each under ``part_bytes`` of item
-text, and the documents pass through the parts one after the other in one
-stage, so a larger benchmark makes more parts, never a larger automaton.
+Size of what is collected and broadcast: at most ``part_bytes`` of item text, whose automaton
+takes some 200 bytes a byte in a worker.  A larger benchmark is worked off in so many parts; the result of
+each is stored before the next begins, so one part's items and one automaton a worker exist at
+a time, whatever the benchmark's size.
 
 Edge cases: a null or empty text, or one without words, has no words, no hits
-and is not contaminated; a null or wordless item has no windows; items with
+and is not contaminated; a null or wordless item, or one without an id, has no windows; items with
 equal windows all count; repeated rows are judged each on their own; an empty
 benchmark contaminates nothing.
 """
@@ -30,7 +32,7 @@ from . import base
 from .textbatch import buffers
 
 WINDOW = 13
-PART_BYTES = 4 << 20
+PART_BYTES = 1 << 20
 
 _TABLE = bytearray(range(256))
 for _b in range(128):
@@ -63,10 +65,13 @@ class Scanner:
         for k, (_, text) in enumerate(items):
             for w in item_windows(text, window):
                 owners.setdefault(w, set()).add(k)
+        vocabulary = sorted({x for w in owners for x in w.split()})
+        side = int(len(vocabulary) ** 0.5) + 1
+        # The first symbol of a word is never a second one, so matches begin and end at words.
+        self.symbols = {x: chr(1 + k // side) + chr(1 + side + k % side) for k, x in enumerate(vocabulary)}
         self.auto = ahocorasick.Automaton()
-        # Bytes stand in for characters (latin-1), so positions are byte offsets.
         for w, who in owners.items():
-            self.auto.add_word(f" {w.decode('latin-1')} ", (w.count(b" ") + 1, tuple(who)))
+            self.auto.add_word("".join(map(self.symbols.__getitem__, w.split())), (w.count(b" ") + 1, tuple(who)))
         self.empty = not owners
         if owners:
             self.auto.make_automaton()
@@ -76,18 +81,15 @@ class Scanner:
         words = words_of(text)
         if not words or self.empty:
             return len(words), [], []
-        line = b" " + b" ".join(words) + b" "
-        found = list(self.auto.iter(line.decode("latin-1")))
+        get = self.symbols.get
+        found = list(self.auto.iter("".join([get(x, "\0\0") for x in words])))
         if not found:
             return len(words), [], []
-        # The match ends at the space behind its last word: that space's rank is the word after.
-        spaces = np.flatnonzero(np.frombuffer(line, np.uint8) == 32)
-        ends = np.searchsorted(spaces, [e for e, _ in found])
         items: set[int] = set()
         ranges = []
-        for e, (_, (n, who)) in zip(ends.tolist(), found):
+        for e, (n, who) in found:
             items.update(who)
-            ranges.append((e - n, e))
+            ranges.append((e // 2 + 1 - n, e // 2 + 1))
         ranges.sort()
         merged = [list(ranges[0])]
         for a, b in ranges[1:]:
@@ -132,15 +134,17 @@ def find(
     strings), and the byte spans (span_start, span_end) of the original text that
     occurring windows cover.  An input column named like ``out`` is replaced."""
     spark = docs.sparkSession
-    rows = benchmark.select(F.col(item).cast("string").alias("i"), F.col(item_text).cast("string").alias("t"))
+    rows = benchmark.select(F.col(item).cast("string").alias("i"), F.col(item_text).cast("string").alias("t")).where("i is not null and t is not null")
     total = rows.select(F.coalesce(F.sum(F.octet_length("t")), F.lit(0)).alias("n")).first()["n"]
     parts = max(1, -(-int(total) // part_bytes))
     found = docs
     for p in range(parts):
         mine = rows if parts == 1 else rows.where(F.pmod(F.xxhash64("i", "t"), F.lit(parts)) == p)
-        items = sorted(((r["i"] or "", r["t"]) for r in mine.collect()), key=lambda x: (x[0], x[1] or ""))
-        held = spark.sparkContext.broadcast(items)
+        held = spark.sparkContext.broadcast(sorted((r["i"], r["t"]) for r in mine.collect()))
         found = base.map_arrow(found, _step(held, text, window, out, bool(p)), StructType([StructField(out, HIT)]))
+        if p < parts - 1:
+            found = base.cut(found)
+            held.destroy()
     return found
 
 
@@ -216,7 +220,7 @@ b as (
     regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+') as w from benchmark),
 iw as (
   select distinct item, least(len(w), 13) as n, array_to_string(w[a : a + least(len(w), 13) - 1], ' ') as t
-  from (select item, w, unnest(range(1, greatest(len(w) - 12, 1) + 1)) as a from b where len(w) > 0)),
+  from (select item, w, unnest(range(1, greatest(len(w) - 12, 1) + 1)) as a from b where len(w) > 0 and item is not null)),
 lens as (select distinct n from iw),
 dw as (select r, a, n, array_to_string(w[a : a + n - 1], ' ') as t from (select r, w, n, unnest(range(1, len(w) - n + 2)) as a from d, lens where len(w) >= n)),
 hit as (select r, a, n, item from dw join iw using (n, t)),

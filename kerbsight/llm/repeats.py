@@ -47,7 +47,7 @@ from .textbatch import Words, grams, groups, mix, rolling, words_of
 
 WINDOW = 35
 PREFIX = 8
-GROUP = 4096
+GROUP = 1024
 _U = np.uint64
 _LAST = np.uint64(2**64 - 1)
 _LOW = (1 << 32) - 1

@@ -198,6 +198,22 @@ def test_near_dedup_components(spark, shingle):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == {i: (len(s), find(i)) for i, s in sets.items()}
 
 
+def test_small_sets_meet_and_pass_the_gate():
+    """Pairs of 5 to 60 shingles at the threshold: how many share a band and pass the gate."""
+    rng = np.random.default_rng(6)
+    missed = total = 0
+    for n in (5, 8, 12, 20, 40, 60):
+        shared = math.ceil(2 * n * 0.8 / 1.8 - 1e-9)
+        x = rng.integers(0, 2**64, (400, n), dtype=np.uint64)
+        y = np.concatenate([x[:, :shared], rng.integers(0, 2**64, (400, n - shared), dtype=np.uint64)], 1)
+        cuts, size = np.arange(401) * n, np.full(400, n)
+        a, b = (hyperminhash.registers(np.sort(v, 1).ravel(), cuts) for v in (x, y))
+        met = (hyperminhash.bands(a) == hyperminhash.bands(b)).any(1)
+        missed += int((~(met & near_dedup._possible(a, b, size, size, 80))).sum())
+        total += 400
+    assert missed == 0 and total == 2400
+
+
 def test_registers_estimate():
     rng = np.random.default_rng(3)
     for n in (40, 400, 5000):
@@ -583,7 +599,7 @@ def test_toxicity_windows_by_hand():
 
 
 def test_repeats_of_equal_rows_stay_linear(spark, monkeypatch):
-    copies, n = 40, 120
+    copies, n = 200, 120
     same = " ".join(f"s{k}" for k in range(n))
     docs = spark.createDataFrame([(1, same)] * copies + [(None, same + " x")] * copies + [(2, "short")], "doc_id bigint, text string").repartition(4)
     for group in (4096, 16):

@@ -40,6 +40,12 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    """Deletes a folder of the shared store, through Spark's own access to it."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """The same rows, stored in the shared folder: later steps survive lost executors."""
     shared_dir(df.sparkSession)

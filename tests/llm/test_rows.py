@@ -120,3 +120,37 @@ def test_classifiers_learn_only_from_allowed_rows(spark, docs, labels):
 
     rows = base.labelled_sample(docs, labels, "quality", 10, where=lambda i: base.crc_mod(i, 5) != 0)
     assert {d for d, _, _ in rows} == {i for i in (1, 8, 3) if zlib.crc32(str(i).encode()) % 5}
+
+
+def test_pipeline_edges(spark, wide, labels, bench, tmp_path):
+    """The stages on nulls, repeated rows, clashing columns and an empty table."""
+    import corpus_pipeline
+
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    bench.write.parquet(f"{tmp_path}/benchmark.parquet")
+    d = wide.withColumn("n_chars", F.length("text").cast("bigint")).withColumn("source", F.lit(None).cast("string"))
+    for name, docs in (("some", d), ("none", d.limit(0))):
+        for k, (step, stage) in enumerate(corpus_pipeline.STAGES):
+            out = stage(spark, docs, str(tmp_path))
+            out.write.parquet(f"{tmp_path}/{name}{k}")
+            if k < 4:
+                assert out.columns == docs.columns
+            docs = spark.read.parquet(f"{tmp_path}/{name}{k}")
+        # Of the rows of equal text one is left; nothing is without words
+        got = [r.doc_id for r in docs.collect()]
+        assert len(got) == len(set(got)) and not {2, 3, 4, 8} & set(got)
+        assert bool(got) == (name == "some")
+
+
+def test_shared_folder_is_asked_for_on_a_cluster(spark):
+    from kerbsight.llm import base
+
+    class Context:
+        master = "spark://host:7077"
+        getConf = staticmethod(lambda: {})
+
+        class _jsc:
+            sc = staticmethod(lambda: type("S", (), {"getCheckpointDir": staticmethod(lambda: type("O", (), {"isDefined": staticmethod(lambda: False)}))}))
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        base.shared_dir(type("Session", (), {"sparkContext": Context, "conf": {}}))

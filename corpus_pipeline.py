@@ -3,6 +3,13 @@
 Quality rules, MinHash near-dedup, substring dedup, benchmark decontamination,
 and SentencePiece encoding.  Each stage takes (spark, docs, sf_dir); all but the
 last return the columns of documents.
+
+Edge cases, as the stages have them: null and empty texts, and those without words, fail
+the quality rules and go; of equal rows, and of rows with equal words, one stays; a null
+doc_id is no reason to go, but any other id of its group stays before it; null lang, source and n_chars
+pass through, as do further columns of any name; a text that loses all its words to repeats
+goes; without benchmark items nothing is contaminated, and without labels the quality rules
+judge by their prior; an empty table gives an empty result with the same columns.
 """
 
 from __future__ import annotations
@@ -54,10 +61,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents, each stored in the shared folder."""
+    """All stages over documents, each stored in the shared folder; what a stage has read
+    goes once the next one's rows are written, so the last stage's rows are what is left."""
     folder = f"{base.shared_dir(spark)}/pipeline-{uuid.uuid4().hex}"
     docs = base.table(spark, sf_dir, "documents")
     for k, (name, stage) in enumerate(STAGES):
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{k}_{name}")
         docs = spark.read.parquet(f"{folder}/{k}_{name}")
+        if k:
+            base.remove_folder(spark, f"{folder}/{k - 1}_{STAGES[k - 1][0]}")
     return docs

@@ -19,7 +19,7 @@ The contexts are counted in Spark, in whole numbers:
    vector a form.  They travel with the model.
 2. Scoring works on blocks of about ``BLOCK`` bytes.  A block sends the contexts of each
    form that the sample lacks to the form's shard, which adds up all blocks' and answers
-   each with the vectors; the block's word numbers travel along and are pooled then.
+   each with the vectors; the block's word numbers travel along, sorted within segments, and are pooled then.
 
 A vector is kept in four bits a dimension: exact up to sums of 7, above scaled to 7
 (only its direction is used).  There are as many shards as shuffle partitions, so a
@@ -56,7 +56,7 @@ from .textbatch import Words, groups, mix, words_of
 SAMPLE = 4000
 DIM = 32
 SHAPE_DIM = 32
-NONZERO = 4
+NONZERO = 2
 SEGMENT = 40
 REACH = 2
 STEP_WORDS = 1 << 17
@@ -207,15 +207,46 @@ def _unpacked(data: bytes, n: int, width: int = DIM) -> np.ndarray:
     return np.ascontiguousarray(raw.reshape(width * int(kind), n).T).view(f"<i{kind}").reshape(n, width)
 
 
+def segments(first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Segments of the texts' words: first segment of each text; first word and words of each segment."""
+    segs = -(-np.diff(first) // SEGMENT)
+    seg = np.concatenate(([0], np.cumsum(segs)))
+    begin = np.repeat(first[:-1], segs) + SEGMENT * (np.arange(seg[-1]) - np.repeat(seg[:-1], segs))
+    return seg, begin, np.minimum(begin + SEGMENT, np.repeat(first[1:], segs)) - begin
+
+
+def _bags(x: np.ndarray, begin: np.ndarray, size: np.ndarray) -> bytes:
+    """Numbers of words, whose order within a segment does not matter: sorted there, as differences."""
+    at = np.repeat(np.arange(len(begin)) << 32, size)
+    v = (np.sort(at + x) & 0xFFFFFFFF).astype(np.int64)
+    d = np.diff(v, prepend=0)
+    d[begin] = v[begin]
+    return _packed(d[:, None])
+
+
+def _unbagged(data: bytes, n: int, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    d = _unpacked(data, n, 1)[:, 0].astype(np.int64)
+    total = np.cumsum(d)
+    return total - np.repeat(total[begin] - d[begin], size)
+
+
+def _packed_codes(code: np.ndarray) -> bytes:
+    """Sorted fingerprints as differences."""
+    d = np.diff(code, prepend=np.zeros(1, np.uint64))
+    return pa.compress(np.ascontiguousarray(d.view(np.uint8).reshape(-1, 8).T).tobytes(), "zstd", asbytes=True)
+
+
+def _unpacked_codes(data: bytes, n: int) -> np.ndarray:
+    raw = np.frombuffer(pa.decompress(data, decompressed_size=8 * n, codec="zstd") if n else b"", np.uint8)
+    return np.cumsum(np.ascontiguousarray(raw.reshape(8, n).T).view(np.uint64).reshape(-1), dtype=np.uint64)
+
+
 def pooled(table: np.ndarray, which: np.ndarray, look: np.ndarray, first: np.ndarray) -> np.ndarray:
     """The pooled vector of each text; which: row of each word in the table of
     vectors; look: its shape."""
     n = np.diff(first)
     out = np.zeros((len(n), 3 * (DIM + SHAPE_DIM) + 1), np.float32)
-    segs = -(-n // SEGMENT)
-    seg = np.concatenate(([0], np.cumsum(segs)))
-    begin = np.repeat(first[:-1], segs) + SEGMENT * (np.arange(seg[-1]) - np.repeat(seg[:-1], segs))
-    size = np.minimum(begin + SEGMENT, np.repeat(first[1:], segs)) - begin
+    seg, begin, size = segments(first)
     total = np.empty((len(begin), DIM + SHAPE_DIM), np.float32)
     table = np.concatenate([table, np.zeros((1, DIM), np.float32)])
     shape_vectors = np.concatenate([index_vectors(np.arange(N_SHAPES).astype(np.uint64), SHAPE_DIM, 3), np.zeros((1, SHAPE_DIM), np.float32)])
@@ -227,7 +258,7 @@ def pooled(table: np.ndarray, which: np.ndarray, look: np.ndarray, first: np.nda
         for x, words_of_it, lo, width in ((table, which, 0, DIM), (shape_vectors, look, DIM, SHAPE_DIM)):
             row = np.where(on.ravel(), words_of_it[at], len(x) - 1)
             total[some, lo : lo + width] = np.einsum("skd->sd", np.take(x, row, axis=0).reshape(-1, SEGMENT, width))
-    rows = np.flatnonzero(segs)
+    rows = np.flatnonzero(n)
     if len(rows):
         at = seg[:-1][rows]
         out[rows, : DIM + SHAPE_DIM] = np.add.reduceat(total, at, 0) / n[rows, None]
@@ -425,7 +456,8 @@ def _ask(held, keys: list[str], shards: int, block: int):
                 sink = pa.BufferOutputStream()
                 with pa.ipc.new_stream(sink, rows.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
                     writer.write_batch(rows)
-                sent = [_packed(np.diff(first)[:, None]), _packed(row[:mine][:, None]), _packed(which[:, None]), _packed(look.astype(np.int32)[:, None])]
+                parts = segments(first)[1:]
+                sent = [_packed(np.diff(first)[:, None]), _packed(row[:mine][:, None]), _bags(which, *parts), _bags(look, *parts)]
                 state = _join(np.array([len(rows), mine]), np.frombuffer(sink.getvalue(), np.uint8), *[np.frombuffer(x, np.uint8) for x in sent])
                 home = number % shards
                 # A shard without forms here is not asked, but for the home of the state
@@ -435,7 +467,7 @@ def _ask(held, keys: list[str], shards: int, block: int):
                     [
                         pa.array(asked),
                         pa.array([number] * len(asked)),
-                        pa.array([_join(code[c]) for c in parts], pa.binary()),
+                        pa.array([_join(np.array([c.stop - c.start])) + _packed_codes(code[c]) for c in parts], pa.binary()),
                         pa.array([_packed(sums[c.start - mine : c.stop - mine]) for c in parts], pa.binary()),
                         pa.array([state if s == home else None for s in asked], pa.binary()),
                     ],
@@ -449,7 +481,7 @@ def _ask(held, keys: list[str], shards: int, block: int):
 
 def _serve(group: pa.Table) -> pa.Table:
     """The vectors of a shard's forms, over all blocks, for each block."""
-    codes = [_split(f.as_py(), "u8")[0] for f in group["forms"]]
+    codes = [_unpacked_codes(f.as_py()[16:], int(_split(f.as_py(), "i8")[0][0])) for f in group["forms"]]
     forms, at = np.unique(np.concatenate(codes), return_inverse=True)
     cuts = np.cumsum([0] + [len(c) for c in codes])
     total = np.zeros((len(forms), DIM), np.int64)
@@ -468,7 +500,7 @@ def _finish(held, keys: list[str], out: str):
         (docs, mine), blob, *sent = _split(state, "i8 u1 u1 u1 u1 u1")
         n, row = (_unpacked(x.tobytes(), int(k), 1)[:, 0] for x, k in zip(sent, (docs, mine)))
         first = np.concatenate(([0], np.cumsum(n.astype(np.int64))))
-        which, look = (_unpacked(x.tobytes(), int(first[-1]), 1)[:, 0] for x in sent[2:])
+        which, look = (_unbagged(x.tobytes(), int(first[-1]), *segments(first)[1:]) for x in sent[2:])
         answers = [x.as_py() for x in group["vectors"]]
         table = unit(np.concatenate([known.vectors[row], *[_unpacked(x[16:], int(_split(x, "i8")[0][0])) for x in answers]]))
         x = pooled(table, which, look, first)

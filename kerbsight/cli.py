@@ -34,7 +34,7 @@ def parser() -> argparse.ArgumentParser:
     return top
 
 
-def run_survey(spark: SparkSession, args: argparse.Namespace) -> str:
+def run_survey(spark: SparkSession, args: argparse.Namespace) -> dict:
     latitude, longitude = recorded.target_of(args.lat, args.lon, args.site)
     target = survey.Target(latitude, longitude, args.radius_m)
     survey.positive(limit=args.limit)
@@ -48,7 +48,7 @@ def run_survey(spark: SparkSession, args: argparse.Namespace) -> str:
         spark.dataSource.register(http.SearchSource)
         pages = spark.read.format("picture_search").options(latitude=latitude, longitude=longitude, radius_m=args.radius_m, limit=args.limit, endpoint=args.endpoint).load()
     rows = survey.survey(pages, target, limit=args.limit, endpoint=args.endpoint, license_id=license_id, license_url=license_url)
-    return documents.to_text(documents.survey_document(rows, target, endpoint=args.endpoint, license_id=license_id, license_url=license_url))
+    return documents.survey_document(rows, target, endpoint=args.endpoint, license_id=license_id, license_url=license_url)
 
 
 def run_preview(spark: SparkSession, args: argparse.Namespace) -> dict:
@@ -64,11 +64,16 @@ def main(argv: list[str] | None = None) -> int:
     spark = SparkSession.builder.appName("kerbsight").getOrCreate()
     try:
         if args.command == "survey":
-            text = run_survey(spark, args)
-            documents.write_text(args.output, text) if args.output else sys.stdout.write(text)
+            found = run_survey(spark, args)
+            text = documents.to_text(found)
+            if args.output:
+                documents.write_text(args.output, text)
+                print(f"{args.output}: {found['candidate_count']} candidates, {found['summary']['sequence_count']} sequences")
+            else:
+                sys.stdout.write(text)
         else:
             m = run_preview(spark, args)
-            print(f"selected={m['selected_count']} downloaded={m['downloaded_count']} failed={m['failed_count']} -> {args.output_dir}/index.html")
+            print(f"{args.output_dir}: {m['downloaded_count']} of {m['selected_count']} thumbnails")
     except (OSError, ValueError, http.ProviderError, PySparkException) as exc:
         print(f"kerbsight {args.command} failed: {exc}", file=sys.stderr)
         return 2

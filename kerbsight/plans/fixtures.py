@@ -51,7 +51,8 @@ def typed_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def json_pages(spark: SparkSession, sf_dir: str, *, page: int = PAGE) -> DataFrame:
     """(page_no, body): the items as search pages of so many features, with keys and
-    types varied by id; every seventh feature comes twice."""
+    types varied by id; every seventh feature comes again with another time, every third
+    links to itself."""
     e = F.col("event_id")
     number = lambda c: F.col(c).cast("string")
     part = lambda name, value: F.when(value.isNull(), "").otherwise(F.concat(F.lit(f'"{name}":'), value, F.lit(",")))
@@ -59,10 +60,12 @@ def json_pages(spark: SparkSession, sf_dir: str, *, page: int = PAGE) -> DataFra
     fov = F.when(e % 4 == 0, part("view:fov", number("fov"))).otherwise(part("pers:interior_orientation", F.concat(F.lit('{"field_of_view":'), number("fov"), F.lit("}"))))
     pano = F.when(e % 2 == 0, part("panoramic", number("pano_flag"))).otherwise(part("view:type", F.when(F.col("pano_flag"), F.lit('"Spherical"')).when(~F.col("pano_flag"), F.lit('"flat"'))))
     props = F.concat(F.lit('"properties":{'), heading, fov, pano, F.lit('"datetime":"2024-01-01T00:00:00Z"},'))
+    own = F.when(e % 3 == 0, F.concat(F.lit('"links":[{"rel":"self","href":"https://items.example/'), F.col("source_id"), F.lit('"}],'))).otherwise("")
     place = F.concat(F.lit('"geometry":{"type":"Point","coordinates":['), number("longitude"), F.lit(","), number("latitude"), F.lit("]},"))
     collection = part("collection", F.concat(F.lit('" '), F.col("sequence_id"), F.lit(' "')))
-    feature = F.concat(F.lit("{"), props, place, collection, F.lit('"id":"'), F.col("source_id"), F.lit('"}'))
+    feature = F.concat(F.lit("{"), props, own, place, collection, F.lit('"id":"'), F.col("source_id"), F.lit('"}'))
     rows = raw_items(spark, sf_dir).select("event_id", feature.alias("feature"), F.floor(e / page).alias("page_no"))
     twice = rows.withColumn("copy", F.explode(F.when(e % 7 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
+    twice = twice.withColumn("feature", F.when(F.col("copy") == 1, F.replace("feature", F.lit("2024-"), F.lit("1999-"))).otherwise(F.col("feature")))
     listed = twice.groupBy("page_no").agg(F.sort_array(F.collect_list(F.struct("event_id", "copy", "feature"))).alias("x"))
     return listed.select("page_no", F.concat(F.lit('{"type":"FeatureCollection","features":['), F.array_join(F.col("x.feature"), ","), F.lit('],"links":[]}')).alias("body"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import geo, stac
 from ..operators import preview, shortlist, summary, survey
+from .. import schemas
 from . import fixtures
 from .fixtures import TARGET
 
@@ -173,9 +174,14 @@ def image_dimensions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parsed.select("event_id", size.width.alias("width"), size.height.cast("long").alias("height"))
 
 
-@query(f"{_BASE} select {', '.join(_COLUMNS)} from cand")
+_URL = "case when cast(substr(source_id, 5) as bigint) % 3 = 0 then concat('https://items.example/', source_id) else concat('" + schemas.ENDPOINT + "/pictures/', source_id) end"
+_CARRIED = f"'2024-01-01T00:00:00Z' as captured_at, {_URL} as source_url, '{schemas.PROVIDER}' as provider, 'CC-BY-4.0' as license_id, 'https://license.example/' as license_url"
+
+
+@query(f"{_BASE} select {', '.join(_COLUMNS)}, {_CARRIED} from cand")
 def json_path_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return survey.survey(fixtures.json_pages(spark, sf_dir), TARGET, limit=None).select(*_COLUMNS)
+    found = survey.survey(fixtures.json_pages(spark, sf_dir), TARGET, limit=None, license_id="CC-BY-4.0", license_url="https://license.example/")
+    return found.select(*_COLUMNS, "captured_at", "source_url", "provider", "license_id", "license_url")
 
 
 @query("select distinct concat('pic-', event_id) as source_id from events")
@@ -309,7 +315,16 @@ def manifest_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return preview.counts(_fetched(spark, sf_dir))
 
 
-@query(None)
+_PICTURE = """case when rank % 6 in (0, 5) then concat('<img alt="', source_id, '" loading="lazy" src="thumbnails/', lpad(cast(rank as varchar), 2, '0'), '_', source_id, '.jpg">')
+  else concat('<div class="missing">', case rank % 6 when 1 then 'fetching the item failed: status 404' when 2 then 'the item is no JSON object' when 3 then 'the item names no thumbnail'
+  else 'the thumbnail&#x27;s type is no image: &#x27;text/html&#x27;' end, '</div>') end"""
+
+
+@query(
+    f"""{_SHORT} select cast(rank as int) as rank, concat('<figure>', {_PICTURE}, '<figcaption><b>', rank, '</b> ', view_class, ', ', distance_m, ' m, ',
+  case when target_in_fov then 'in view' when not target_in_fov then 'out of view' else 'view unknown' end, '<br>', source_id, ' of ', coalesce(sequence_id, 'no sequence'),
+  ' <a rel="noreferrer" href="', {_URL}, '">item</a></figcaption></figure>') as card from short"""
+)
 def gallery_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return preview.cards(_fetched(spark, sf_dir))
 

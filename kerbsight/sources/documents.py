@@ -16,7 +16,7 @@ from .. import schemas
 from ..operators import preview, summary
 from ..operators.survey import Target
 
-STYLE = "body{font:15px sans-serif;margin:2em}.grid{display:flex;flex-wrap:wrap;gap:1em}article{width:20em;border:1px solid #ccc}img,.missing{width:100%;height:13em;object-fit:cover}"
+STYLE = "body{font:15px sans-serif;margin:2em}.grid{display:flex;flex-wrap:wrap;gap:1em}figure{margin:0;width:20em;border:1px solid #ccc}img,.missing{width:100%;height:13em;object-fit:cover}"
 
 
 def to_text(document: dict) -> str:

@@ -111,13 +111,13 @@ def test_preview_outcomes(spark, tmp_path):
     )
     got = {r["rank"]: r for r in preview.judge(top, answers).collect()}
     assert got[1].status == "downloaded" and got[1].local_file == "thumbnails/01_id1.png" and got[1].bytes == 3 and got[1].content_type == "image/png"
-    want = {2: "missing or invalid", 3: "missing or invalid", 4: "status 500", 5: "not an object", 6: "no explicit thumbnail", 7: "thumbnail request failed", 8: "non-image", 9: "invalid JSON"}
+    want = {2: "source_url", 3: "source_url", 4: "status 500", 5: "no JSON object", 6: "names no thumbnail", 7: "fetching the thumbnail failed", 8: "no image", 9: "not valid JSON"}
     assert all(w in got[k].error for k, w in want.items())
     m = documents.write_preview(preview.judge(top, answers), str(tmp_path), source="s", max_items=9, per_sequence=4)
     assert (m["selected_count"], m["downloaded_count"], m["failed_count"]) == (9, 1, 8)
     assert (tmp_path / "thumbnails/01_id1.png").read_bytes() == b"abc"
     page = (tmp_path / "index.html").read_text()
-    assert page.count("<article>") == 9 and page.index("#1 ") < page.index("#2 ")
+    assert page.count("<figure>") == 9 and page.index("<b>1</b>") < page.index("<b>2</b>")
 
 
 def fake(answers):
@@ -176,6 +176,7 @@ def test_command_line(spark, tmp_path, capsys, monkeypatch):
     site.write_text("latitude = 45.001\nlongitude = 6.0\n")
     out = tmp_path / "o/s.json"
     assert cli.main(["survey", "--site", str(site), "--pages", str(pages), "--output", str(out)]) == 0
+    assert f"{out}: " in capsys.readouterr().out
     assert json.loads(out.read_text())["candidates"][0]["view_class"] == "front"
     assert cli.main(["survey", "--pages", str(pages)]) == 2
     assert cli.main(["survey", "--lat", "1", "--lon", "1", "--radius-m", "0", "--pages", str(pages)]) == 2

@@ -8,9 +8,9 @@ of one byte buffer: bytes received from another task, or a memory-mapped file.
 The trie's first level holds context fingerprints, the second the successors of
 all contexts.  A successor is stored relative to its context (the context's rank in
 front of 40 bits of the word's fingerprint), which makes the whole level one monotone sequence;
-monotone pointers mark where a context's successors start; they are stored, but no query reads them,
-as the rank in a successor already bounds the search.  Probabilities and
-back-off weights are quantised to 8 bits with a codebook for each trie.
+monotone pointers mark where a context's successors start, and a search stays between them.
+Counts of bigrams and shares of words, whose product is the smoothed probability, are
+quantised to 8 bits with a codebook for each trie.
 """
 
 from __future__ import annotations
@@ -119,8 +119,9 @@ class EliasFano:
             at, byte = at + 8, byte + 1
         return ((high - i).astype(np.uint64) << _U(self.bits)) | self._lows(i)
 
-    def successor(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The place of the first value >= x (n if none), and whether it equals x."""
+    def successor(self, x: np.ndarray, left: np.ndarray | None = None, right: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """The place of the first value >= x (n if none), and whether it equals x; of
+        the places from left to right (not included) if given, else all."""
         if not self.n:
             return np.zeros(len(x), np.int64), np.zeros(len(x), bool)
         limit = int(self.zeros[-1]) - 1  # zeros behind the last one may be padding
@@ -130,6 +131,8 @@ class EliasFano:
         a = np.where(h > 0, self._select_zero(np.maximum(h - 1, 0)) - (h - 1), 0)
         b = np.minimum(self._select_zero(h) - h, self.n)
         a = np.minimum(a, self.n)
+        if left is not None:
+            a, b = np.maximum(a, left), np.minimum(b, right)
         end = b.copy()
         live = np.flatnonzero(a < b)
         while len(live):
@@ -163,29 +166,26 @@ def quantise(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Trie:
-    """Contexts, their successors, and quantised log10 probabilities."""
+    """Contexts, their successors, and quantised log10 factors of the probabilities."""
 
-    def __init__(self, contexts: EliasFano, pointers: EliasFano, children: EliasFano, count: np.ndarray, backoff: np.ndarray, prob: np.ndarray, books: np.ndarray):
+    def __init__(self, contexts: EliasFano, pointers: EliasFano, children: EliasFano, count: np.ndarray, share: np.ndarray, times: np.ndarray, books: np.ndarray):
         self.contexts, self.pointers, self.children = contexts, pointers, children
-        self.count, self.backoff, self.prob, self.books = count, backoff, prob, books
+        self.count, self.share, self.times, self.books = count, share, times, books
 
     @classmethod
-    def build(cls, words: np.ndarray, count: np.ndarray, child: np.ndarray, n: np.ndarray, discount: float) -> Trie:
-        """words: sorted fingerprints; count: how often each occurs; child: sorted
-        (rank of the context << 40 | successor); n: how often each bigram occurs."""
-        rank = (child >> _U(CHILD_BITS)).astype(np.int64)
-        total = np.bincount(rank, n, len(words))
-        kinds = np.bincount(rank, minlength=len(words))
-        used = total > 0
-        backoff = np.zeros(len(words), np.uint8)
-        code, book0 = quantise(np.log10(discount * kinds[used] / total[used]))
-        backoff[used] = code
-        prob, book1 = quantise(np.log10((n - discount) / total[rank]))
+    def build(cls, words: np.ndarray, count: np.ndarray, child: np.ndarray, n: np.ndarray, prior: float) -> Trie:
+        """words: sorted fingerprints; count: how often each occurs (0: another trie knows);
+        child: sorted (rank of the context << 40 | successor); n: how often each bigram occurs."""
+        kinds = np.bincount((child >> _U(CHILD_BITS)).astype(np.int64), minlength=len(words))
+        used = count > 0
+        share = np.zeros(len(words), np.uint8)
+        share[used], book0 = quantise(-np.log10(count[used] + prior))
+        times, book1 = quantise(np.log10(n))
         pointers = np.concatenate(([0], np.cumsum(kinds))).astype(np.uint64)
-        return cls(EliasFano.build(words), EliasFano.build(pointers), EliasFano.build(child), count.astype(np.int64), backoff, prob, np.stack([book0, book1]))
+        return cls(EliasFano.build(words), EliasFano.build(pointers), EliasFano.build(child), count.astype(np.int64), share, times, np.stack([book0, book1]))
 
     def to_bytes(self) -> bytes:
-        parts = [*self.contexts.parts(), *self.pointers.parts(), *self.children.parts(), self.count, self.books.ravel(), self.backoff, self.prob]
+        parts = [*self.contexts.parts(), *self.pointers.parts(), *self.children.parts(), self.count, self.books.ravel(), self.share, self.times]
         return b"".join(p.tobytes() for p in parts)
 
     @classmethod
@@ -215,10 +215,12 @@ class Trie:
         """Rank of each word and whether the trie has it."""
         return self.contexts.successor(words)
 
-    def successors(self, rank: np.ndarray, child: np.ndarray) -> np.ndarray:
-        """Probability codes of the bigrams (context's rank, 40 bits of the word), 0
-        if unseen: the value itself in the one sequence of all contexts' successors."""
-        at, hit = self.children.successor((rank.astype(np.uint64) << _U(CHILD_BITS)) | child)
+    def successors(self, rank: np.ndarray, n: np.ndarray, child: np.ndarray) -> np.ndarray:
+        """Count codes of bigrams, 0 if unseen: the first n[0] of child (40 bits of the
+        word) are sought between the pointers of context rank[0], and so on."""
+        left, right = (self.pointers.get(r).astype(np.int64) for r in (rank, rank + 1))
+        key = np.repeat(rank.astype(np.uint64) << _U(CHILD_BITS), n) | child
+        at, hit = self.children.successor(key, np.repeat(left, n), np.repeat(right, n))
         out = np.zeros(len(at), np.uint8)
-        out[hit] = self.prob[at[hit]]
+        out[hit] = self.times[at[hit]]
         return out

@@ -396,15 +396,12 @@ def test_language_model(spark, tmp_path):
             c.update(w)
             b.update(zip(["</s>", *w], w))
     n, v = sum(c.values()), len(c)
-    total, kinds = collections.Counter(), collections.Counter()
-    for (x, _), k in b.items():
-        total[x] += k
-        kinds[x] += 1
     held = [0.0, 0.0]
     for r in entry.queries()["op9_lm_score"](spark, SF).collect():
         w = token[r.doc_id]
         one = [(c[x] + 1) / (n + v + 1) for x in w]
-        p = [q if not total[a] else max(b[a, x] - 0.75, 0) / total[a] + 0.75 * kinds[a] / total[a] * q for a, x, q in zip(["</s>", *w], w, one)]
+        m = language_model.PRIOR
+        p = [(b[a, x] + m * q) / (c[a] + m) for a, x, q in zip(["</s>", *w], w, one)]
         assert (r.n_tokens, r.n_known, r.train_tokens) == (len(w), sum(c[x] > 0 for x in w), n)
         assert r.base_score == pytest.approx(sum(map(math.log10, one)))
         assert r.score == pytest.approx(sum(map(math.log10, p)), abs=0.06 * len(w))
@@ -413,12 +410,24 @@ def test_language_model(spark, tmp_path):
     assert held[0] > held[1]
     words = np.array([3, 9, 40], np.uint64)
     trie = elias_fano.Trie.build(words, np.array([2, 1, 5]), np.array([(0 << 40) | 9, (2 << 40) | 3], np.uint64), np.array([2, 4]), 0.75)
+    assert trie.pointers.get(np.arange(4)).tolist() == [0, 1, 1, 2]
     trie.save(str(tmp_path / "t"))
     trie = elias_fano.Trie.open(str(tmp_path / "t"))
     rank, hit = trie.context(np.array([3, 4, 40], np.uint64))
     assert hit.tolist() == [True, False, True]
-    code = trie.successors(rank, np.array([9, 9, 9], np.uint64))
-    assert code.tolist()[2] == 0 and 10 ** trie.books[1][code[0]] == pytest.approx((2 - 0.75) / 2)
+    code = trie.successors(rank[hit], np.array([2, 1]), np.array([9, 3, 9], np.uint64))
+    assert code.tolist()[1:] == [0, 0] and 10 ** trie.books[1][code[0]] == pytest.approx(2)
+    assert 10.0 ** trie.books[0][trie.share] == pytest.approx(1 / (np.array([2, 1, 5]) + 0.75))
+
+
+def test_language_model_shards(spark):
+    """The same scores however many shards there are, hot contexts among them."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").withColumn("train", F.col("doc_id") % 3 != 0)
+    got = [{r[0]: r[1:] for r in language_model.score(docs, shards=n, block=1 << 16).collect()} for n in (1, 5, 40)]
+    for i, want in got[0].items():
+        for other in got[1:]:
+            assert other[i][:3] == want[:3] and other[i][3] == pytest.approx(want[3])
+            assert other[i][4] == pytest.approx(want[4], abs=0.06 * want[0])
 
 
 def auc(s, y):

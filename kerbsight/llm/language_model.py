@@ -19,8 +19,8 @@ training never saw; p1(w) = (c(w) + 1) / (N + V + 1).
 Contexts are the word before, or the text's start; every text ends in an end token, so a
 context is followed by something exactly c(v) times.  The two factors are stored
 apart, c(v, w) with the bigram and 1 / (c(v) + m) with the word, each in 8 bits.  So nothing
-but the blocks needs all successors of a context, and they are dealt over an eighth of the
-shards: a context that makes up a tenth of all bigrams weighs on no shard more than others do.
+but the blocks needs all successors of a context, and they are dealt over a sixteenth of the
+shards: a context that makes up a tenth of all bigrams adds to a shard less than twice its usual load.
 
 Nothing is broadcast or collected.  What is exchanged grows with the distinct
 words and bigrams of the blocks; a hot word, or bigram, is one entry a block.  There is a shard for
@@ -67,7 +67,7 @@ def _shard(codes: np.ndarray, shards: int) -> np.ndarray:
 def _dealt(home: np.ndarray, head: np.ndarray, tail: np.ndarray, shards: int) -> tuple[np.ndarray, np.ndarray]:
     """The shard of each bigram, from its words' homes, and the order by shard:
     the successors of a context lie in the shards from its home on."""
-    shard = (home[head] + home[tail] % -(-shards // 8)) % shards
+    shard = (home[head] + home[tail] % -(-shards // 16)) % shards
     order = np.argsort(shard.astype(np.uint16) if shards <= 1 << 16 else shard, kind="stable")
     return shard[order], order
 
@@ -121,7 +121,7 @@ def _contexts(token: np.ndarray, first: np.ndarray, end) -> np.ndarray:
     return out
 
 
-_REQUEST = "shard bigint, block bigint, request binary, state binary"
+_REQUEST = "shard int, block bigint, request binary, state binary"
 _NAMES = ["shard", "block", "request", "state"]
 
 
@@ -164,7 +164,7 @@ def _ask(keys: list[str], shards: int, block: int):
                     asks.append(_join(code[w], count[w], context[r], kinds[r], child[q].reshape(-1), times[q]))
                 owner = number % shards
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.arange(shards)), pa.array(np.full(shards, number)), pa.array(asks, pa.binary()), pa.array([state if s == owner else None for s in range(shards)], pa.binary())],
+                    [pa.array(np.arange(shards, dtype=np.int32)), pa.array(np.full(shards, number)), pa.array(asks, pa.binary()), pa.array([state if s == owner else None for s in range(shards)], pa.binary())],
                     names=_NAMES,
                 )
                 number += 1
@@ -172,7 +172,7 @@ def _ask(keys: list[str], shards: int, block: int):
     return run
 
 
-_ANSWER = "block bigint, shard bigint, words bigint, tokens bigint, answer binary, state binary"
+_ANSWER = "block bigint, shard int, words bigint, tokens bigint, answer binary, state binary"
 
 
 _PARTS = "u8 u4 u8 u4 u1 u4"
@@ -217,6 +217,7 @@ def _serve(prior: float):
         trie, words, tokens = build_shard(requests, prior)
         trie = Trie.over(trie.to_bytes())
         n = len(requests)
+        base.trim()
         return pa.table(
             {
                 "block": group["block"],
@@ -260,6 +261,7 @@ def _sum(keys: list[str], shards: int, prior: float):
         one = (count[where] + 1.0) / (n + v + 1.0)
         # Quantising may pass 1
         p = np.where(share[head] > 0, np.minimum(1.0, (times[at] + prior * one) * share[head]), one)
+        base.trim()
         sums = lambda x: np.add.reduceat(x, first[:-1])
         out = {
             "n_tokens": np.diff(first),
@@ -285,7 +287,7 @@ def score(docs: DataFrame, *, text: str = "text", train: str = "train", keys: tu
     if not shards:
         shards = max(1, -(-(rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // SHARD))
     asked = rows.mapInArrow(_ask(names, shards, block), _REQUEST)
-    served = asked.repartition(shards, "shard").groupBy("shard").applyInArrow(_serve(prior), _ANSWER)
+    served = asked.repartitionById(shards, "shard").groupBy("shard").applyInArrow(_serve(prior), _ANSWER)
     kinds = ", ".join(f"{n} {docs.schema[k].dataType.simpleString()}" for k, n in zip(keys, names))
     done = served.groupBy("block").applyInArrow(_sum(names, shards, prior), f"{kinds}, {', '.join(RESULTS)}")
     results = [r.split()[0] for r in RESULTS]

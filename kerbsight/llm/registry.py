@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from .decontaminate import OP2_SQL, op2_decontamination
+from .fill_middle import OP11_SQL, op11_fill_middle
 from .html_extract import op8_html_extract
 from .language_model import op9_lm_score
+from .merkle import OP13_SQL, op13_merkle_manifest
 from .near_dedup import OP3_SQL, op3_near_dedup
 from .pieces import op6_sentencepiece
 from .quality import op1_quality_rules
@@ -24,12 +26,16 @@ QUERIES = {
     "op8_html_extract": op8_html_extract,
     "op9_lm_score": op9_lm_score,
     "op10_toxicity": op10_toxicity,
+    "op11_fill_middle": op11_fill_middle,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 ORACLES: dict[str, str] = {
     "op2_decontamination": OP2_SQL,
     "op3_near_dedup": OP3_SQL,
     "op5_url_filter": OP5_SQL,
     "op7_substring_dedup": OP7_SQL,
+    "op11_fill_middle": OP11_SQL,
+    "op13_merkle_manifest": OP13_SQL,
 }
 
 

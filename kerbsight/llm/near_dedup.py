@@ -34,19 +34,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import base
+from .blocks import BLOCK, LINK, settle, verified
 from .components import components
 from .hyperminhash import BUCKETS, ROWS, bands, jaccard, matches, registers, shingle_sets
 from .textbatch import groups, mix, words_of
 
 PERCENT = 80
 SHINGLE = 5
-BLOCK = 512
-#: Shingles of a block's sets, beside the number of its rows.
-BLOCK_SHINGLES = 1 << 20
 MARGIN = 0.25
 _U = np.uint64
 
@@ -105,6 +103,14 @@ def _possible(reg_a, reg_b, n_a, n_b, percent: int) -> np.ndarray:
     return out
 
 
+def _estimate(percent: int):
+    def test(t: pa.Table):
+        reg, n = _registers(t["reg"].combine_chunks()), np.asarray(t["n"].combine_chunks())
+        return lambda i, j: _possible(reg[i], reg[j], n[i], n[j], percent)
+
+    return test
+
+
 def _gate(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -117,169 +123,12 @@ def _gate(percent: int):
     return run
 
 
-def _verify(percent: int):
-    """Exact similarity of pairs that carry both sets as sorted 64-bit values."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ok = np.zeros(batch.num_rows, bool)
-            for i, (x, y) in enumerate(zip(base.column(batch, "sa"), base.column(batch, "sb"))):
-                x, y = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                ok[i] = 100 * both >= percent * (len(x) + len(y) - both)
-            yield pa.RecordBatch.from_arrays([base.column(batch, c).filter(pa.array(ok)) for c in ("a", "b")], names=["a", "b"])
-
-    return run
-
-
-class _Forest:
-    """Union-find over the roots that occur in a block."""
-
-    def __init__(self, roots: np.ndarray):
-        self.up = {r: r for r in roots.tolist()}
-
-    def find(self, x: int) -> int:
-        while self.up[x] != x:
-            self.up[x] = self.up[self.up[x]]
-            x = self.up[x]
-        return x
-
-    def join(self, a: int, b: int) -> bool:
-        a, b = self.find(a), self.find(b)
-        self.up[max(a, b)] = min(a, b)
-        return a != b
-
-
-def _links_of(found: list[tuple[int, int]]) -> pa.RecordBatch:
-    a, b = np.array(found, np.int64).reshape(-1, 2).T
-    return pa.RecordBatch.from_arrays([pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b))], names=["a", "b"])
-
-
-def _blocks(work, first: str, second: str):
-    """Hands the rows of each (first, second) to work; rows come sorted by them."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        mark = None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            x, y = np.asarray(base.column(batch, first)), np.asarray(base.column(batch, second))
-            cuts = [0, *(np.flatnonzero((x[1:] != x[:-1]) | (y[1:] != y[:-1])) + 1).tolist(), len(x)]
-            for a, b in zip(cuts[:-1], cuts[1:]):
-                if held and mark != (x[a], y[a]):
-                    yield _links_of(work(pa.Table.from_batches(held)))
-                    held = []
-                mark = (x[a], y[a])
-                held.append(batch.slice(a, b - a))
-        if held:
-            yield _links_of(work(pa.Table.from_batches(held)))
-
-    return run
-
-
-def _pairs(root: np.ndarray, side: np.ndarray, s: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of different components that a block has to check for some of its
-    rows: across its two sides, or all of them if it has one side."""
-    across = side.any() and not side.all()
-    order = (side[rows][:, None] < side[None, :]) if across else (s[rows][:, None] < s[None, :])
-    i, j = np.nonzero((root[rows][:, None] != root[None, :]) & order)
-    return rows[i], j
-
-
-def _compare(percent: int):
-    """Spanning edges between rows of different components that can reach the
-    threshold by their sketches."""
-
-    def work(t: pa.Table) -> list[tuple[int, int]]:
-        s, root, side, n = (np.asarray(t[c].combine_chunks()) for c in ("s", "root", "side", "n"))
-        reg = _registers(t["reg"].combine_chunks())
-        forest, found = _Forest(root), []
-        for k in range(0, len(s), 16):  # a bounded number of pairs at a time
-            i, j = _pairs(root, side, s, np.arange(k, min(k + 16, len(s))))
-            if len(i):
-                ok = _possible(reg[i], reg[j], n[i], n[j], percent)
-                found += [(s[x], s[y]) for x, y in zip(i[ok].tolist(), j[ok].tolist()) if forest.join(int(root[x]), int(root[y]))]
-        return found
-
-    return work
-
-
-def _exact(percent: int):
-    """Spanning links between rows of different components, verified on their sets."""
-
-    def work(t: pa.Table) -> list[tuple[int, int]]:
-        s, root, side = (np.asarray(t[c].combine_chunks()) for c in ("s", "root", "side"))
-        sets = [np.frombuffer(x, np.uint64) for x in t["codes"].to_pylist()]
-        n = np.array([len(x) for x in sets])
-        forest, found = _Forest(root), []
-        i, j = _pairs(root, side, s, np.arange(len(s)))
-        fits = 100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j])
-        i, j = i[fits], j[fits]
-        if len(i) > 2000:
-            both = _intersections(sets)[i, j]
-        else:
-            both = np.array([len(np.intersect1d(sets[x], sets[y], assume_unique=True)) for x, y in zip(i.tolist(), j.tolist())], np.int64)
-        ok = np.flatnonzero(100 * both >= percent * (n[i] + n[j] - both))
-        for k in ok.tolist():
-            if forest.join(int(root[i[k]]), int(root[j[k]])):
-                found.append((s[i[k]], s[j[k]]))
-        return found
-
-    return work
-
-
-def _deal(rows: DataFrame, block: int) -> DataFrame:
-    """rows (g, s, root, n) of the groups with two components or more, dealt to parts of
-    at most about two blocks (by rows and by shingles) so that each pair of different components meets in one:
-    blocks of the largest component against blocks of the others, and those among
-    themselves.  A few strays beside a large component cost it no copies."""
-    blocks = lambda c, n: F.ceil(F.greatest(F.col(c) / block, F.col(n) / BLOCK_SHINGLES))
-    sides = rows.groupBy("g", "root").agg(F.count("*").alias("c"), F.sum("n").alias("n"))
-    major = sides.groupBy("g").agg(F.max(F.struct("c", "root", "n")).alias("m"), F.sum("c").alias("all"), F.sum("n").alias("size"), F.count("*").alias("roots")).where("roots > 1")
-    major = major.select("g", F.col("m.root").alias("major"), F.col("m.c").alias("mc"), F.col("m.n").alias("mn"), (F.col("all") - F.col("m.c")).alias("oc"), (F.col("size") - F.col("m.n")).alias("on"))
-    major = base.cut(major.select("g", "major", blocks("mc", "mn").alias("x"), blocks("oc", "on").alias("y")))
-    both = rows.join(major, "g")
-    h, x, y, zero = F.xxhash64("s", F.lit(3)), F.col("x"), F.col("y"), F.lit(0).cast("long")
-    at = lambda part, side: F.struct(part.cast("long").alias("part"), side.alias("side"))
-    mine, other = F.pmod(h, x), F.pmod(h, y)
-    of_major = F.transform(F.sequence(zero, y - 1), lambda b: at(mine * y + b, F.lit(0)))
-    of_minor = F.concat(
-        F.transform(F.sequence(zero, x - 1), lambda a: at(a * y + other, F.lit(1))),
-        F.transform(F.sequence(zero, y - 1), lambda b: at(x * y + F.least(other, b) * y + F.greatest(other, b), F.when(other <= b, 0).otherwise(1))),
-    )
-    return both.select("g", "s", "root", F.inline(F.when(F.col("root") == F.col("major"), of_major).otherwise(of_minor)))
-
-
-def _intersections(sets: list[np.ndarray], columns: int = 4096) -> np.ndarray:
-    """Sizes of all pairwise intersections: the incidence matrix of the elements
-    that two sets or more have, times itself, a slice of elements at a time."""
-    owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
-    _, which, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    shared = count[which] > 1
-    owner, which = owner[shared], (np.cumsum(count > 1) - 1)[which[shared]]
-    order = np.argsort(which, kind="stable")
-    owner, which = owner[order], which[order]
-    out = np.zeros((len(sets), len(sets)), np.float64)
-    for low in range(0, int(which[-1]) + 1 if len(which) else 0, columns):
-        a, b = np.searchsorted(which, [low, low + columns])
-        x = np.zeros((len(sets), columns), np.float32)
-        x[owner[a:b], which[a:b] - low] = 1.0
-        out += x @ x.T
-    return out.astype(np.int64)
-
-
 def sketches(docs: DataFrame, *, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
     """(doc_id, k, n, s, reg): id, row key, set size, set fingerprint, registers."""
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.xxhash64(key, text).alias("k"), F.col(text).cast("string").alias("text"))
     return rows.mapInArrow(_sketch(shingle), "doc_id bigint, k bigint, n bigint, s bigint, reg binary")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    a, b = sets.select(F.col("s").alias("a"), F.col("codes").alias("sa")), sets.select(F.col("s").alias("b"), F.col("codes").alias("sb"))
-    return pairs.join(a, "a").join(b, "b").select("a", "b", "sa", "sb").mapInArrow(_verify(percent), "a bigint, b bigint")
-
-
 def _links(docs: DataFrame, sk: DataFrame, key: str, text: str, shingle: int, percent: int, rows: int, block: int) -> DataFrame:
     """(node, root) of the components of nodes that are linked."""
     sets = sk.where("n > 0")
@@ -299,28 +148,12 @@ def _links(docs: DataFrame, sk: DataFrame, key: str, text: str, shingle: int, pe
     pairs = met.where("s > hub").select(F.col("s").alias("a"), F.col("hub").alias("b")).distinct()
     a = one.select(F.col("s").alias("a"), F.col("n").alias("na"), F.col("reg").alias("ra"))
     b = one.select(F.col("s").alias("b"), F.col("n").alias("nb"), F.col("reg").alias("rb"))
-    gated = pairs.join(a, "a").join(b, "b").select("a", "b", "na", "nb", "ra", "rb").mapInArrow(_gate(percent), "a bigint, b bigint")
-    links = base.cut(_verified(gated, codes, percent))
+    gated = pairs.join(a, "a").join(b, "b").select("a", "b", "na", "nb", "ra", "rb").mapInArrow(_gate(percent), LINK)
+    links = base.cut(verified(gated, codes, percent))
     comp = components(links)
 
-    # Buckets whose members are in different components
-    # (their registers are all of one size)
-    rooted = met.select(F.col("key").alias("g"), "s").join(comp.withColumnRenamed("node", "s"), "s", "left").select("g", "s", F.coalesce("root", "s").alias("root"), F.lit(0).cast("long").alias("n"))
-    full = _deal(rooted, block).join(one.select("s", "n", "reg"), "s").select("g", "part", "s", "root", "side", "n", "reg")
-    near = full.repartition("g", "part").sortWithinPartitions("g", "part").mapInArrow(_blocks(_compare(percent), "g", "part"), "a bigint, b bigint")
-    near = base.cut(near.distinct())
-    if near.isEmpty():
-        return comp
-
-    # Clusters of components that may be linked: each node's set travels once a block
-    cluster = components(near.unionByName(comp.select(F.col("node").alias("a"), F.col("root").alias("b"))))
-    member = one.select("s", "n").join(comp.withColumnRenamed("node", "s"), "s", "left").join(cluster.select(F.col("node").alias("s"), F.col("root").alias("c")), "s", "left")
-    member = member.select(F.coalesce("c", "s").alias("g"), "s", F.coalesce("root", "s").alias("root"), "n")
-    whole = _deal(member, block).join(codes, "s").select("g", "part", "s", "root", "side", "codes")
-    more = base.cut(whole.repartition("g", "part").sortWithinPartitions("g", "part").mapInArrow(_blocks(_exact(percent), "g", "part"), "a bigint, b bigint"))
-    if more.isEmpty():
-        return comp
-    return components(links.unionByName(more))
+    # Registers are all of one size, so blocks count rows only
+    return settle(met, one, ["n", "reg"], codes, links, comp, _estimate(percent), percent, block, F.lit(0).cast("long"))
 
 
 def _codes(shingle: int):
@@ -333,37 +166,44 @@ def _codes(shingle: int):
     return run
 
 
-def group(docs: DataFrame, *, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE, percent: int = PERCENT, rows: int = ROWS, block: int = BLOCK) -> DataFrame:
-    """(doc_id, k, n_shingles, component_id) for each row: its key, the size of its set
-    and the smallest id reachable over links."""
-    sk = base.cut(sketches(docs, key=key, text=text, shingle=shingle))
-    comp = _links(docs, sk, key, text, shingle, percent, rows, block)
+def named(sk: DataFrame, comp: DataFrame) -> DataFrame:
+    """(doc_id, k, n_shingles, component_id) of sets (doc_id, k, n, s) whose components are known."""
     node = sk.where("n > 0").groupBy("s").agg(F.min("doc_id").alias("least"))
     root = node.join(comp.withColumnRenamed("node", "s"), "s", "left").select("s", "least", F.coalesce("root", "s").alias("root"))
     best = base.cut(root.groupBy("root").agg(F.min("least").alias("component_id")))
-    named = root.join(best, "root").select("s", "component_id")
-    full = sk.select("doc_id", "k", "n", "s").join(named, "s", "left")
+    of_node = root.join(best, "root").select("s", "component_id")
+    full = sk.select("doc_id", "k", "n", "s").join(of_node, "s", "left")
     return full.select("doc_id", "k", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
+def group(docs: DataFrame, *, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE, percent: int = PERCENT, rows: int = ROWS, block: int = BLOCK) -> DataFrame:
+    """(doc_id, k, n_shingles, component_id) for each row: its key, the size of its set
+    and the smallest id reachable over links."""
+    sk = base.cut(sketches(docs, key=key, text=text, shingle=shingle))
+    return named(sk, _links(docs, sk, key, text, shingle, percent, rows, block))
+
+
 def keep_one(docs: DataFrame, *, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """One document of each group, that with the smallest id; same columns.  Of
-    repeated rows one stays."""
-    named = group(docs, key=key, text=text, **options)
-    lost = base.cut(named.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("k").distinct())
+    """One document of each group, that with the smallest id; same columns.  Of rows
+    of equal id and text one stays: where they differ in other columns, that whose columns hash lowest."""
+    grouped = group(docs, key=key, text=text, **options)
+    lost = base.cut(grouped.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("k").distinct())
     k = base.free_name(docs, "row_key")
     left = docs.withColumn(k, F.xxhash64(key, text)).join(lost.withColumnRenamed("k", k), k, "left_anti")
-    again = named.groupBy("k").agg(F.count("*").alias("c")).where("c > 1").select(F.col("k").alias(k))
+    again = grouped.groupBy("k").agg(F.count("*").alias("c")).where("c > 1").select(F.col("k").alias(k))
     if again.isEmpty():
         return left.select(*docs.columns)
     rest = left.join(again, k, "left_anti")
-    return rest.unionByName(left.join(again, k, "left_semi").dropDuplicates([k])).select(*docs.columns)
+    place = base.free_name(left, "place")
+    first = F.row_number().over(Window.partitionBy(k).orderBy(F.xxhash64(*[c for c, t in docs.dtypes if "map<" not in t and t != "variant"]), *[c for c, t in docs.dtypes if t == "string"]))
+    twice = left.join(again, k, "left_semi").withColumn(place, first).where(F.col(place) == 1)
+    return rest.unionByName(twice.drop(place)).select(*docs.columns)
 
 
 def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = base.table(spark, sf_dir, "documents").select("doc_id", "text")
-    named = group(docs, shingle=2)
-    return named.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)).alias("kept"))
+    grouped = group(docs, shingle=2)
+    return grouped.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)).alias("kept"))
 
 
 OP3_SQL = r"""

@@ -8,6 +8,7 @@ from .html_extract import op8_html_extract
 from .language_model import op9_lm_score
 from .merkle import OP13_SQL, op13_merkle_manifest
 from .near_dedup import OP3_SQL, op3_near_dedup
+from .parity_join import OP12_SQL, op12_ngram_join
 from .pieces import op6_sentencepiece
 from .quality import op1_quality_rules
 from .quality_classifier import op4_quality_classifier
@@ -27,6 +28,7 @@ QUERIES = {
     "op9_lm_score": op9_lm_score,
     "op10_toxicity": op10_toxicity,
     "op11_fill_middle": op11_fill_middle,
+    "op12_ngram_join": op12_ngram_join,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
 ORACLES: dict[str, str] = {
@@ -35,6 +37,7 @@ ORACLES: dict[str, str] = {
     "op5_url_filter": OP5_SQL,
     "op7_substring_dedup": OP7_SQL,
     "op11_fill_middle": OP11_SQL,
+    "op12_ngram_join": OP12_SQL,
     "op13_merkle_manifest": OP13_SQL,
 }
 

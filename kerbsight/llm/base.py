@@ -54,6 +54,14 @@ def cut(df: DataFrame) -> DataFrame:
     return out
 
 
+def drop(*frames: DataFrame) -> None:
+    """Deletes what cut has stored, once nothing reads these frames any more."""
+    for df in frames:
+        stored = df._jdf.queryExecution().analyzed().rdd().getCheckpointFile()
+        if stored.isDefined():
+            remove_folder(df.sparkSession, stored.get())
+
+
 def release(spark: SparkSession) -> None:
     """Lets Spark drop what finished steps have left: it deletes their shuffle files and
     broadcasts once the driver's objects for them are collected, which long

@@ -186,11 +186,11 @@ def met_in_blocks(rows: DataFrame, work) -> DataFrame:
     return rows.repartition("g", "part").sortWithinPartitions("g", "part", "s").mapInArrow(blocks(work, "g", "part"), LINK)
 
 
-def settle(met: DataFrame, one: DataFrame, carried: list[str], codes: DataFrame, links: DataFrame, comp: DataFrame, test, percent: int, block: int, weight) -> DataFrame:
+def settle(met: DataFrame, one: DataFrame, carried: list[str], codes_of: Callable[[DataFrame], DataFrame], links: DataFrame, comp: DataFrame, test, percent: int, block: int, weight) -> DataFrame:
     """Components once every pair of a bucket is connected or was checked.
 
-    met: (key, s) of buckets; one: (s, n, ...) of nodes, with the carried columns that test needs; codes:
-    (s, codes), their sets; links: those verified so far, comp: their components; weight: how much a row of the bucket
+    met: (key, s) of buckets; one: (s, n, ...) of nodes, with the carried columns that test needs; codes_of:
+    (s, codes), the sets of the nodes of a table (s); links: those verified so far, comp: their components; weight: how much a row of the bucket
     ``g`` adds to a block, beside its one row."""
     rooted = met.select(F.col("key").alias("g"), "s").join(comp.withColumnRenamed("node", "s"), "s", "left").select("g", "s", F.coalesce("root", "s").alias("root")).withColumn("n", weight)
     full = deal(rooted, block).join(one.select("s", *carried), "s").select("g", "part", "s", "root", "side", *carried)
@@ -202,7 +202,8 @@ def settle(met: DataFrame, one: DataFrame, carried: list[str], codes: DataFrame,
     cluster = components(near.unionByName(comp.select(F.col("node").alias("a"), F.col("root").alias("b"))))
     member = one.select("s", "n").join(comp.withColumnRenamed("node", "s"), "s", "left").join(cluster.select(F.col("node").alias("s"), F.col("root").alias("c")), "s", "left")
     member = member.select(F.coalesce("c", "s").alias("g"), "s", F.coalesce("root", "s").alias("root"), "n")
-    whole = deal(member, block).join(codes, "s").select("g", "part", "s", "root", "side", "codes")
+    dealt = base.cut(deal(member, block))
+    whole = dealt.join(codes_of(dealt.select("s").distinct()), "s").select("g", "part", "s", "root", "side", "codes")
     more = base.cut(met_in_blocks(whole, exact(percent)))
     if more.isEmpty():
         return comp

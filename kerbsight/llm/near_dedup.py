@@ -153,7 +153,7 @@ def _links(docs: DataFrame, sk: DataFrame, key: str, text: str, shingle: int, pe
     comp = components(links)
 
     # Registers are all of one size, so blocks count rows only
-    return settle(met, one, ["n", "reg"], codes, links, comp, _estimate(percent), percent, block, F.lit(0).cast("long"))
+    return settle(met, one, ["n", "reg"], lambda nodes: codes, links, comp, _estimate(percent), percent, block, F.lit(0).cast("long"))
 
 
 def _codes(shingle: int):

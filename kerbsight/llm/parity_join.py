@@ -4,20 +4,23 @@
    cancels out, so the Hamming distance of their sketches is at most their symmetric difference.
 2. Sets of sizes a and b reach the similarity t only if the symmetric difference is at most
    (a + b) (1 - t) / (1 + t).  Sizes are split into bands; in the table of a band, at most d bits differ,
-   and its sketches have d + 1 words of 64 bits: of two linked sets one word at least is equal.  A set is in its own
-   band's table, and in the next one's if a partner may be there.
-3. Words are the join's keys.  Equal sets are one node, so copies are never paired.  Nodes of a bucket
-   meet its smallest node (a star, not all pairs): first each node one such hub, then, where the verified
-   links have not joined them, its other hubs.
+   and its sketches have d + 1 + e words of 64 bits: of two linked sets, e + 1 words at least are equal.  A set is in
+   its own band's table, and in the next one's if a partner may be there.
+3. Words are the join's keys.  A word with two bits or fewer says little, and unlike sets share it often: a set with e
+   such words at most leaves them out.  If one of two linked sets does, then one of their equal words at least is
+   none of these, and both have it; else both have all words.  Equal sets are one node, so copies are never paired.
+   Nodes of a bucket meet its smallest node (a star, not all pairs): first each node one such hub, then, where the
+   verified links have not joined them, its other hubs.
 4. Pairs whose sketches differ in more bits than their sizes allow go, without loss; the
    others are verified on the full sets.
 5. In buckets that hold more than one component, members of different components are compared in bounded
    blocks by their sketches, and what may be linked is verified exactly (``blocks.settle``).  So each pair
    that shares a word of its sketch is connected or was checked, and linked pairs share one: no link is lost.
 
-A word takes in about nine shingles of a set.  Sets that have nothing in common share it by chance with a
-probability near 6e-9 (both hold no shingle there), so a table's chance pairs grow with the square of its rows
-at that rate; they meet in buckets whose work is dealt to blocks, and none is emitted as a pair.
+A word takes in six to nine shingles of a set.  Two sets of hundreds of shingles that have nothing in common share one by
+chance about once in ten million words; sets of 10 to 20 have two to four words, of which few say much, and share one about once in ten
+thousand.  Chance pairs of a table grow with the square of its rows at these rates; they are told apart by sketches,
+before full sets are read.
 
 Nodes and shingles are 64-bit fingerprints of sets and of words.
 
@@ -45,13 +48,16 @@ from .textbatch import mix
 PERCENT = 90
 SHINGLE = 3
 _U = np.uint64
-#: Set sizes at which a band begins: each 1.5 times the one before.
+#: Set sizes at which a band begins: each 1.25 times the one before.
 EDGES = [1]
 while EDGES[-1] < 1 << 34:
-    EDGES.append(max(EDGES[-1] + 1, -(-EDGES[-1] * 3 // 2)))
+    EDGES.append(max(EDGES[-1] + 1, -(-EDGES[-1] * 5 // 4)))
 _EDGES = np.array(EDGES, np.int64)
 #: The lowest bits of a key name its table.
-TABLE_BITS = 6
+TABLE_BITS = 7
+#: Words with so many bits or fewer are weak; a table has a spare word for so many others.
+WEAK = 2
+SPARE = 8
 
 
 def most_apart(a, b, percent: int):
@@ -59,16 +65,22 @@ def most_apart(a, b, percent: int):
     return (a + b) * (100 - percent) // (100 + percent)
 
 
-def words_of_table(percent: int) -> np.ndarray:
-    """64-bit words of a sketch in each band's table; 0 where only equal sets can be linked."""
+def words_of_table(percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit words of a sketch in each band's table (0 where only equal sets can be linked), and how
+    many of them are spare."""
     top = _EDGES[1:] - 1
     d = most_apart(top, top, percent)
-    return np.where(d > 0, d + 1, 0)
+    spare = np.where(d > 0, -(-(d + 1) // SPARE), 0)
+    return np.where(d > 0, d + 1 + spare, 0), spare
+
+
+def _spare(percent: int) -> np.ndarray:
+    return words_of_table(percent)[1]
 
 
 def tables(n: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(own table, words there, words in the next table) of sets of n shingles."""
-    words = words_of_table(percent)
+    words = words_of_table(percent)[0]
     own = np.searchsorted(_EDGES, np.maximum(n, 1), "right") - 1
     up = (n > 0) & (100 * n // percent >= _EDGES[own + 1])
     return own, np.where(n > 0, words[own], 0), np.where(up, words[own + 1], 0)
@@ -114,15 +126,18 @@ def _sketches(shingle: int, percent: int):
 
 def keys_of(n: np.ndarray, words: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
     """The keys of sets of n shingles whose sketches' words lie one after the other, and the
-    set that each belongs to."""
+    set that each belongs to.  Weak words are left out where that loses no link."""
     own, size, up = tables(n, percent)
     doc = np.repeat(np.arange(len(n)), size + up)
     place = np.arange(len(words)) - np.repeat(np.cumsum(size + up) - size - up, size + up)
     next_one = place >= size[doc]
     table = (own[doc] + next_one).astype(np.uint64)
     place = np.where(next_one, place - size[doc], place).astype(np.uint64)
+    weak = np.bitwise_count(words) <= WEAK
+    many = np.bincount(2 * doc + next_one, weak, 2 * len(n)).reshape(-1, 2) > np.stack([_spare(percent)[own], _spare(percent)[own + 1]], 1)
+    used = ~weak | many[doc, next_one.astype(np.int64)]
     key = mix(words ^ mix((table << _U(40)) | place | _U(1 << 63)))
-    return (key << _U(TABLE_BITS)) | table, doc
+    return ((key << _U(TABLE_BITS)) | table)[used], doc[used]
 
 
 def _band_rows(percent: int):
@@ -189,42 +204,57 @@ def _apart(pairs: DataFrame, comp: DataFrame) -> DataFrame:
     return both.where(F.coalesce("a_root", "a") != F.coalesce("b_root", "b")).select("a", "b")
 
 
-def links(docs: DataFrame, sk: DataFrame, *, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE, percent: int = PERCENT, block: int = BLOCK) -> DataFrame:
-    """(node, root) of the nodes of sk that are linked, for rows of docs."""
-    size = F.array(*[F.lit(int(x)) for x in words_of_table(percent)])
-    # One row a node, with one of its texts' keys; copies are combined before the exchange
-    nodes = base.cut(sk.where("n > 0").groupBy("s").agg(F.min(F.struct("k", "n", "sk")).alias("x")).select("s", "x.*"))
+def _codes_of(docs: DataFrame, one: DataFrame, twice: DataFrame, key: str, text: str, shingle: int, nodes: DataFrame) -> DataFrame:
+    """(s, codes) of the nodes, out of one text each.  twice: row keys that several rows have; only their texts are combined."""
+    texts = docs.select(F.xxhash64(key, text).alias("k"), F.col(text).cast("string").alias("text"))
+    wanted = one.select("k", "s").join(nodes, "s", "left_semi")
+    sets = lambda rows: rows.select("s", "text").mapInArrow(_codes(shingle), "s bigint, codes binary")
+    if twice.isEmpty():
+        return base.cut(sets(texts.join(wanted, "k")))
+    copies = texts.join(twice, "k", "left_semi").groupBy("k").agg(F.min("text").alias("text"))
+    single = wanted.join(twice, "k", "left_anti")
+    return base.cut(sets(texts.join(single, "k").select("s", "text").unionByName(copies.join(wanted, "k").select("s", "text"))))
+
+
+def links(docs: DataFrame, nodes: DataFrame, twice: DataFrame, *, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE, percent: int = PERCENT, block: int = BLOCK) -> DataFrame:
+    """(node, root) of the nodes (s, k, n, sk) that are linked; k: the key of a row of docs with that set."""
+    size = F.array(*[F.lit(int(x)) for x in words_of_table(percent)[0]])
     band = nodes.select("s", "n", "sk").mapInArrow(_band_rows(percent), "key bigint, s bigint")
     bucket = base.cut(band.groupBy("key").agg(F.min("s").alias("hub"), F.max("s").alias("top")).where("hub < top").select("key", "hub"))
     met = base.cut(band.join(bucket, "key").select("key", "s", "hub"))
     one = base.cut(nodes.join(met.select("s").distinct(), "s", "left_semi"))
-    texts = docs.select(F.xxhash64(key, text).alias("k"), F.col(text).cast("string").alias("text"))
-    codes = texts.join(one.select("k", "s"), "k").select("s", "text").mapInArrow(_codes(shingle), "s bigint, codes binary")
-    codes = base.cut(codes.groupBy("s").agg(F.min("codes").alias("codes")))
-
-    def linked(pairs: DataFrame) -> DataFrame:
-        a = one.select(F.col("s").alias("a"), F.col("n").alias("na"), F.col("sk").alias("ra"))
-        b = one.select(F.col("s").alias("b"), F.col("n").alias("nb"), F.col("sk").alias("rb"))
-        gated = pairs.join(a, "a").join(b, "b").select("a", "b", "na", "nb", "ra", "rb").mapInArrow(_gate(percent), LINK)
-        return base.cut(verified(gated, codes, percent))
-
-    star = base.cut(met.where("s > hub").select(F.col("s").alias("a"), F.col("hub").alias("b")).distinct())
-    first = star.groupBy("a").agg(F.min("b").alias("b"))
-    found = linked(first)
+    base.drop(bucket, nodes)
+
+    # Pairs that the sketches let through; only their sets are read
+    star = met.where("s > hub").select(F.col("s").alias("a"), F.col("hub").alias("b")).distinct()
+    a = one.select(F.col("s").alias("a"), F.col("n").alias("na"), F.col("sk").alias("ra"))
+    b = one.select(F.col("s").alias("b"), F.col("n").alias("nb"), F.col("sk").alias("rb"))
+    star = base.cut(star.join(a, "a").join(b, "b").select("a", "b", "na", "nb", "ra", "rb").mapInArrow(_gate(percent), LINK))
+    codes = _codes_of(docs, one, twice, key, text, shingle, star.select(F.col("a").alias("s")).union(star.select("b")).distinct())
+    first = base.cut(star.groupBy("a").agg(F.min("b").alias("b")))
+    found = base.cut(verified(first, codes, percent))
     comp = components(found)
-    rest = linked(_apart(star.join(first.select("a", F.col("b").alias("tried")), "a").where("b != tried").select("a", "b"), comp))
+    others = star.join(first.select("a", F.col("b").alias("tried")), "a").where("b != tried").select("a", "b")
+    rest = base.cut(verified(_apart(others, comp), codes, percent))
     if not rest.isEmpty():
-        found = found.unionByName(rest)
+        found = base.cut(found.unionByName(rest))
         comp = components(found)
+    base.drop(codes, star, first)
     weight = F.get(size, F.col("g").bitwiseAND(F.lit((1 << TABLE_BITS) - 1)).cast("int")).cast("long")
-    return settle(met, one, ["n", "sk"], codes, found, comp, _distance(percent), percent, block, weight)
+    wanted = lambda s: _codes_of(docs, one, twice, key, text, shingle, s)
+    return settle(met, one, ["n", "sk"], wanted, found, comp, _distance(percent), percent, block, weight)
 
 
 def group(docs: DataFrame, *, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE, percent: int = PERCENT, block: int = BLOCK) -> DataFrame:
     """(doc_id, k, n_shingles, component_id) for each row: its key, the size of its set
     and the smallest id reachable over links."""
-    sk = base.cut(sketches(docs, key=key, text=text, shingle=shingle, percent=percent))
-    return named(sk, links(docs, sk, key=key, text=text, shingle=shingle, percent=percent, block=block))
+    full = base.cut(sketches(docs, key=key, text=text, shingle=shingle, percent=percent))
+    # One row a node, with one of its texts' keys; copies are combined before the exchange
+    nodes = base.cut(full.where("n > 0").groupBy("s").agg(F.min(F.struct("k", "n", "sk")).alias("x")).select("s", "x.*"))
+    sk = base.cut(full.select("doc_id", "k", "n", "s"))
+    base.drop(full)
+    twice = base.cut(sk.groupBy("k").agg(F.count("*").alias("c")).where("c > 1").select("k"))
+    return named(sk, links(docs, nodes, twice, key=key, text=text, shingle=shingle, percent=percent, block=block))
 
 
 def op12_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:

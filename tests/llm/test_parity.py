@@ -81,10 +81,10 @@ def test_linked_sets_share_a_word_and_pass_the_distance(percent):
 def test_keys_name_their_table():
     assert len(parity_join.EDGES) <= 1 << parity_join.TABLE_BITS
     n = np.array([5, 9, 17, 1000])
-    words = np.arange(int(sum(x.sum() for x in parity_join.tables(n, 90)[1:])), dtype=np.uint64)
+    words = np.arange(int(sum(x.sum() for x in parity_join.tables(n, 90)[1:])), dtype=np.uint64) | np.uint64(7 << 40)
     key, doc = parity_join.keys_of(n, words, 90)
     own = parity_join.tables(n, 90)[0]
-    assert set(((key & np.uint64(63)).astype(np.int64) - own[doc]).tolist()) <= {0, 1} and len(set(key.tolist())) == len(key)
+    assert set(((key & np.uint64((1 << parity_join.TABLE_BITS) - 1)).astype(np.int64) - own[doc]).tolist()) <= {0, 1} and len(set(key.tolist())) == len(key) == len(words)
 
 
 def test_blocks_link_alike_in_any_order(spark):

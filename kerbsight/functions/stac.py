@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, MapType, StringType, StructField, StructType, VariantType
 
 OBJECT = "map<string,variant>"
 
@@ -22,9 +23,37 @@ TIME_KEYS = ("datetime", "datetimetz", "created")
 LICENSE_ID_KEYS = ("pictures_license", "picture_license", "license", "license_id")
 LICENSE_URL_KEYS = ("pictures_license_url", "picture_license_url", "license_url")
 PANORAMIC_FOV = 359.0
+OTHER_KEYS = ("collection", "view:type", "proj:shape", "geovisio:image")
 EXTENSIONS = {"image/jpeg": ".jpg", "image/jpg": ".jpg", "image/webp": ".webp", "image/png": ".png"}
 
 
+def _variants(*names: str) -> StructType:
+    return StructType([StructField(n, VariantType()) for n in names])
+
+
+#: What is read of a feature, in one pass: the known keys alone, each with the type that it has.  A repeated
+#: key counts as it comes last.  Assets keep their order.
+FEATURE = StructType(
+    [StructField(n, VariantType()) for n in ("id", "collection", "links")]
+    + [
+        StructField("geometry", _variants("coordinates")),
+        StructField("properties", _variants(*HEADING_KEYS, *FOV_KEYS, FOV_PARENT, *PANORAMIC_KEYS, *TIME_KEYS, *OTHER_KEYS)),
+        StructField("assets", MapType(StringType(), VariantType())),
+    ]
+)
+FEATURE_ID = _variants("id")
+
+
+def feature_list(body: Column, feature: StructType = FEATURE) -> Column:
+    """The feature list of a search page, each item read as ``feature``; null if there is no such list.
+    An item that is no object is null.  Such an item makes Spark give up the list, so then, and only
+    then, the page is read again item by item."""
+    listed = lambda kind: F.from_json(body, f"features array<{kind}>").features
+    known = F.from_json(body, StructType([StructField("features", ArrayType(feature))])).features
+    item = lambda text, v: F.when(F.when(v.isNotNull(), is_object(v)).otherwise(text.startswith("{")), F.from_json(text, feature))
+    return F.coalesce(known, F.zip_with(listed("string"), F.coalesce(listed("variant"), F.array().cast("array<variant>")), item))
+
+
 def parse_object(json: Column) -> Column:
     """A JSON text as an object; null for anything else."""
     return F.from_json(json, OBJECT)
@@ -53,7 +82,8 @@ def as_list(v: Column) -> Column:
 
 
 def get(obj: Column, key: str) -> Column:
-    return F.try_element_at(obj, F.lit(key))
+    """A key of a map, or of a struct that names it; null if it is missing."""
+    return obj.getItem(key)
 
 
 def strip(text: Column) -> Column:

@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StructType
 
 from .. import schemas
 from ..functions import geo, stac
@@ -36,36 +37,46 @@ def fence(rows: DataFrame) -> DataFrame:
     return rows.select(F.inline(F.array(F.struct(*rows.columns))))
 
 
-def features(pages: DataFrame) -> DataFrame:
-    """(page_no, pos, feature): the objects of each page's feature list, as JSON text.
-    A page without such a list fails the job.  pages: (page_no, body)."""
-    page = F.from_json("body", "features array<string>")
-    listed = F.when(page.features.isNotNull(), page.features).otherwise(F.raise_error(F.concat(F.lit("search page without a feature list: "), F.col("page_no").cast("string"))).cast("array<string>"))
-    out = pages.select("page_no", F.posexplode(listed).alias("pos", "feature"))
-    return out.where(F.coalesce(F.substring(F.ltrim("feature"), 1, 1) == "{", F.lit(False)))
+#: A place is the page's number with so many bits behind it for the position in the page.
+POSITION_BITS = 28
 
 
-def dedupe_key(feature: Column) -> Column:
-    """The id as text for finding duplicates: unstripped, whatever its type; null if it
+def shredded(pages: DataFrame, feature: StructType = stac.FEATURE, *, carry: tuple[str, ...] = ()) -> DataFrame:
+    """(place, *carry, *feature): the objects of each page's feature list, their known keys read in one pass.
+    place ascends in page order.  A page without such a list fails the job.  pages: (page_no, body)."""
+    number = F.col("page_no")
+    listed = stac.feature_list(F.col("body"), feature)
+    listed = F.when(listed.isNotNull(), listed).otherwise(F.raise_error(F.concat(F.lit("search page without a feature list: "), number.cast("string"))).cast(ArrayType(feature)))
+    rows = pages.select("page_no", *carry, F.posexplode(listed).alias("pos", "f")).where("f is not null")
+    fits = number.between(0, (1 << (62 - POSITION_BITS)) - 1) & (F.col("pos") < 1 << POSITION_BITS)
+    place = F.when(fits, F.shiftleft(number.cast("long"), POSITION_BITS) + F.col("pos")).otherwise(F.raise_error(F.lit("page number or feature list out of range")).cast("long"))
+    return rows.select(place.alias("place"), *carry, "f.*")
+
+
+def dedupe_key(v: Column) -> Column:
+    """The id (a variant) as text for finding duplicates: unstripped, whatever its type; null if it
     is missing, empty, zero or false."""
-    v = stac.get(stac.parse_object(feature), "id")
-    plain = F.try_variant_get(v, "$", "string")
-    return F.when(stac.truthy(v), F.when(stac.kind(v) == "STRING", plain).otherwise(F.to_json(v)))
+    return F.when(stac.truthy(v), F.when(stac.kind(v) == "STRING", F.try_variant_get(v, "$", "string")).otherwise(F.to_json(v)))
+
 
+def first_places(rows: DataFrame) -> DataFrame:
+    """(place): where each id occurs first; features without an id have none.  A minimum of whole numbers, so
+    it is combined by hashing before the exchange, and nothing but ids and places crosses it."""
+    keyed = rows.select(dedupe_key(F.col("id")).alias("dedupe_key"), "place").where("dedupe_key is not null")
+    return keyed.groupBy("dedupe_key").agg(F.min("place").alias("place")).select("place")
 
-def dedupe_first(rows: DataFrame) -> DataFrame:
-    """The first feature of each id in page order; features without an id go.  A
-    minimum, so duplicates are combined before the exchange."""
-    keyed = rows.withColumn("dedupe_key", dedupe_key(F.col("feature"))).where("dedupe_key is not null")
-    return keyed.groupBy("dedupe_key").agg(F.min(F.struct("page_no", "pos", "feature")).alias("x")).select("x.*")
 
+def dedupe_first(rows: DataFrame, places: DataFrame | None = None) -> DataFrame:
+    """The first feature of each id in page order.  places: where those are, if known from elsewhere."""
+    return rows.join(first_places(rows) if places is None else places, "place", "left_semi")
 
-def limit_first(rows: DataFrame, limit: int | None) -> DataFrame:
-    """The first features in page order, before any other filter; None keeps all."""
+
+def limit_first(places: DataFrame, limit: int | None) -> DataFrame:
+    """The first places in page order, before any other filter; None keeps all."""
     if limit is None:
-        return rows
+        return places
     positive(limit=limit)
-    return rows.orderBy("page_no", "pos").limit(limit)
+    return places.orderBy("place").limit(limit)
 
 
 def licenses(configuration: Column, landing: Column) -> Column:
@@ -79,33 +90,25 @@ def licenses(configuration: Column, landing: Column) -> Column:
     )
 
 
-def items(rows: DataFrame, *, endpoint: str = schemas.ENDPOINT) -> DataFrame:
-    """Typed items of features; those without a usable id or position go."""
-    parsed = fence(rows.select(stac.parse_object(F.col("feature")).alias("f"), F.from_json("feature", "assets map<string,variant>").assets.alias("assets")))
-    empty = F.create_map().cast(stac.OBJECT)
-    f, p, coords = F.col("f"), F.col("p"), F.col("coords")
-    props = fence(
-        parsed.select(
-            "f",
-            "assets",
-            F.coalesce(stac.as_object(stac.get(f, "properties")), empty).alias("p"),
-            stac.as_list(stac.get(stac.as_object(stac.get(f, "geometry")), "coordinates")).alias("coords"),
-            stac.link_by_rel(stac.get(f, "links"), "self").alias("self"),
-        )
-    )
+def items(rows: DataFrame, *, endpoint: str = schemas.ENDPOINT, carry: tuple[str, ...] = ()) -> DataFrame:
+    """Typed items of shredded features; those without a usable id or position go."""
+    p, coords = F.col("properties"), F.col("coords")
+    props = fence(rows.select(*carry, "id", "collection", "properties", "assets", stac.as_list(F.col("geometry.coordinates")).alias("coords"), stac.link_by_rel(F.col("links"), "self").alias("self")))
     named = props.select(
-        stac.text_of(stac.get(f, "id")).alias("source_id"),
+        *carry,
+        stac.text_of(F.col("id")).alias("source_id"),
         stac.coordinate(coords, 1).alias("latitude"),
         stac.coordinate(coords, 0).alias("longitude"),
-        stac.present_text(stac.get(f, "collection"), stac.get(p, "collection")).alias("sequence_id"),
+        stac.present_text(F.col("collection"), stac.get(p, "collection")).alias("sequence_id"),
         stac.present_text(*[stac.get(p, k) for k in stac.TIME_KEYS]).alias("captured_at"),
         stac.dimensions(p, F.col("assets")).alias("size"),
         stac.heading(p).alias("heading_deg"),
         stac.field_of_view(p).alias("field_of_view_deg"),
-        "p",
+        "properties",
         "self",
     )
     return fence(named).select(
+        *carry,
         "source_id",
         "latitude",
         "longitude",
@@ -115,7 +118,7 @@ def items(rows: DataFrame, *, endpoint: str = schemas.ENDPOINT) -> DataFrame:
         F.col("size.height").alias("height"),
         "heading_deg",
         "field_of_view_deg",
-        stac.panoramic(F.col("p"), F.col("field_of_view_deg")).alias("panoramic"),
+        stac.panoramic(p, F.col("field_of_view_deg")).alias("panoramic"),
         F.when(F.size("self") > 0, stac.text_of(stac.get(F.col("self"), "href"))).otherwise(F.concat(F.lit(endpoint.rstrip("/") + "/pictures/"), F.col("source_id"))).alias("source_url"),
     ).where("source_id is not null and latitude is not null and longitude is not null")
 
@@ -171,7 +174,9 @@ def ordered(rows: DataFrame) -> DataFrame:
 
 
 def survey(pages: DataFrame, target: Target, *, limit: int | None = 2000, endpoint: str = schemas.ENDPOINT, license_id: str | None = None, license_url: str | None = None) -> DataFrame:
-    """Ordered candidates of recorded search pages (page_no, body)."""
-    first = limit_first(dedupe_first(features(pages)), limit)
-    found = candidates(items(first, endpoint=endpoint), target, license_id=F.lit(license_id), license_url=F.lit(license_url))
+    """Ordered candidates of recorded search pages (page_no, body).  First places are found by ids alone;
+    features meet them as typed rows, and only those within the radius."""
+    places = limit_first(first_places(shredded(pages, stac.FEATURE_ID)), limit)
+    first = dedupe_first(items(shredded(pages), endpoint=endpoint, carry=("place",)), places)
+    found = candidates(first, target, license_id=F.lit(license_id), license_url=F.lit(license_url))
     return ordered(found)

@@ -186,8 +186,8 @@ def json_path_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("select distinct concat('pic-', event_id) as source_id from events")
 def dedupe_first(spark: SparkSession, sf_dir: str) -> DataFrame:
-    first = survey.dedupe_first(survey.features(fixtures.json_pages(spark, sf_dir)))
-    return first.select(stac.text_of(stac.get(stac.parse_object(F.col("feature")), "id")).alias("source_id"))
+    first = survey.dedupe_first(survey.shredded(fixtures.json_pages(spark, sf_dir), stac.FEATURE_ID))
+    return first.select(stac.text_of(F.col("id")).alias("source_id"))
 
 
 @query(f"{_BASE.replace('from items)', 'from (select * from items order by event_id limit 700))', 1)} select source_id, distance_m from cand")

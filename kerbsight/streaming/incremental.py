@@ -14,9 +14,9 @@ from ..operators import survey
 
 
 def candidates(pages: DataFrame, target: survey.Target, *, arrived: str = "arrived_at", late: str = "1 hour") -> DataFrame:
-    """pages: a stream of (page_no, body, arrival time).  Append mode."""
-    page = F.from_json("body", "features array<string>")
-    rows = pages.withWatermark(arrived, late).select("page_no", arrived, F.explode(page.features).alias("feature"))
-    keyed = rows.withColumn("dedupe_key", survey.dedupe_key(F.col("feature"))).where("dedupe_key is not null")
+    """pages: a stream of (page_no, body, arrival time).  Append mode.  A page without a feature list
+    stops the stream, as it fails a batch."""
+    rows = survey.shredded(pages.withWatermark(arrived, late), carry=(arrived,))
+    keyed = rows.withColumn("dedupe_key", survey.dedupe_key(F.col("id"))).where("dedupe_key is not null")
     first = keyed.dropDuplicatesWithinWatermark(["dedupe_key"])
-    return survey.candidates(survey.items(first.select("page_no", "feature")), target)
+    return survey.candidates(survey.items(first), target)

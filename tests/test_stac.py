@@ -74,8 +74,8 @@ def feature(extra="", ident='"a"', lon="6.0984374", lat="45.9086611"):
 
 
 def items_of(spark, *features):
-    rows = spark.createDataFrame([(0, i, f) for i, f in enumerate(features)], "page_no long, pos int, feature string")
-    return survey.items(rows, endpoint="https://e/").collect()
+    page = spark.createDataFrame([(0, '{"features":[' + ",".join(features) + "]}")], "page_no long, body string")
+    return survey.items(survey.shredded(page), endpoint="https://e/").collect()
 
 
 def test_items(spark):
@@ -91,8 +91,8 @@ def test_pages_dedupe_and_limit(spark):
     body = lambda *f: '{"features":[' + ",".join(f) + "]}"
     far = feature(lon="7.5")
     pages = spark.createDataFrame([(0, body(far, '5', '"x"', feature(ident='"b"'))), (1, body(feature(), feature(ident='" b"'), feature(ident="7"), feature(ident='""')))], "page_no long, body string")
-    first = survey.dedupe_first(survey.features(pages)).orderBy("page_no", "pos").collect()
-    assert [(r.page_no, r.pos) for r in first] == [(0, 0), (0, 3), (1, 1), (1, 2)]
+    first = survey.dedupe_first(survey.shredded(pages)).orderBy("place").collect()
+    assert [divmod(r.place, 1 << survey.POSITION_BITS) for r in first] == [(0, 0), (0, 3), (1, 1), (1, 2)]
     target = survey.Target(45.9086611, 6.0984374, 100.0)
     assert survey.survey(pages, target, limit=1).count() == 0  # the limit comes before the radius
     found = survey.survey(pages, target)
@@ -100,9 +100,32 @@ def test_pages_dedupe_and_limit(spark):
     assert found.schema.names[0] == "provider" and found.first().distance_m == 0.0
 
 
-def test_page_without_features_fails(spark):
+@pytest.mark.parametrize("schema", [stac.FEATURE, stac.FEATURE_ID])
+@pytest.mark.parametrize("body", ['{"features":{}}', '{"features":5}', '{"features":null}', "{}", "[]", "5", "{", None])
+def test_page_without_features_fails(spark, body, schema):
     with pytest.raises(Exception, match="without a feature list"):
-        survey.features(spark.createDataFrame([(0, '{"features":{}}')], "page_no long, body string")).collect()
+        survey.shredded(spark.createDataFrame([(0, body)], "page_no long, body string"), schema).collect()
+
+
+def test_shredding_keeps_what_it_can(spark):
+    """Items of other types than objects are left out, whatever stands beside them; a part of another
+    type than expected is missing; a repeated key counts as it comes last."""
+    odd = ['5', "null", "[1]", '"x"', "{}", '{"id":"a","properties":[1],"geometry":5,"assets":7,"links":"l"}', '{"id":"b","id":"c","properties":{"view:fov":"x","heading":true,"unknown":{"deep":[1]}},"geometry":{"coordinates":[1,2]}}']
+    body = '{"type":"FeatureCollection","features":[' + ",".join(odd) + '],"links":[]}'
+    rows = survey.shredded(spark.createDataFrame([(3, body)], "page_no long, body string")).orderBy("place").collect()
+    assert [r.place & 7 for r in rows] == [4, 5, 6] and [r.id.toPython() if r.id else None for r in rows] == [None, "a", "c"]
+    assert rows[1].properties is None and rows[1].assets is None and rows[2].properties["heading"].toPython() is True
+    with pytest.raises(Exception, match="out of range"):
+        survey.shredded(spark.createDataFrame([(-1, body)], "page_no long, body string")).collect()
+
+
+def test_first_places_combine_by_hashing(spark):
+    pages = spark.createDataFrame([(0, '{"features":[]}')], "page_no long, body string")
+    plan = survey.survey(pages, survey.Target(45.0, 6.0, 10.0), limit=None)._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan and "LeftSemi" in plan
+    # Only ids are read for them, and what is not within the radius goes before the join
+    narrow = [x for x in plan.split("\n") if "from_json" in x and "features,ArrayType(StructType(StructField(id,VariantType,true)),true)" in x]
+    assert narrow and plan.index("distance_m") < plan.rindex("Exchange")
 
 
 def test_thumbnail_needs_an_advertised_one(spark):

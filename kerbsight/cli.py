@@ -6,7 +6,7 @@ import argparse
 import sys
 
 from pyspark.errors import PySparkException
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from . import schemas
 from .operators import preview, shortlist, survey
@@ -34,7 +34,8 @@ def parser() -> argparse.ArgumentParser:
     return top
 
 
-def run_survey(spark: SparkSession, args: argparse.Namespace) -> dict:
+def run_survey(spark: SparkSession, args: argparse.Namespace) -> tuple[DataFrame, dict]:
+    """Ordered candidates, stored for the passes over them, and the head of their document."""
     latitude, longitude = recorded.target_of(args.lat, args.lon, args.site)
     target = survey.Target(latitude, longitude, args.radius_m)
     survey.positive(limit=args.limit)
@@ -48,7 +49,8 @@ def run_survey(spark: SparkSession, args: argparse.Namespace) -> dict:
         spark.dataSource.register(http.SearchSource)
         pages = spark.read.format("picture_search").options(latitude=latitude, longitude=longitude, radius_m=args.radius_m, limit=args.limit, endpoint=args.endpoint).load()
     rows = survey.survey(pages, target, limit=args.limit, endpoint=args.endpoint, license_id=license_id, license_url=license_url)
-    return documents.survey_document(rows, target, endpoint=args.endpoint, license_id=license_id, license_url=license_url)
+    rows = rows.cache()
+    return rows, documents.survey_head(rows, target, endpoint=args.endpoint, license_id=license_id, license_url=license_url)
 
 
 def run_preview(spark: SparkSession, args: argparse.Namespace) -> dict:
@@ -64,13 +66,16 @@ def main(argv: list[str] | None = None) -> int:
     spark = SparkSession.builder.appName("kerbsight").getOrCreate()
     try:
         if args.command == "survey":
-            found = run_survey(spark, args)
-            text = documents.to_text(found)
+            rows, head = run_survey(spark, args)
+            text = documents.survey_text(rows, head)
             if args.output:
                 documents.write_text(args.output, text)
-                print(f"{args.output}: {found['candidate_count']} candidates, {found['summary']['sequence_count']} sequences")
+                told, classes = head["summary"], head["summary"]["view_class_counts"]
+                views = f"{classes['front']} front views, {classes['panoramic']} panoramas, target in view in {told['target_in_fov_counts']['true']}"
+                print(f"{args.output}: {head['candidate_count']} candidates in {told['sequence_count']} sequences; {views}")
             else:
-                sys.stdout.write(text)
+                sys.stdout.writelines(text)
+            rows.unpersist()
         else:
             m = run_preview(spark, args)
             print(f"{args.output_dir}: {m['downloaded_count']} of {m['selected_count']} thumbnails")

@@ -91,3 +91,59 @@ def covering_box(latitude: float, longitude: float, radius_m: float) -> tuple[fl
     if longitude - across < -180 or longitude + across > 180:
         return -180.0, south, 180.0, north
     return longitude - across, south, longitude + across, north
+
+
+#: The finest grid has 2 ** FINEST cells around the equator, of about 2.4 metres.
+FINEST = 24
+
+
+def level_of_radius(radius_m) -> Column:
+    """The finest level whose cells are as high as the circle is wide: 2 ** level cells around the equator."""
+    cells = F.lit(math.pi * EARTH_RADIUS_M) / F.greatest(_col(radius_m), F.lit(1e-3))
+    return F.greatest(F.lit(0), F.least(F.lit(FINEST), F.floor(F.log2(cells)).cast("int")))
+
+
+def _row_of(latitude: Column, level: Column) -> Column:
+    """Rows of a level from the south pole up, each 360 / 2 ** level degrees high."""
+    return F.floor((latitude + 90.0) / 360.0 * F.pow(F.lit(2.0), level)).cast("long")
+
+
+def _columns_of(row: Column, level: Column) -> Column:
+    """Cells of a row: fewer towards the poles, so that none is much narrower than high."""
+    height = F.lit(360.0) / F.pow(F.lit(2.0), level)
+    south, north = row * height - 90.0, (row + 1) * height - 90.0
+    widest = F.when(south * north <= 0, 0.0).otherwise(F.least(F.abs(south), F.abs(north)))
+    return F.greatest(F.lit(1), F.floor(F.cos(F.radians(F.least(widest, F.lit(90.0)))) * F.pow(F.lit(2.0), level))).cast("long")
+
+
+def _column_at(longitude: Column, columns: Column) -> Column:
+    return F.floor((longitude + 180.0) / 360.0 * columns).cast("long")
+
+
+def cell_of_point(latitude, longitude, level) -> Column:
+    """struct<level, row, cell> of a point; longitudes wrap around."""
+    latitude, longitude, level = _col(latitude), _col(longitude), F.lit(level).cast("int")
+    row = _row_of(latitude, level)
+    columns = _columns_of(row, level)
+    return F.struct(level.alias("level"), row.alias("row"), F.pmod(_column_at(longitude, columns), columns).alias("cell"))
+
+
+def cells_of_circle(latitude, longitude, radius_m) -> Column:
+    """The cells that a circle touches, at the level of its radius: about three rows of three or four.  Around a
+    pole it touches all cells of its rows, which are few there."""
+    latitude, longitude, radius_m = _col(latitude), _col(longitude), _col(radius_m)
+    level = level_of_radius(radius_m)
+    # Distances are rounded to a millimetre before the test, so the circle is taken a little larger
+    reach = (radius_m + 0.001) / EARTH_RADIUS_M * (1 + 1e-9)
+    half = F.degrees(reach)
+    polar = (F.abs(latitude) + half >= 90.0) | (reach >= math.pi / 2)
+    across = F.when(polar, 180.0).otherwise(F.degrees(F.asin(F.least(F.lit(1.0), F.sin(reach) / F.cos(F.radians(latitude))))) * (1 + 1e-9))
+    south, north = F.greatest(latitude - half, F.lit(-90.0)), F.least(latitude + half, F.lit(90.0))
+
+    def of_row(row: Column) -> Column:
+        columns = _columns_of(row, level)
+        first, last = _column_at(longitude - across, columns), _column_at(longitude + across, columns)
+        cells = F.sequence(first, F.least(last, first + columns - 1))
+        return F.transform(cells, lambda c: F.struct(level.alias("level"), row.alias("row"), F.pmod(c, columns).alias("cell")))
+
+    return F.array_distinct(F.flatten(F.transform(F.sequence(_row_of(south, level), _row_of(north, level)), of_row)))

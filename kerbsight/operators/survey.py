@@ -48,9 +48,12 @@ def shredded(pages: DataFrame, feature: StructType = stac.FEATURE, *, carry: tup
     listed = stac.feature_list(F.col("body"), feature)
     listed = F.when(listed.isNotNull(), listed).otherwise(F.raise_error(F.concat(F.lit("search page without a feature list: "), number.cast("string"))).cast(ArrayType(feature)))
     rows = pages.select("page_no", *carry, F.posexplode(listed).alias("pos", "f")).where("f is not null")
-    fits = number.between(0, (1 << (62 - POSITION_BITS)) - 1) & (F.col("pos") < 1 << POSITION_BITS)
-    place = F.when(fits, F.shiftleft(number.cast("long"), POSITION_BITS) + F.col("pos")).otherwise(F.raise_error(F.lit("page number or feature list out of range")).cast("long"))
-    return rows.select(place.alias("place"), *carry, "f.*")
+    return rows.select(_place(number, F.col("pos")).alias("place"), *carry, "f.*")
+
+
+def _place(number: Column, pos: Column) -> Column:
+    fits = number.between(0, (1 << (62 - POSITION_BITS)) - 1) & (pos < 1 << POSITION_BITS)
+    return F.when(fits, F.shiftleft(number.cast("long"), POSITION_BITS) + pos).otherwise(F.raise_error(F.lit("page number or feature list out of range")).cast("long"))
 
 
 def dedupe_key(v: Column) -> Column:
@@ -123,34 +126,18 @@ def items(rows: DataFrame, *, endpoint: str = schemas.ENDPOINT, carry: tuple[str
     ).where("source_id is not null and latitude is not null and longitude is not null")
 
 
-def candidates(
-    rows: DataFrame,
-    target: Target,
-    *,
-    license_id: Column | None = None,
-    license_url: Column | None = None,
-    provider: str = schemas.PROVIDER,
-    prefilter: bool = False,
-) -> DataFrame:
-    """Items within the radius, with distance, bearing and view class (unordered: see
-    ``ordered``).  Classes come from unrounded angles, the radius test from the
-    rounded distance.  prefilter adds a box that covers the circle, for scans that
-    can push it down."""
-    if prefilter:
-        west, south, east, north = geo.covering_box(target.latitude, target.longitude, target.radius_m)
-        rows = rows.where(F.col("longitude").between(west, east) & F.col("latitude").between(south, north))
-    bearing = geo.bearing_deg("latitude", "longitude", target.latitude, target.longitude)
+def _judged(rows: DataFrame, latitude: Column, longitude: Column, radius_m: Column, fixed: dict[str, Column], carry: tuple[str, ...] = ()) -> DataFrame:
+    """Rows within the radius as candidates, with distance, bearing and view class.  Classes come from
+    unrounded angles, the radius test from the rounded distance."""
+    bearing = geo.bearing_deg("latitude", "longitude", latitude, longitude)
     measured = rows.select(
         "*",
-        F.round(geo.haversine_m(target.latitude, target.longitude, "latitude", "longitude"), 3).alias("distance_m"),
+        F.round(geo.haversine_m(latitude, longitude, "latitude", "longitude"), 3).alias("distance_m"),
         bearing.alias("bearing"),
         F.when(F.col("heading_deg").isNotNull(), geo.heading_error("heading_deg", bearing)).alias("error"),
-    ).where(F.col("distance_m") <= target.radius_m)
+    ).where(F.col("distance_m") <= radius_m)
     have = set(rows.columns)
-    fixed = {
-        "provider": F.lit(provider),
-        "license_id": F.lit(None).cast("string") if license_id is None else license_id,
-        "license_url": F.lit(None).cast("string") if license_url is None else license_url,
+    fixed = fixed | {
         "target_bearing_deg": F.round("bearing", 3),
         "heading_error_deg": F.round("error", 3),
         "target_in_fov": geo.target_in_fov("error", "field_of_view_deg", "panoramic"),
@@ -166,13 +153,70 @@ def candidates(
             column = F.lit(None)
         columns.append(column.cast(field.dataType).alias(field.name))
     # NaN passes no comparison in the provider's arithmetic; Spark sorts it last
-    return measured.where(~F.isnan("distance_m")).select(*columns)
+    return measured.where(~F.isnan("distance_m")).select(*carry, *columns)
+
+
+def _provenance(provider: str, license_id: Column | None, license_url: Column | None) -> dict[str, Column]:
+    none = F.lit(None).cast("string")
+    return {"provider": F.lit(provider), "license_id": none if license_id is None else license_id, "license_url": none if license_url is None else license_url}
+
+
+def candidates(
+    rows: DataFrame,
+    target: Target,
+    *,
+    license_id: Column | None = None,
+    license_url: Column | None = None,
+    provider: str = schemas.PROVIDER,
+    prefilter: bool = False,
+) -> DataFrame:
+    """Items within the radius of one target (unordered: see ``ordered``).  prefilter adds a box that covers
+    the circle, for scans that can push it down."""
+    if prefilter:
+        rows = rows.where(geo.in_bbox("latitude", "longitude", geo.covering_box(target.latitude, target.longitude, target.radius_m)))
+    at = (F.lit(float(x)) for x in (target.latitude, target.longitude, target.radius_m))
+    return _judged(rows, *at, _provenance(provider, license_id, license_url))
+
+
+def candidates_of_targets(
+    rows: DataFrame,
+    targets: DataFrame,
+    *,
+    license_id: Column | None = None,
+    license_url: Column | None = None,
+    provider: str = schemas.PROVIDER,
+) -> DataFrame:
+    """(target_id, *candidate): the items within each target's radius.  targets: (target_id, latitude,
+    longitude, radius_m); those of a radius that is not positive, or without a position, have none.
+
+    Circles and items meet in the cells of a grid (``geo.cells_of_circle``), by an equi-join; the exact test follows.  A
+    circle is in a few cells of a level as coarse as itself, an item in one cell of each level in use, so a pair meets once.
+    Levels in use are whole numbers up to ``geo.FINEST``, so that list is short whatever the number of targets."""
+    named = targets.select("target_id", *[F.col(c).cast("double").alias(f"target_{c}") for c in ("latitude", "longitude", "radius_m")])
+    usable = named.where((F.col("target_radius_m") > 0) & F.col("target_latitude").between(-90, 90) & ~F.isnan("target_longitude"))
+    celled = usable.withColumn("cell", F.explode(geo.cells_of_circle("target_latitude", "target_longitude", "target_radius_m")))
+    levels = sorted(r[0] for r in usable.select(geo.level_of_radius("target_radius_m")).distinct().collect())
+    if not levels:
+        levels = [0]
+    placed = rows.withColumn("cell", F.explode(F.array(*[geo.cell_of_point("latitude", "longitude", k) for k in levels])))
+    both = placed.join(celled, "cell").drop("cell")
+    return _judged(both, F.col("target_latitude"), F.col("target_longitude"), F.col("target_radius_m"), _provenance(provider, license_id, license_url), ("target_id",))
 
 
 def ordered(rows: DataFrame) -> DataFrame:
     return rows.orderBy("distance_m", "source_id")
 
 
+def around(pictures: DataFrame, target: Target, *, limit: int | None = 2000, box: tuple[float, float, float, float] | None = None, endpoint: str = schemas.ENDPOINT, license_id: str | None = None, license_url: str | None = None) -> DataFrame:
+    """Ordered candidates of searched pictures (page_no, pos, longitude, latitude, feature), a row for each feature.
+    Its box, the provider's search box unless another is given, is a plain filter on their position: a source that
+    takes filters asks for no more than that."""
+    within = pictures.where(geo.in_bbox("latitude", "longitude", box or geo.bbox_for_radius(target.latitude, target.longitude, target.radius_m)))
+    rows = fence(within.select(_place(F.col("page_no"), F.col("pos")).alias("place"), F.from_json("feature", stac.FEATURE).alias("f"))).select("place", "f.*")
+    first = dedupe_first(rows, limit_first(first_places(rows), limit))
+    return ordered(candidates(items(first, endpoint=endpoint), target, license_id=F.lit(license_id), license_url=F.lit(license_url)))
+
+
 def survey(pages: DataFrame, target: Target, *, limit: int | None = 2000, endpoint: str = schemas.ENDPOINT, license_id: str | None = None, license_url: str | None = None) -> DataFrame:
     """Ordered candidates of recorded search pages (page_no, body).  First places are found by ids alone;
     features meet them as typed rows, and only those within the radius."""

@@ -49,6 +49,17 @@ def typed_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(target_id, latitude, longitude, radius_m): a target for each customer, by arithmetic on its key."""
+    k, step = F.col("c_custkey"), 1e-5
+    return spark.read.parquet(f"{sf_dir}/customer.parquet").select(
+        k.alias("target_id"),
+        (F.lit(TARGET.latitude) + ((k * 6151) % 2003 - 1001).cast("double") * step).alias("latitude"),
+        (F.lit(TARGET.longitude) + ((k * 3571) % 2011 - 1005).cast("double") * step).alias("longitude"),
+        (5 + (k * 37) % 56).cast("double").alias("radius_m"),
+    )
+
+
 def json_pages(spark: SparkSession, sf_dir: str, *, page: int = PAGE) -> DataFrame:
     """(page_no, body): the items as search pages of so many features, with keys and
     types varied by id; every seventh feature comes again with another time, every third

@@ -104,6 +104,27 @@ def panoramic_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fixtures.typed_items(spark, sf_dir).select("source_id", "panoramic")
 
 
+_TARGETS = f"""targets as (select c_custkey as target_id, {_D(LAT)} + cast((c_custkey * 6151) % 2003 - 1001 as double) * cast('1e-5' as double) as target_latitude,
+  {_D(LON)} + cast((c_custkey * 3571) % 2011 - 1005 as double) * cast('1e-5' as double) as target_longitude, cast(5 + (c_custkey * 37) % 56 as double) as target_radius_m from customer)"""
+
+
+@query(
+    f"""with {_ITEMS}, {_TARGETS},
+measured as (select t.target_id, t.target_radius_m, i.*, {_DISTANCE.replace(_D(LAT), "target_latitude").replace(_D(LON), "target_longitude")} as distance_m,
+  {_BEARING.replace(_D(LAT), "target_latitude").replace(_D(LON), "target_longitude")} as bearing, fmod(raw_heading + 720, 360) as heading_deg,
+  coalesce(pano_flag, case when not isnan(fov) and fov >= 359 then true end) as panoramic from items i join targets t
+  on abs(i.latitude - t.target_latitude) < 0.001 and abs(i.longitude - t.target_longitude) < 0.002)
+select target_id, source_id, distance_m, round(bearing, 3) as target_bearing_deg,
+  case when panoramic then 'panoramic' when heading_deg is null then 'unknown' when abs(fmod(heading_deg - bearing + 540, 360) - 180) <= 45 then 'front'
+  when abs(fmod(heading_deg - bearing + 540, 360) - 180) < 135 then 'lateral' else 'rear' end as view_class
+from measured where distance_m <= target_radius_m"""
+)
+def candidates_of_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each customer is a target of its own, with a place and a radius of 5 to 60 m."""
+    found = survey.candidates_of_targets(fixtures.typed_items(spark, sf_dir), fixtures.targets(spark, sf_dir))
+    return found.select("target_id", "source_id", "distance_m", "target_bearing_deg", "view_class")
+
+
 # --- loosely typed JSON -------------------------------------------------------
 
 _V = """case event_id % 7 when 0 then concat('{"v":"  s', event_id, ' "}') when 1 then '{"v":5}' when 2 then '{"v":"   "}'

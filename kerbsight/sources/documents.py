@@ -1,20 +1,25 @@
-"""Documents written from bounded results: survey JSON, manifest JSON, gallery HTML.
+"""Documents: survey JSON, manifest JSON, gallery HTML.
 
-Bulk candidates stay in DataFrames (write them as Parquet or JSON lines); these
-sinks collect at most the survey's limit, or the shortlist's length, and format it byte for
-byte: sorted keys, two spaces, non-ASCII as it is, one newline at the end.
+Formatted byte for byte: sorted keys, two spaces, non-ASCII as it is, one newline at the end.  Rows become
+text in the tasks that hold them and reach the driver in order, a partition at a time, so a document may be
+longer than the driver's memory; pictures are written by the tasks.  Bulk candidates stay in DataFrames (write
+them as Parquet or JSON lines).
 """
 
 from __future__ import annotations
 
 import json
+from collections.abc import Iterable, Iterator
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from .. import schemas
 from ..operators import preview, summary
 from ..operators.survey import Target
+from . import files
 
 STYLE = "body{font:15px sans-serif;margin:2em}.grid{display:flex;flex-wrap:wrap;gap:1em}figure{margin:0;width:20em;border:1px solid #ccc}img,.missing{width:100%;height:13em;object-fit:cover}"
 
@@ -23,61 +28,95 @@ def to_text(document: dict) -> str:
     return json.dumps(document, ensure_ascii=False, indent=2, sort_keys=True) + "\n"
 
 
-def survey_document(rows: DataFrame, target: Target, *, endpoint: str = schemas.ENDPOINT, provider: str = schemas.PROVIDER, license_id: str | None = None, license_url: str | None = None) -> dict:
-    """The survey as one document; rows: ordered candidates, at most the limit."""
-    rows = rows.cache()
-    try:
-        total = summary.overall(rows).first().asDict()
-        classes = {r["view_class"]: r["candidate_count"] for r in summary.view_class_counts(rows).collect()}
-        return {
-            "schema_version": schemas.SURVEY_VERSION,
-            "provider": provider,
-            "endpoint": endpoint,
-            "target": {"latitude": target.latitude, "longitude": target.longitude, "radius_m": target.radius_m},
-            "license": {"id": license_id, "url": license_url},
-            "candidate_count": total["candidate_count"],
-            "summary": {
-                "sequence_count": total["sequence_count"],
-                "unsequenced_count": total["unsequenced_count"],
-                "view_class_counts": classes,
-                "target_in_fov_counts": {k: total[f"fov_{k}"] for k in ("true", "false", "unknown")},
-            },
-            "sequences": [r.asDict() for r in summary.ordered_sequences(rows).collect()],
-            "candidates": [r.asDict() for r in rows.collect()],
-        }
-    finally:
-        rows.unpersist()
+def _row_texts(rows: DataFrame, dropped: tuple[str, ...] = ()) -> Iterator[str]:
+    """Each row as the text of an item of a list, in the order of rows.  dropped: keys left out where null."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(0, batch.num_rows, 1024):
+                found = [{k: v for k, v in r.items() if not (v is None and k in dropped)} for r in batch.slice(i, 1024).to_pylist()]
+                texts = ["    " + to_text(r)[:-1].replace("\n", "\n    ") for r in found]
+                yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], names=["text"])
 
-def write_text(path: str, text: str) -> None:
-    Path(path).parent.mkdir(parents=True, exist_ok=True)
-    with open(path, "w", encoding="utf-8", newline="\n") as f:
-        f.write(text)
+    return (r.text for r in rows.mapInArrow(run, "text string").toLocalIterator())
 
 
-def write_preview(results: DataFrame, folder: str, *, source: str, max_items: int, per_sequence: int) -> dict:
-    """Thumbnails, manifest.json and index.html of a judged shortlist."""
-    rows = results.orderBy("rank").collect()
-    items = []
-    for r in rows:
-        item = {k: v for k, v in r.asDict().items() if k != "content" and not (v is None and k in ("error", "thumbnail_url", "local_file", "bytes", "content_type"))}
-        if r["status"] == "downloaded":
-            path = Path(folder, r["local_file"])
-            path.parent.mkdir(parents=True, exist_ok=True)
-            path.write_bytes(bytes(r["content"]))
-        items.append(item)
-    done = sum(r["status"] == "downloaded" for r in rows)
-    manifest = {
-        "schema_version": schemas.MANIFEST_VERSION,
-        "source_survey": source,
-        "selected_count": len(rows),
-        "downloaded_count": done,
-        "failed_count": len(rows) - done,
-        "max_items": max_items,
-        "per_sequence": per_sequence,
-        "items": items,
+def _with_lists(document: dict, lists: dict[str, Iterable[str]]) -> Iterator[str]:
+    """The text of a document whose lists of rows are told one item at a time.  They stand in it as empty
+    lists, and no text of another value has a line feed, so each is found at the begin of its line."""
+    text = to_text(document | dict.fromkeys(lists, ()))
+    for key in sorted(lists):
+        before, text = text.split(f'\n  "{key}": []', 1)
+        yield before
+        empty = True
+        for item in lists[key]:
+            yield f'\n  "{key}": [\n{item}' if empty else f",\n{item}"
+            empty = False
+        yield f'\n  "{key}": []' if empty else "\n  ]"
+    yield text
+
+
+def survey_head(rows: DataFrame, target: Target, *, endpoint: str = schemas.ENDPOINT, provider: str = schemas.PROVIDER, license_id: str | None = None, license_url: str | None = None) -> dict:
+    """A survey document without its lists; rows: candidates."""
+    total = summary.overall(rows).first().asDict()
+    classes = {r["view_class"]: r["candidate_count"] for r in summary.view_class_counts(rows).collect()}
+    return {
+        "schema_version": schemas.SURVEY_VERSION,
+        "provider": provider,
+        "endpoint": endpoint,
+        "target": {"latitude": target.latitude, "longitude": target.longitude, "radius_m": target.radius_m},
+        "license": {"id": license_id, "url": license_url},
+        "candidate_count": total["candidate_count"],
+        "summary": {
+            "sequence_count": total["sequence_count"],
+            "unsequenced_count": total["unsequenced_count"],
+            "view_class_counts": classes,
+            "target_in_fov_counts": {k: total[f"fov_{k}"] for k in ("true", "false", "unknown")},
+        },
     }
-    write_text(f"{folder}/manifest.json", to_text(manifest))
-    cards = preview.gallery(results).first()["cards"]
-    write_text(f"{folder}/index.html", f'<!doctype html>\n<html lang="en"><head><meta charset="utf-8"><title>Shortlisted views</title><style>{STYLE}</style></head>\n<body><h1>Shortlisted views</h1><div class="grid">{cards}</div></body></html>\n')
+
+
+def survey_document(rows: DataFrame, target: Target, **named) -> dict:
+    """The survey as one object, for results of a known size; rows: ordered candidates."""
+    lists = {"sequences": [r.asDict() for r in summary.ordered_sequences(rows).collect()], "candidates": [r.asDict() for r in rows.collect()]}
+    return survey_head(rows, target, **named) | lists
+
+
+def survey_text(rows: DataFrame, head: dict) -> Iterator[str]:
+    """The text of the survey document of ordered candidates and their head, in pieces."""
+    return _with_lists(head, {"candidates": _row_texts(rows), "sequences": _row_texts(summary.ordered_sequences(rows))})
+
+
+def write_text(path: str, text: str | Iterable[str]) -> None:
+    """Writes beside the path first, so a job that fails leaves an older document as it was."""
+    folder = Path(path).parent
+    folder.mkdir(parents=True, exist_ok=True)
+    pending = folder / f".{Path(path).name}.pending"
+    try:
+        with open(pending, "w", encoding="utf-8", newline="\n") as f:
+            f.writelines([text] if isinstance(text, str) else text)
+        pending.replace(path)
+    finally:
+        pending.unlink(missing_ok=True)
+
+
+def write_preview(results: DataFrame, folder: str, *, source: str, max_items: int, per_sequence: int) -> dict:
+    """Thumbnails, manifest.json and index.html of a judged shortlist; the manifest without its items.
+    results are read several times: store or cache them if they come from the network."""
+    spark = results.sparkSession
+    spark.dataSource.register(files.FileSink)
+    done = results.where("status = 'downloaded'").select(F.col("local_file").alias("name"), "content")
+    done.write.format("named_files").mode("append").save(folder)
+    told = results.drop("content").orderBy("rank")
+    manifest = {"schema_version": schemas.MANIFEST_VERSION, "source_survey": source, **preview.counts(results).first().asDict(), "max_items": max_items, "per_sequence": per_sequence}
+    items = _row_texts(told, ("error", "thumbnail_url", "local_file", "bytes", "content_type"))
+    write_text(f"{folder}/manifest.json", _with_lists(manifest, {"items": items}))
+    write_text(f"{folder}/index.html", _page(r.card for r in preview.cards(results).orderBy("rank").toLocalIterator()))
     return manifest
+
+
+def _page(cards: Iterable[str]) -> Iterator[str]:
+    yield f'<!doctype html>\n<html lang="en"><head><meta charset="utf-8"><title>Shortlisted views</title><style>{STYLE}</style></head>\n<body><h1>Shortlisted views</h1><div class="grid">'
+    for k, card in enumerate(cards):
+        yield "\n" * bool(k) + card
+    yield "</div></body></html>\n"

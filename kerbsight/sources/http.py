@@ -165,8 +165,9 @@ WORLD = (-180.0, -90.0, 180.0, 90.0)
 class PictureSource(DataSource):
     """spark.read.format("pictures"): a row for each feature of a search, with options limit, page_limit, endpoint
     and timeout_s.  The box that is asked for comes from the plan: comparisons of longitude and latitude with
-    constants narrow it (set spark.sql.python.filterPushdown.enabled).  Without such comparisons it is the whole
-    world."""
+    constants narrow it.  Without such comparisons it is the whole world.  Spark demands that
+    spark.sql.python.filterPushdown.enabled is set for that; where it can't be, the option pushdown=false makes a source
+    that asks for the whole world and leaves all filters to Spark."""
 
     ask: Client = staticmethod(client)
 
@@ -178,7 +179,8 @@ class PictureSource(DataSource):
         return "page_no bigint, pos int, longitude double, latitude double, feature string"
 
     def reader(self, schema) -> DataSourceReader:
-        return _PictureReader(dict(self.options), type(self).ask)
+        kind = _PictureReader if self.options.get("pushdown", "true") == "true" else _WholeReader
+        return kind(dict(self.options), type(self).ask)
 
 
 def _degrees(v) -> float | None:
@@ -210,10 +212,28 @@ COMPARISONS = {
 }
 
 
-class _PictureReader(DataSourceReader):
+class _WholeReader(DataSourceReader):
     def __init__(self, options: dict, ask: Client):
         self.options, self.ask, self.box, self.tests = options, ask, list(WORLD), []
 
+    def _passes(self, position: tuple[float | None, float | None]) -> bool:
+        return all(position[at] is not None and (kind is IsNotNull or COMPARISONS[kind][1](position[at], value)) for at, kind, value in self.tests)
+
+    def partitions(self) -> list[InputPartition]:
+        return [InputPartition(0)]
+
+    def read(self, partition: InputPartition) -> Iterator[tuple]:
+        o = self.options
+        if self.box[0] > self.box[2] or self.box[1] > self.box[3]:
+            return  # filters that exclude each other
+        pages = box_pages(self.ask, o.get("endpoint", ENDPOINT), tuple(self.box), limit=int(o.get("limit", 2000)), page_limit=int(o.get("page_limit", 500)), timeout=float(o.get("timeout_s", 30)))
+        for number, text in pages:
+            for pos, feature in enumerate(json.loads(text)["features"]):
+                if isinstance(feature, dict) and self._passes(place := _position(feature)):
+                    yield number, pos, *place, json.dumps(feature, ensure_ascii=False)
+
+
+class _PictureReader(_WholeReader):
     def pushFilters(self, filters: list[Filter]) -> Iterable[Filter]:
         """Takes comparisons of a coordinate with a number, which narrow the box and are applied to each
         feature as well, since a provider may round; other filters stay with Spark."""
@@ -232,22 +252,6 @@ class _PictureReader(DataSourceReader):
             else:
                 yield f
 
-    def _passes(self, position: tuple[float | None, float | None]) -> bool:
-        return all(position[at] is not None and (kind is IsNotNull or COMPARISONS[kind][1](position[at], value)) for at, kind, value in self.tests)
-
-    def partitions(self) -> list[InputPartition]:
-        return [InputPartition(0)]
-
-    def read(self, partition: InputPartition) -> Iterator[tuple]:
-        o = self.options
-        if self.box[0] > self.box[2] or self.box[1] > self.box[3]:
-            return  # filters that exclude each other
-        pages = box_pages(self.ask, o.get("endpoint", ENDPOINT), tuple(self.box), limit=int(o.get("limit", 2000)), page_limit=int(o.get("page_limit", 500)), timeout=float(o.get("timeout_s", 30)))
-        for number, text in pages:
-            for pos, feature in enumerate(json.loads(text)["features"]):
-                if isinstance(feature, dict) and self._passes(place := _position(feature)):
-                    yield number, pos, *place, json.dumps(feature, ensure_ascii=False)
-
 
 class SearchStreamSource(DataSource):
     """spark.readStream.format("picture_search_stream"): the pages of a search, one a micro-batch, with the

@@ -30,8 +30,9 @@ from . import base
 
 BUCKET = 30 * 86400
 
+# A scheme and a host are the same in either case; a path is not
 HOST = r"^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)"
-SEGMENT = r"^[a-z][a-z0-9+.-]*://[^/?#]+(/[^/?#]+)"
+SEGMENT = r"^(?i:[a-z][a-z0-9+.-]*)://[^/?#]+(/[^/?#]+)"
 
 
 def host_of(url):
@@ -131,7 +132,7 @@ OP5_SQL = r"""
 with cap as (
   select page_id, url, 1672531200 + (page_id * 104729) % 63072000 as fetched_at,
     nullif(regexp_extract(lower(url), '^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)', 1), '') as host,
-    regexp_extract(url, '^[a-z][a-z0-9+.-]*://[^/?#]+(/[^/?#]+)', 1) as seg
+    regexp_extract(url, '^(?i:[a-z][a-z0-9+.-]*)://[^/?#]+(/[^/?#]+)', 1) as seg
   from pages),
 names as (
   select distinct pattern from (

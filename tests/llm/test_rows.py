@@ -101,6 +101,10 @@ def test_url_filter_edges(spark):
     got = url_filter.evaluate(caps, log).collect()
     assert len(got) == len(rows)
     assert sorted({r.page_id for r in got if r.blocked}) == [1, 3, 5, 11]
+    # Scheme and host in any case, paths as they are
+    shouted = [(1, "HTTP://B.com/p/q", 99), (2, "hTTps://u@B.COM/p", 99), (3, "HTTP://b.com/P", 99), (4, "HTTP://B.com/pq", 99), (5, "http://" + "a." * 300 + "com", 15)]
+    got = url_filter.evaluate(spark.createDataFrame(shouted, "page_id long, url string, fetched_at long").withColumn("host", F.lit("x")).withColumn("k", F.lit("x")), log.withColumn("host", F.lit("x")).withColumn("u", F.lit("x"))).collect()
+    assert {r.page_id for r in got if r.blocked} == {1, 2, 5}
     assert url_filter.evaluate(caps.limit(0), log).count() == 0
     assert not any(r.blocked for r in url_filter.evaluate(caps, log.limit(0)).collect())
     plan = url_filter.evaluate(caps, log)._jdf.queryExecution().executedPlan().toString()

@@ -159,6 +159,56 @@ def test_decontamination_in_parts(spark):
         assert sum(len(decontaminate.words_of(s)) for s in spans) == r.decontam.n_hit
 
 
+def plain_hits(text, items, window=13):
+    """(words, hit words, items) by looking for each window at each word."""
+    words = decontaminate.words_of((text or "").encode())
+    on, found = set(), set()
+    for name, item in items:
+        ws = decontaminate.words_of((item or "").encode())
+        if name is None or not ws:
+            continue
+        size = min(window, len(ws))
+        windows = {tuple(ws[k : k + size]) for k in range(len(ws) - size + 1)}
+        for k in range(len(words) - size + 1):
+            if tuple(words[k : k + size]) in windows:
+                found.add(name)
+                on.update(range(k, k + size))
+    return len(words), len(on), sorted(found)
+
+
+@pytest.mark.parametrize("window, part_bytes", [(13, 1 << 24), (13, 3000), (5, 1 << 24), (2, 1 << 24), (1, 1 << 24)])
+def test_decontamination_by_brute_force(spark, window, part_bytes):
+    """Few words, so windows begin and end anywhere; items repeat, share windows and ids, and hold a document."""
+    r = random.Random(window)
+    some = lambda n: " ".join(r.choice("abcd") for _ in range(n))
+    items = [(f"i{k % 25}", some(r.choice([1, 2, 6, 7, 12, 13, 14, 20, 21, 40]))) for k in range(40)]
+    items += items[:5] * 3 + [("x", None), (None, some(20)), ("y", "  "), ("z", items[7][1].upper())]
+    rows = []
+    for k in range(60):
+        item = r.choice(items[:40])[1].replace(" ", r.choice([" ", ", ", "\n"]))
+        plain = r.choice([None, "", some(3), some(13), some(300)])
+        rows.append((k, plain if k % 2 else f"{some(5)} zz {item}! {some(9)}"))
+    rows.append((0, rows[0][1]))
+    docs = spark.createDataFrame(rows, "doc_id int, text string").repartition(3).withColumn("text_digest", F.lit("x"))
+    bench = spark.createDataFrame(items, "item_id string, text string")
+    got = decontaminate.find(docs, bench, window=window, part_bytes=part_bytes).collect()
+    want = {k: plain_hits(t, items, window) for k, t in rows}
+    assert len(got) == len(rows) and all((x.decontam.n_words, x.decontam.n_hit, x.decontam["items"]) == want[x.doc_id] for x in got)
+
+
+def test_decontamination_of_a_long_item_and_many_copies(spark):
+    """One item of 5 MB is in one automaton; a row that is repeated counts once when the benchmark is gathered."""
+    r = random.Random(8)
+    vocabulary = [f"v{k}" for k in range(20000)]
+    words = [r.choice(vocabulary) for _ in range(800_000)]
+    long = " ".join(words)
+    assert len(long) > 4_500_000
+    bench = spark.createDataFrame([("long", long)], "item_id string, text string").unionByName(spark.range(20_000).selectExpr("'copy' as item_id", "'one two three four five six seven eight nine ten eleven twelve thirteen' as text"))
+    docs = spark.createDataFrame([(1, " ".join(words[500_003:500_016])), (2, " ".join(words[500_003:500_015])), (3, "x one two three four five six seven eight nine ten eleven twelve Thirteen"), (4, " ".join(words[-40:] + words[:12]))], "doc_id int, text string")
+    got = {x.doc_id: x.decontam for x in decontaminate.find(docs, bench).collect()}
+    assert [(got[k].n_hit, got[k]["items"]) for k in (1, 2, 3, 4)] == [(13, ["long"]), (0, []), (13, ["copy"]), (40, ["long"])]
+
+
 def jaccard(a, b):
     return 100 * len(a & b) >= 80 * len(a | b)
 

@@ -140,8 +140,9 @@ def _leaf_rows(window: int, prefix: int):
                 raw = label[start[flat]]
                 cuts = np.concatenate(([0], np.cumsum(size) * 8)).astype(np.int32)
                 blob = pa.Array.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(cuts), pa.py_buffer(raw)])
-                # A prefix with many suffixes is dealt to subgroups by text and place.
-                spread = mix(k1[i + d].view(np.uint64) ^ mix(anchor[found].astype(np.uint64)))
+                # A prefix with many suffixes is dealt to subgroups by the text and the place in it,
+                # whatever rows it came with: a task that runs again deals alike.
+                spread = mix(k1[i + d].view(np.uint64) ^ mix((anchor[found] - w.first[d]).astype(np.uint64)))
                 deal = np.where(many > 1, (spread % np.maximum(many, 1).astype(np.uint64)).astype(np.int64) + 1, 0)
                 yield pa.RecordBatch.from_arrays([_long(h[anchor[found]]), pa.array(deal), pa.array(k1[i + d]), pa.array(k2[i + d]), pa.array(start[a] - w.first[d]), blob], schema=_LEAF_SCHEMA)
 

@@ -319,6 +319,23 @@ def test_repeats_with_dealt_groups(spark):
             assert x.deduped.text.split() == kept
 
 
+def test_deal_of_repeats_does_not_depend_on_the_batch():
+    """A text's places go to the same subgroups whatever rows come before it."""
+    r = random.Random(2)
+    rows = []
+    for k in range(4):
+        text = " ".join(r.choice(["a", "b", "c"]) for _ in range(200))
+        w = textbatch.words_of(np.frombuffer(text.encode(), np.uint8), np.array([0, len(text)]))
+        places = np.unique(repeats.anchors(w, 35, 8)[1]).tolist()
+        rows.append((k * 7 + 1, k, text, places, [1000] * len(places)))
+    got = set()
+    for order in itertools.permutations(rows):
+        batch = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*order), [pa.int64(), pa.int64(), pa.string(), pa.list_(pa.int32()), pa.list_(pa.int32())])], names=["k1", "k2", "text", "places", "deals"])
+        out = pa.Table.from_batches(list(repeats._leaf_rows(35, 8)(iter([batch])))).to_pylist()
+        got.add(repr(sorted((x["k1"], x["start"], x["g"], x["deal"]) for x in out)))
+    assert len(got) == 1 and len({x["deal"] for x in out}) > 20
+
+
 def test_pieces_round_trip_and_distribution(spark):
     v = pieces.Vocabulary(open(pieces.MODEL, "rb").read())
     e = pieces.Encoder(v)

@@ -6,10 +6,15 @@ values.  The JSON form spells the same items the way loosely typed catalogues do
 
 from __future__ import annotations
 
+import re
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.survey import Target
+from ..sources import files
 
 TARGET = Target(45.9086611, 6.0984374, 500.0)
 PAGE = 100
@@ -80,3 +85,24 @@ def json_pages(spark: SparkSession, sf_dir: str, *, page: int = PAGE) -> DataFra
     twice = twice.withColumn("feature", F.when(F.col("copy") == 1, F.replace("feature", F.lit("2024-"), F.lit("1999-"))).otherwise(F.col("feature")))
     listed = twice.groupBy("page_no").agg(F.sort_array(F.collect_list(F.struct("event_id", "copy", "feature"))).alias("x"))
     return listed.select("page_no", F.concat(F.lit('{"type":"FeatureCollection","features":['), F.array_join(F.col("x.feature"), ","), F.lit('],"links":[]}')).alias("body"))
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder that driver and executors share: below spark.checkpoint.dir, or, where all run in one
+    process and it is unset, a temporary one."""
+    sc = spark.sparkContext
+    top = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    if not top:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        top = tempfile.mkdtemp(prefix="kerbsight-")
+    return f"{top}/{name}-{uuid.uuid4().hex}"
+
+
+def page_files(spark: SparkSession, sf_dir: str) -> str:
+    """A folder with a file for each search page, written by the tasks that made them."""
+    folder = scratch(spark, "pages")
+    spark.dataSource.register(files.FileSink)
+    pages = json_pages(spark, sf_dir).select(F.format_string("%012d.json", "page_no").alias("name"), F.col("body").cast("binary").alias("content"))
+    pages.write.format("named_files").mode("append").save(folder)
+    return folder

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import geo, stac
 from ..operators import preview, shortlist, summary, survey
 from .. import schemas
+from ..sources import documents, recorded
 from . import fixtures
 from .fixtures import TARGET
 
@@ -216,6 +217,14 @@ def limit_before_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return survey.survey(fixtures.json_pages(spark, sf_dir), TARGET, limit=700).select("source_id", "distance_m")
 
 
+@query(f"{_BASE} select {', '.join(_COLUMNS)}, {_CARRIED} from cand")
+def recorded_page_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same through files: pages written by tasks and read as recorded pages."""
+    pages = recorded.pages(spark, fixtures.page_files(spark, sf_dir))
+    found = survey.survey(pages, TARGET, limit=None, license_id="CC-BY-4.0", license_url="https://license.example/")
+    return found.select(*_COLUMNS, "captured_at", "source_url", "provider", "license_id", "license_url")
+
+
 # --- summaries ----------------------------------------------------------------
 
 _CLASSES = "panoramic front lateral rear unknown".split()
@@ -336,6 +345,32 @@ def manifest_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return preview.counts(_fetched(spark, sf_dir))
 
 
+_FAILURE = """case rank % 6 when 1 then 'fetching the item failed: status 404' when 2 then 'the item is no JSON object' when 3 then 'the item names no thumbnail'
+  when 4 then 'the thumbnail''s type is no image: ''text/html''' end"""
+
+
+@query(
+    f"""{_SHORT} select cast(rank as int) as rank, source_id, sequence_id, distance_m, view_class, target_in_fov, heading_error_deg, '2024-01-01T00:00:00Z' as captured_at, {_URL} as source_url,
+  case when rank % 6 in (0, 5) then 'downloaded' else 'failed' end as status, {_FAILURE} as error, case when rank % 6 in (0, 4, 5) then 'https://t/1' end as thumbnail_url,
+  case when rank % 6 in (0, 5) then concat('thumbnails/', lpad(cast(rank as varchar), 2, '0'), '_', source_id, '.jpg') end as local_file,
+  cast(case when rank % 6 in (0, 5) then 5 end as bigint) as bytes, case when rank % 6 in (0, 5) then 'image/jpeg' end as content_type from short"""
+)
+def preview_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _fetched(spark, sf_dir).drop("content")
+
+
+@query(f"{_SHORT} select cast(rank as int) as rank, tier, source_id, sequence_id, distance_m, view_class, target_in_fov, heading_error_deg from short")
+def survey_file_shortlist(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The shortlist of a survey document: told in pieces to a file, read back by Spark."""
+    rows = survey.survey(fixtures.json_pages(spark, sf_dir), TARGET, limit=None)
+    path = f"{fixtures.scratch(spark, 'survey').removeprefix('file://')}/survey.json"
+    documents.write_text(path, documents.survey_text(rows, documents.survey_head(rows, TARGET)))
+    found = recorded.survey_document(spark, f"file://{path}")
+    return shortlist.shortlist(found).select("rank", "tier", "source_id", "sequence_id", "distance_m", "view_class", "target_in_fov", "heading_error_deg")
+
+
+
+
 _PICTURE = """case when rank % 6 in (0, 5) then concat('<img alt="', source_id, '" loading="lazy" src="thumbnails/', lpad(cast(rank as varchar), 2, '0'), '_', source_id, '.jpg">')
   else concat('<div class="missing">', case rank % 6 when 1 then 'fetching the item failed: status 404' when 2 then 'the item is no JSON object' when 3 then 'the item names no thumbnail'
   else 'the thumbnail&#x27;s type is no image: &#x27;text/html&#x27;' end, '</div>') end"""

@@ -12,7 +12,8 @@ from ..schemas import CANDIDATE
 
 
 def pages(spark: SparkSession, path: str) -> DataFrame:
-    """(page_no, body): one JSON document a file, numbered by file name."""
+    """(page_no, body): one JSON document a file, numbered by file name.  The names, and they alone, are
+    sorted in one task."""
     files = spark.read.text(path, wholetext=True).select("value", F.col("_metadata.file_path").alias("file"))
     order = files.select("file").distinct().select("file", (F.row_number().over(Window.orderBy("file")) - 1).cast("long").alias("page_no"))
     return files.join(order, "file").select("page_no", F.col("value").alias("body"))

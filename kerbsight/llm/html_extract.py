@@ -6,7 +6,14 @@ content or as boilerplate, its terminal capacity, is the sum of
 * a classifier's log odds from its text alone (length, share of linked text, sentence
   end, commas), at most ``MOST_TEXT`` either way, and
 * what the markup says (``evidence``): an element that never holds main text, a
-  boilerplate name on the innermost element that has one, or the page's main element.
+  boilerplate name on the innermost element that has one, a list of reader comments (siblings that
+  each begin with a line of an author or a date), or the page's main element, in it or beside it.
+
+Elements are a tree of parent pointers, and what markup says is handed down in it, so a page
+costs time and memory in proportion to its length, however deep its elements are nested.
+
+Elements are a tree of parent pointers, and what markup says is handed down in it, so a page
+costs time and memory in proportion to its length, however deep its elements are nested.
 
 Edges between neighbouring blocks, and to the last block below the same
 parent, cost something if their ends are labelled differently, more so the closer
@@ -34,7 +41,7 @@ from __future__ import annotations
 
 import html as _html
 import re
-from collections import Counter, deque
+from collections import Counter, defaultdict, deque
 from collections.abc import Iterator
 
 import numpy as np
@@ -50,6 +57,10 @@ BINS = (11, 5, 2, 4)
 N_KEYS = 11 * 5 * 2 * 4
 #: Limits of the log odds from the text, and the weights of markup and edges beside it.
 MOST_TEXT, MAIN, NAME, NEVER_WEIGHT, EDGE = 3.0, 2.5, 4.5, 9.0, 2.0
+#: Evidence of a block beside the main element, if that holds such a share of the text that is not linked.
+OUTSIDE, MAIN_SHARE = 3.5, 1 / 3
+#: Evidence of a block beside the main element, if that holds such a share of the text that is not linked.
+OUTSIDE, MAIN_SHARE = 3.5, 1 / 3
 
 _TOKEN = re.compile(
     r"<!--(?:.*?(?:-->|--!>)|.*\Z)"
@@ -61,6 +72,8 @@ _TOKEN = re.compile(
     re.S | re.I,
 )
 _NAMES = re.compile(r"""(?<![\w-])(?:class|id|role|aria-label|itemprop)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+_WHEN = re.compile(r"\b(?:19|20)\d\d\b|\b\d{1,2}[:.]\d\d\b|\b\d+ ?(?:s|m|min|h|d|w|second|minute|hour|day|week|month|year)s? ago\b|\b(?:just now|yesterday)\b", re.I)
+_WHEN = re.compile(r"\b(?:19|20)\d\d\b|\b\d{1,2}[:.]\d\d\b|\b\d+ ?(?:s|m|min|h|d|w|second|minute|hour|day|week|month|year)s? ago\b|\b(?:just now|yesterday)\b", re.I)
 _HIDDEN = re.compile(r"""(?<![\w-])(?:hidden(?![\w-])|aria-hidden\s*=\s*["']?true|style\s*=\s*["'][^"']*display\s*:\s*none)""", re.I)
 
 # Element names of the HTML standard.
@@ -69,12 +82,22 @@ INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font
 #: Elements that never hold main text.
 NEVER = frozenset("head nav footer aside form button select option menu dialog fieldset datalist".split())
 CONTENT = frozenset("article main".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Words in class, id or role that name boilerplate.
 NAMED = frozenset(
     "ad ads advert adverts advertisement banner breadcrumb breadcrumbs comment comments cookie cookies consent copyright "
     "disqus footer header masthead menu nav navbar navigation newsletter notice notices pager pagination popup promo "
     "promoted related share sharing sidebar signup social sponsor sponsored subscribe toolbar widget".split()
 )
+#: Names of reader comments, where a list of theirs bears them out.
+THREADS = frozenset("discussion reactions replies reply response responses thread".split())
+#: A line of an author or a date is no longer than this.
+SIGNED_CHARS = 80
+#: Names of reader comments, where a list of theirs bears them out.
+THREADS = frozenset("discussion reactions replies reply response responses thread".split())
+#: A line of an author or a date is no longer than this.
+SIGNED_CHARS = 80
 #: First parts of class names that tell a state or topic, not what the element is.
 STATES = frozenset("has no not with without is category tag type post page single template".split())
 #: Start tags that end an open p, and the lists of siblings that end each other.
@@ -84,52 +107,96 @@ STOPS = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}
 
 
 class Block:
-    """A text block: its text, the elements around it, their names and numbers from
-    the outside in, and the share of its text inside links."""
+    """A text block: its text, the innermost element around it (a node of its page's tree),
+    and the share of its text inside links."""
+
+    __slots__ = ("text", "node", "linked")
+
+    def __init__(self, text: str, node: int, linked: float):
+        self.text, self.node, self.linked = text, node, linked
+
 
-    __slots__ = ("text", "path", "names", "linked", "parent")
+class Page(list):
+    """The blocks of a page, and its tree: each node's element, name words, parent and depth.  Node 0 is the page;
+    parents come before their children.  Inline elements are nodes only if they have a name word."""
 
-    def __init__(self, text, path, names, linked, parent):
-        self.text, self.path, self.names, self.linked, self.parent = text, path, names, linked, parent
+    def __init__(self):
+        super().__init__()
+        self.element, self.words, self.up, self.depth = [""], [()], [0], [0]
 
+    def add(self, element: str, words: tuple[str, ...], up: int) -> int:
+        self.element.append(element)
+        self.words.append(words)
+        self.up.append(up)
+        self.depth.append(self.depth[up] + 1)
+        return len(self.up) - 1
 
-def name_words(attrs: str) -> tuple[str, ...]:
+    def sums(self, values: list[float]) -> list[float]:
+        """Of each node, the sum over the blocks in it."""
+        out = [0.0] * len(self.up)
+        for b, v in zip(self, values):
+            out[b.node] += v
+        for k in range(len(out) - 1, 0, -1):
+            out[self.up[k]] += out[k]
+        return out
+
+    def shared(self, a: int, b: int) -> int:
+        """Depth of the innermost node around both; the climb is paid for by the tags between them."""
+        while a != b:
+            if self.depth[a] < self.depth[b]:
+                a, b = b, a
+            a = self.up[a]
+        return self.depth[a]
+
+
+def name_words(attrs: str, element: str = "") -> tuple[str, ...]:
     """The boilerplate names among an element's class, id and role words."""
     out = []
     for groups in _NAMES.findall(attrs):
         for token in " ".join(groups).split():
             words = re.findall(r"[a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", token).lower())
             if words and words[0] not in STATES:
-                out += [w for w in words if w in NAMED]
+                # What a paragraph is about comes first (related-work), what it is comes last (cookie-notice)
+                out += [w for w in (words[-1:] if element == "p" else words) if w in NAMED or w in THREADS]
     if _HIDDEN.search(attrs):
         out.append("hidden!")
     return tuple(out)
 
 
-def blocks_of(page: str) -> list[Block]:
+def blocks_of(page: str) -> Page:
     """The visible text blocks of a page, in order."""
-    out: list[Block] = []
-    stack: list[tuple[str, tuple[str, ...], int]] = []  # element, name words, number
+    out = Page()
+    stack: list[tuple[str, int]] = []  # element, its node or that around it
+    places: dict[str, list[int]] = defaultdict(list)  # where each element is open in the stack
+    blocks: list[int] = []  # where elements that are not inline are
     parts: list[str] = []
-    state = {"linked": 0, "count": 0}
+    linked = 0
 
     def flush() -> None:
+        nonlocal linked
         if parts:
             text = " ".join(_html.unescape("".join(parts)).split())
             if text:
-                held = [x for x in stack if x[0] not in INLINE or x[1]]
-                out.append(Block(text, tuple(x[0] for x in held), tuple(x[1] for x in held), min(1.0, state["linked"] / max(1, len(text))), tuple(x[2] for x in held)))
+                out.append(Block(text, stack[-1][1] if stack else 0, min(1.0, linked / max(1, len(text)))))
             parts.clear()
-        state["linked"] = 0
+        linked = 0
 
     def text(piece: str) -> None:
+        nonlocal linked
         if piece:
             parts.append(piece)
-            if any(x[0] == "a" for x in stack):
-                state["linked"] += len(piece.strip())
+            if places["a"]:
+                linked += len(piece.strip())
 
     def pop_to(k: int) -> None:
-        del stack[k:]
+        while len(stack) > k:
+            name, _ = stack.pop()
+            places[name].pop()
+            if name not in INLINE:
+                blocks.pop()
+
+    def innermost(names) -> int:
+        return max((places[n][-1] for n in names if places[n]), default=-1)
 
     at = 0
     for m in _TOKEN.finditer(page):
@@ -140,10 +207,10 @@ def blocks_of(page: str) -> list[Block]:
             continue
         name = name.lower()
         if m["close"] or m["close2"]:
-            k = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name), None)
             if name not in INLINE:
                 flush()
-            if k is not None and (name not in INLINE or all(x[0] in INLINE for x in stack[k:])):
+            k = innermost((name,))
+            if k >= 0 and (name not in INLINE or not blocks or blocks[-1] < k):
                 pop_to(k)
             continue
         if name == "br":
@@ -151,69 +218,110 @@ def blocks_of(page: str) -> list[Block]:
             continue
         if name not in INLINE:
             flush()
-            if name in CLOSES_P:
-                k = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == "p"), None)
-                if k is not None:
-                    pop_to(k)
+            if name in CLOSES_P and places["p"]:
+                pop_to(places["p"][-1])
             if name in SIBLING:
-                for i in range(len(stack) - 1, -1, -1):
-                    if stack[i][0] in SIBLING[name]:
-                        pop_to(i)
-                        break
-                    if stack[i][0] in STOPS[name]:
-                        break
+                k = innermost(SIBLING[name])
+                if k > innermost(STOPS[name] - SIBLING[name]):
+                    pop_to(k)
         attrs = m["attrs"] if m["tag"] else m["attrs2"]
         if name in VOID or attrs.rstrip().endswith("/") and name not in INLINE | CONTENT | NEVER | CLOSES_P:
             continue
-        words = name_words(attrs) if attrs and not attrs.isspace() else ()
-        state["count"] += 1
-        stack.append((name, words, state["count"]))
+        words = name_words(attrs, name) if attrs and not attrs.isspace() else ()
+        up = stack[-1][1] if stack else 0
+        places[name].append(len(stack))
+        if name not in INLINE:
+            blocks.append(len(stack))
+        stack.append((name, out.add(name, words, up) if words or name not in INLINE else up))
     text(page[at:])
     flush()
     return out
 
 
-def main_element(blocks: list[Block]) -> int | None:
-    """The number of the article or main element with the most text that is not linked
+def main_element(page: Page) -> int | None:
+    """The article or main element with the most text that is not linked
     (the innermost of equal ones); a page may have none."""
-    size: Counter = Counter()
-    for b in blocks:
-        for e, k in zip(b.path, b.parent):
-            if e in CONTENT:
-                size[k] += (1 - b.linked) * len(b.text)
-    return max(size, key=lambda k: (size[k], k)) if size else None
+    size = page.sums([(1 - b.linked) * len(b.text) for b in page])
+    return max((k for k, e in enumerate(page.element) if e in CONTENT and size[k] > 0), key=lambda k: (round(size[k], 6), k), default=None)
+
+
+def _signed(b: Block) -> bool:
+    """Whether a block looks like the line of an author or a date: short, no sentence, and with
+    a date or of a few words that begin with capitals."""
+    if len(b.text) > SIGNED_CHARS or b.text[-1] in ".!?…。;":
+        return False
+    words = b.text.split()
+    return bool(_WHEN.search(b.text)) or (len(words) <= 4 and all(w[:1].isupper() or not w[:1].isalpha() for w in words) and any(w[:1].isalpha() for w in words))
+
+
+def comment_lists(page: Page, main: int | None) -> set[int]:
+    """Nodes that hold reader comments: most of their text is in two children or more of one kind, each with a line
+    of an author or a date before a text; or they are named like a discussion and have one such child, or are a list.
+    Not what holds nine tenths of the main element, nor children that begin with a heading."""
+    first: dict[int, int] = {}  # of each node, its first and its last block
+    last: dict[int, int] = {}
+    size = page.sums([len(b.text) for b in page])
+    for i, b in enumerate(page):
+        k = b.node
+        while k not in first:
+            first[k] = i
+            if not k:
+                break
+            k = page.up[k]
+        last[b.node] = i
+    for k in range(len(page.up) - 1, 0, -1):
+        if k in last:
+            last[page.up[k]] = max(last[k], last.get(page.up[k], -1))
+    signed = [_signed(b) for b in page]
+    heading = [page.element[b.node] in HEADINGS for b in page]
+    each: dict[tuple[int, str], list[int]] = defaultdict(list)  # comments and their text, by parent and element
+    for k in range(1, len(page.up)):
+        if k in first and first[k] < last[k] and signed[first[k]] and not heading[first[k]] and len(page[last[k]].text) > 10:
+            each[page.up[k], page.element[k]].append(k)
+    out = set()
+    whole = size[main] if main is not None else size[0]
+    for (up, _), found in each.items():
+        named = THREADS & set(page.words[up])
+        if (len(found) > 1 or named) and 10 * sum(size[k] for k in found) >= 6 * size[up] and 10 * size[up] < 9 * whole:
+            out.add(up)
+    for k, e in enumerate(page.element):
+        if e in ("ol", "ul", "dl") and THREADS & set(page.words[k]) and 10 * size[k] < 9 * whole:
+            out.add(k)
+    return out
 
 
-def evidence(blocks: list[Block]) -> list[float]:
+def evidence(page: Page) -> list[float]:
     """What the markup says of each block: positive for content.  An element that never
-    holds main text decides; else the innermost of a boilerplate name and the main element.
+    holds main text decides; else the innermost of a boilerplate name, a list of comments and the main element.
     Names on the main element, on those around it, or around nine tenths of the text
-    name the page, not boilerplate, and don't count."""
-    main = main_element(blocks)
-    size: Counter = Counter()
+    name the page, not boilerplate, and don't count.  What is beside a main element that holds a good part of
+    the text is no main text unless its neighbours are."""
+    main = main_element(page)
+    size = page.sums([len(b.text) for b in page])
     around: set[int] = set()
-    for b in blocks:
-        for k in b.parent:
-            size[k] += len(b.text)
-        if main in b.parent:
-            around.update(b.parent[: b.parent.index(main) + 1])
+    outside = 0.0
     if main is None:
-        total = sum(len(b.text) for b in blocks)
-        around = {k for k, n in size.items() if 10 * n >= 9 * total}
-    out = []
-    for b in blocks:
-        value = 0.0
-        inside = main in b.parent
-        for i, (e, names, k) in enumerate(zip(b.path, b.names, b.parent)):
-            if "hidden!" in names or e in NEVER or e == "header" and main not in b.parent[:i]:
-                value = -NEVER_WEIGHT
-                break
-            if k == main:
-                value = MAIN
-            elif names and k not in around:
-                value = -NAME
-        out.append(value if value or not inside else MAIN)
-    return out
+        around = {k for k, n in enumerate(size) if 10 * n >= 9 * size[0]}
+    else:
+        k = main
+        while k not in around:
+            around.add(k)
+            k = page.up[k]
+        plain = page.sums([(1 - b.linked) * len(b.text) for b in page])
+        outside = -OUTSIDE if plain[main] >= MAIN_SHARE * plain[0] else 0.0
+    comments = comment_lists(page, main)
+    value, inside = [outside] * len(page.up), [False] * len(page.up)
+    for k in range(1, len(page.up)):
+        up, e, words = page.up[k], page.element[k], page.words[k]
+        inside[k] = inside[up] or k == main
+        value[k] = value[up]
+        if value[up] == -NEVER_WEIGHT or "hidden!" in words or e in NEVER or e == "header" and not inside[up]:
+            value[k] = -NEVER_WEIGHT
+        elif k == main:
+            value[k] = MAIN
+        elif k in comments or (NAMED.intersection(words) and k not in around):
+            value[k] = -NAME
+    return [value[b.node] for b in page]
 
 
 def key_of(b: Block) -> int:
@@ -242,7 +350,7 @@ def block_counts(pages: list[str | None]) -> Counter:
     for page in pages:
         blocks = blocks_of(page or "")
         for b, e in zip(blocks, evidence(blocks)):
-            if e:
+            if e and e != -OUTSIDE:  # what is merely beside the main element is no example
                 out[key_of(b), e > 0] += 1
     return out
 
@@ -359,22 +467,18 @@ def min_cut(score: list[float], edges: list[tuple[int, int, float]]) -> list[boo
     return [bool(x) for x in label]
 
 
-def edges_of(blocks: list[Block], *, weight: float = EDGE) -> list[tuple[int, int, float]]:
+def edges_of(page: Page, *, weight: float = EDGE) -> list[tuple[int, int, float]]:
     """Smoothness: to the next block and to the last block below the same parent,
     by the share of the element path that both have."""
     out, last = [], {}
-    for i, b in enumerate(blocks):
-        near = {i - 1} if i else set()
-        up = b.parent[:-1]
+    for i, b in enumerate(page):
+        up = page.up[b.node]
+        near = {i - 1: page.shared(page[i - 1].node, b.node)} if i else {}
         if up in last:
-            near.add(last[up])
+            near[last[up]] = page.depth[b.node] if page[last[up]].node == b.node else page.depth[up]
         last[up] = i
-        for j in near:
-            p, q = blocks[j].parent, b.parent
-            k = 0
-            while k < min(len(p), len(q)) and p[k] == q[k]:
-                k += 1
-            out.append((j, i, weight * (k + 1) / (max(len(p), len(q)) + 1)))
+        for j, k in near.items():
+            out.append((j, i, weight * (k + 1) / (max(page.depth[page[j].node], page.depth[b.node]) + 1)))
     return out
 
 
@@ -382,11 +486,11 @@ class Extractor:
     def __init__(self, odds: np.ndarray):
         self.odds = np.clip(odds, -MOST_TEXT, MOST_TEXT).tolist()
 
-    def scores(self, blocks: list[Block]) -> list[float]:
+    def scores(self, blocks: Page) -> list[float]:
         """What a block gains as content: the signed terminal capacities."""
         return [self.odds[key_of(b)] + e for b, e in zip(blocks, evidence(blocks))]
 
-    def labels(self, blocks: list[Block]) -> list[bool]:
+    def labels(self, blocks: Page) -> list[bool]:
         return min_cut(self.scores(blocks), edges_of(blocks))
 
     def text(self, page: str | None) -> str:

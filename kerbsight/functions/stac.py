@@ -6,6 +6,8 @@ type of each value; a value counts only if it has the type that is asked for.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, MapType, StringType, StructField, StructType, VariantType
@@ -54,9 +56,9 @@ def feature_list(body: Column, feature: StructType = FEATURE) -> Column:
     return F.coalesce(known, F.zip_with(listed("string"), F.coalesce(listed("variant"), F.array().cast("array<variant>")), item))
 
 
-def parse_object(json: Column) -> Column:
+def parse_object(text: Column) -> Column:
     """A JSON text as an object; null for anything else."""
-    return F.from_json(json, OBJECT)
+    return F.from_json(text, OBJECT)
 
 
 def kind(v: Column) -> Column:
@@ -64,21 +66,17 @@ def kind(v: Column) -> Column:
 
 
 def is_object(v: Column) -> Column:
-    return F.coalesce(kind(v).startswith("OBJECT"), F.lit(False))
-
-
-def is_list(v: Column) -> Column:
-    return F.coalesce(kind(v).startswith("ARRAY"), F.lit(False))
+    return as_object(v).isNotNull()
 
 
 def as_object(v: Column) -> Column:
     """A variant object as a map; null if it is none.  Keys come sorted: where their
     order matters, parse the text with parse_object instead."""
-    return F.when(is_object(v), F.try_variant_get(v, "$", OBJECT))
+    return F.try_variant_get(v, "$", OBJECT)
 
 
 def as_list(v: Column) -> Column:
-    return F.when(is_list(v), F.try_variant_get(v, "$", "array<variant>"))
+    return F.try_variant_get(v, "$", "array<variant>")
 
 
 def get(obj: Column, key: str) -> Column:
@@ -101,10 +99,10 @@ def first_text(obj: Column, keys) -> Column:
 
 
 def number_of(v: Column) -> Column:
-    """A number as double; booleans count as 1 and 0, numeric strings do not count."""
-    k = kind(v)
-    number = k.isin("BIGINT", "DOUBLE", "FLOAT") | k.startswith("DECIMAL")
-    return F.when(number, F.try_variant_get(v, "$", "double")).when(k == "BOOLEAN", F.try_variant_get(v, "$", "boolean").cast("double"))
+    """A number as double; booleans count as 1 and 0, numeric strings do not count.  As JSON text, a value
+    tells its kind by itself: a string has quotes, so it is no number."""
+    text = F.to_json(v)
+    return F.coalesce(text.try_cast("double"), text.try_cast("boolean").cast("double"))
 
 
 def first_number(obj: Column, keys) -> Column:
@@ -113,16 +111,7 @@ def first_number(obj: Column, keys) -> Column:
 
 def truthy(v: Column) -> Column:
     """Whether a value counts as present: not missing, null, false, zero or empty."""
-    k = kind(v)
-    empty = (
-        v.isNull()
-        | (k == "VOID")
-        | ((k == "STRING") & (F.try_variant_get(v, "$", "string") == ""))
-        | ((k == "BOOLEAN") & ~F.try_variant_get(v, "$", "boolean"))
-        | ((k.isin("BIGINT", "DOUBLE", "FLOAT") | k.startswith("DECIMAL")) & (F.try_variant_get(v, "$", "double") == 0))
-        | (is_list(v) & (F.size(as_list(v)) == 0))
-        | (is_object(v) & (F.size(as_object(v)) == 0))
-    )
+    empty = F.to_json(v).rlike(r'^(null|false|""|\[\]|\{\}|-?0(\.0+)?([eE][+-]?\d+)?)$')
     return ~F.coalesce(empty, F.lit(True))
 
 
@@ -136,7 +125,7 @@ def present_text(*values: Column) -> Column:
 
 def link_by_rel(links: Column, rel: str) -> Column:
     """The first object of a list whose rel is the one asked for, as a map."""
-    match = F.filter(as_list(links), lambda x: is_object(x) & (kind(F.try_variant_get(x, "$.rel", "variant")) == "STRING") & (F.try_variant_get(x, "$.rel", "string") == rel))
+    match = F.filter(as_list(links), lambda x: F.to_json(F.try_variant_get(x, "$.rel", "variant")) == json.dumps(rel))
     return as_object(F.get(match, 0))
 
 
@@ -163,17 +152,15 @@ def panoramic(props: Column, fov: Column) -> Column:
 
 def _whole(v: Column) -> Column:
     """An integer value (booleans included) as bigint; null for other types."""
-    k = kind(v)
-    return F.when(k == "BIGINT", F.try_variant_get(v, "$", "bigint")).when(k == "BOOLEAN", F.try_variant_get(v, "$", "boolean").cast("bigint"))
+    text = F.to_json(v)
+    return F.coalesce(text.try_cast("bigint"), text.try_cast("boolean").cast("bigint"))
 
 
 def _coerced(v: Column) -> Column:
     """A value turned into an integer: numbers truncated, integer strings read."""
-    k = kind(v)
     digits = strip(F.try_variant_get(v, "$", "string"))
-    text = F.when((k == "STRING") & digits.rlike(r"^[+-]?[0-9]+(_[0-9]+)*$"), F.regexp_replace(digits, "_", "").try_cast("bigint"))
-    number = F.when(k.isin("DOUBLE", "FLOAT") | k.startswith("DECIMAL"), F.try_variant_get(v, "$", "double").try_cast("bigint"))
-    return F.coalesce(_whole(v), number, text)
+    spelled = F.when(digits.rlike(r"^[+-]?[0-9]+(_[0-9]+)*$") & (kind(v) == "STRING"), F.regexp_replace(digits, "_", "").try_cast("bigint"))
+    return F.coalesce(_whole(v), F.to_json(v).try_cast("double").try_cast("bigint"), spelled)
 
 
 def _pair(w: Column, h: Column) -> Column:
@@ -185,12 +172,8 @@ def dimensions(props: Column, assets: Column) -> Column:
     or the first asset (in document order) with whole numbers for both."""
     shape = as_list(get(props, "proj:shape"))
     by_shape = _pair(_coerced(F.get(shape, 1)), _coerced(F.get(shape, 0)))
-    image = get(props, "geovisio:image")
-    by_image = F.when(is_object(image), _pair(_whole(F.try_variant_get(image, "$.width", "variant")), _whole(F.try_variant_get(image, "$.height", "variant"))))
-    sizes = F.transform(
-        F.map_values(assets),
-        lambda a: F.when(is_object(a), _pair(_whole(F.try_variant_get(a, "$.width", "variant")), _whole(F.try_variant_get(a, "$.height", "variant")))),
-    )
+    size = lambda v: _pair(_whole(F.try_variant_get(v, "$.width", "variant")), _whole(F.try_variant_get(v, "$.height", "variant")))
+    by_image, sizes = size(get(props, "geovisio:image")), F.transform(F.map_values(assets), size)
     by_asset = F.get(F.filter(sizes, lambda x: x.isNotNull()), 0)
     return F.coalesce(by_shape, by_image, by_asset)
 

@@ -22,8 +22,8 @@ The contexts are counted in Spark, in whole numbers:
    each with the vectors; the block's word numbers travel along, sorted within segments, and are pooled then.
 
 A vector is kept in four bits a dimension: exact up to sums of 7, above scaled to 7
-(only its direction is used).  There are as many shards as shuffle partitions, so a
-shard shrinks as that setting grows with the input.
+(only its direction is used).  There is a shard for every
+``SHARD`` bytes of text, and as many as shuffle partitions at least, so shards keep their size as the input grows.
 
 Inputs of a score are the words of the text alone, never labels, language,
 source or id.  The network is fitted on at most ``SAMPLE`` labelled rows; contexts and
@@ -61,6 +61,8 @@ SEGMENT = 40
 REACH = 2
 STEP_WORDS = 1 << 17
 BLOCK = 12 << 20
+#: Bytes of text for each shard, at most.
+SHARD = 16 << 20
 HIDDEN = 32
 _U = np.uint64
 
@@ -511,15 +513,18 @@ def _finish(held, keys: list[str], out: str):
 
 
 def score(docs: DataFrame, model: Model, *, text: str = "text", out: str = "score", keys: tuple[str, ...] | None = None, shards: int | None = None, block: int = BLOCK) -> DataFrame:
-    """docs (its columns ``keys``, if given) with the calibrated probability of good quality in ``out``."""
+    """docs (its columns ``keys``, if given) with the calibrated probability of good quality in ``out``.  Unless
+    ``shards`` is given, the texts' bytes are added up first: there is a shard for every ``SHARD`` of them at least."""
     spark = docs.sparkSession
     keep = [c for c in keys or docs.columns if c.lower() != out.lower()]
     if isinstance(model, float):
         return docs.select(*keep, F.lit(model).alias(out))
-    shards = shards or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     held = spark.sparkContext.broadcast(model)
     names = [f"key{i}" for i in range(len(keep))]
     rows = docs.select(*[F.col(c).alias(n) for c, n in zip(keep, names)], F.col(text).cast("string").alias("text"))
+    if not shards:
+        size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+        shards = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // SHARD))
     served = rows.mapInArrow(_ask(held, names, shards, block), _REQUEST).groupBy("shard").applyInArrow(_serve, _ANSWER)
     schema = StructType([StructField(n, docs.schema[c].dataType) for c, n in zip(keep, names)] + [StructField("score", DoubleType())])
     done = served.groupBy("block").applyInArrow(_finish(held, names, "score"), schema)

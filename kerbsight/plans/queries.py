@@ -363,9 +363,9 @@ def preview_results(spark: SparkSession, sf_dir: str) -> DataFrame:
 def survey_file_shortlist(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The shortlist of a survey document: told in pieces to a file, read back by Spark."""
     rows = survey.survey(fixtures.json_pages(spark, sf_dir), TARGET, limit=None)
-    path = f"{fixtures.scratch(spark, 'survey').removeprefix('file://')}/survey.json"
+    path = f"{fixtures.scratch(spark, 'survey')}/survey.json"
     documents.write_text(path, documents.survey_text(rows, documents.survey_head(rows, TARGET)))
-    found = recorded.survey_document(spark, f"file://{path}")
+    found = recorded.survey_document(spark, path if "://" in path else f"file://{path}")
     return shortlist.shortlist(found).select("rank", "tier", "source_id", "sequence_id", "distance_m", "view_class", "target_in_fov", "heading_error_deg")
 
 

@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterable, Iterator
-from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -88,16 +87,20 @@ def survey_text(rows: DataFrame, head: dict) -> Iterator[str]:
 
 
 def write_text(path: str, text: str | Iterable[str]) -> None:
-    """Writes beside the path first, so a job that fails leaves an older document as it was."""
-    folder = Path(path).parent
-    folder.mkdir(parents=True, exist_ok=True)
-    pending = folder / f".{Path(path).name}.pending"
+    """Writes beside the path first (a path, or a URI of a shared store), so a job that fails leaves an older
+    document as it was."""
+    fs, place = files.file_system(path)
+    folder, _, name = place.rpartition("/")
+    pending = f"{folder or '.'}/.{name}.pending"
+    fs.create_dir(folder or ".", recursive=True)
     try:
-        with open(pending, "w", encoding="utf-8", newline="\n") as f:
-            f.writelines([text] if isinstance(text, str) else text)
-        pending.replace(path)
-    finally:
-        pending.unlink(missing_ok=True)
+        with fs.open_output_stream(pending) as f:
+            for piece in [text] if isinstance(text, str) else text:
+                f.write(piece.encode("utf-8"))
+    except BaseException:
+        fs.delete_file(pending)
+        raise
+    fs.move(pending, place)
 
 
 def write_preview(results: DataFrame, folder: str, *, source: str, max_items: int, per_sequence: int) -> dict:

@@ -151,6 +151,8 @@ def test_a_document_that_fails_leaves_the_old_one(tmp_path):
     with pytest.raises(ValueError):
         documents.write_text(str(path), text())
     assert path.read_text() == "old" and tree(tmp_path) == ["x/s.json"]
+    documents.write_text(f"file://{path}", iter(["é", "\n"]))
+    assert path.read_bytes() == "é\n".encode() and tree(tmp_path) == ["x/s.json"]
 
 
 def test_manifest_of_many_thumbnails(spark, tmp_path):

@@ -100,10 +100,10 @@ def encode(data: np.ndarray, doc_start: np.ndarray, unit: str = "word") -> Runs:
     return Runs(start, units, unit_bytes, unit_chars, total, counted[:-1], upto[first], counted[first], doc_start)
 
 
-def _transform(key_hash: list[str], unit: str, rate: int, spm: int):
+def _transform(text_name: str, hashes: list[str], unit: str, rate: int, spm: int):
     def step(batch: pa.RecordBatch) -> dict[str, pa.Array]:
-        data, off = buffers(base.column(batch, key_hash[1]))
-        h = [np.asarray(base.column(batch, c)) for c in key_hash[2:]]
+        data, off = buffers(base.column(batch, text_name))
+        h = [np.asarray(base.column(batch, c)) for c in hashes]
         runs = encode(data, off, unit)
         n, doc = runs.n, np.arange(len(off) - 1)
         x, y = h[0] % (n + 1), h[1] % (n + 1)
@@ -141,15 +141,12 @@ def transform(docs: DataFrame, *, key: str = "doc_id", text: str = "text", unit:
         raise ValueError(f"no such unit: {unit!r}")
     digest = F.sha2(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(key).cast("string"), F.lit(""))), 256)
     kept = docs.columns if keep is None else keep
-    names = ["digest"]
-    for name in ("fim_text", "h1", "h2", "h3", "h4"):
-        names.append(base.free_name(docs, name))
-    names[0] = base.free_name(docs, "fim_digest")
-    rows = docs.withColumn(names[1], F.col(text).cast("string")).withColumn(names[0], digest)
-    for k, name in enumerate(names[2:]):
-        rows = rows.withColumn(name, F.conv(F.substring(names[0], 8 * k + 1, 8), 16, 10).cast("long"))
-    rows = rows.select(*dict.fromkeys(kept), *names[1:])
-    return base.map_arrow(rows, _transform(names, unit, rate, spm), RESULT, keep=kept)
+    digest_name, text_name, *hashes = (base.free_name(docs, n) for n in ("fim_digest", "fim_text", "h1", "h2", "h3", "h4"))
+    rows = docs.withColumn(text_name, F.col(text).cast("string")).withColumn(digest_name, digest)
+    for k, name in enumerate(hashes):
+        rows = rows.withColumn(name, F.conv(F.substring(digest_name, 8 * k + 1, 8), 16, 10).cast("long"))
+    rows = rows.select(*dict.fromkeys(kept), text_name, *hashes)
+    return base.map_arrow(rows, _transform(text_name, hashes, unit, rate, spm), RESULT, keep=kept)
 
 
 def restore(fim: Column, form: Column) -> Column:

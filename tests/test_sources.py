@@ -304,3 +304,15 @@ def test_one_target_of_many_is_that_target(spark):
     one = survey.candidates(rows, t)
     many = survey.candidates_of_targets(rows, spark.createDataFrame([(1, t.latitude, t.longitude, t.radius_m)], "target_id int, latitude double, longitude double, radius_m double")).drop("target_id")
     assert one.count() == many.count() == 230 and one.exceptAll(many).isEmpty()
+
+
+def test_circles_meet_few_points_outside_them(spark):
+    """Cells are fine for the circle, and the join deals its work out even where both sides are small."""
+    rows, targets = fixtures.typed_items(spark, SF), fixtures.targets(spark, SF)
+    found = survey.candidates_of_targets(rows, targets)
+    circles = targets.select(geo.level_of_radius("radius_m").alias("level"), F.explode(geo.cells_of_circle("latitude", "longitude", "radius_m")).alias("cell"))
+    met = 0
+    for (level,) in circles.select("level").distinct().collect():
+        met += rows.select(geo.cell_of_point("latitude", "longitude", level).alias("cell")).join(circles.where(F.col("level") == level), "cell").count()
+    assert 0 < found.count() <= met < 3 * found.count()
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()

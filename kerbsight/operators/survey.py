@@ -221,10 +221,15 @@ def around(pictures: DataFrame, target: Target, *, limit: int | None = 2000, box
     return ordered(candidates(items(first, endpoint=endpoint), target, license_id=F.lit(license_id), license_url=F.lit(license_url)))
 
 
-def survey(pages: DataFrame, target: Target, *, limit: int | None = 2000, endpoint: str = schemas.ENDPOINT, license_id: str | None = None, license_url: str | None = None) -> DataFrame:
-    """Ordered candidates of recorded search pages (page_no, body).  First places are found by ids alone;
+def of_pages(pages: DataFrame, target: Target, *, limit: int | None = 2000, endpoint: str = schemas.ENDPOINT, license_id: str | None = None, license_url: str | None = None) -> DataFrame:
+    """Candidates of recorded search pages (page_no, body), unordered.  First places are found by ids alone;
     features meet them as typed rows, and only those within the radius."""
     places = limit_first(first_places(shredded(pages, stac.FEATURE_ID)), limit)
     first = dedupe_first(items(shredded(pages), endpoint=endpoint, carry=("place",)), places)
-    found = candidates(first, target, license_id=F.lit(license_id), license_url=F.lit(license_url))
-    return ordered(found)
+    return candidates(first, target, license_id=F.lit(license_id), license_url=F.lit(license_url))
+
+
+def survey(pages: DataFrame, target: Target, **named) -> DataFrame:
+    """The same, ordered.  Sorting samples the rows first, so the pages are read once more: where another order
+    follows, as in a shortlist, take ``of_pages``."""
+    return ordered(of_pages(pages, target, **named))

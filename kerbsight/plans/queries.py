@@ -361,11 +361,13 @@ def preview_results(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"{_SHORT} select cast(rank as int) as rank, tier, source_id, sequence_id, distance_m, view_class, target_in_fov, heading_error_deg from short")
 def survey_file_shortlist(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The shortlist of a survey document: told in pieces to a file, read back by Spark."""
-    rows = survey.survey(fixtures.json_pages(spark, sf_dir), TARGET, limit=None)
-    path = f"{fixtures.scratch(spark, 'survey')}/survey.json"
-    documents.write_text(path, documents.survey_text(rows, documents.survey_head(rows, TARGET)))
-    found = recorded.survey_document(spark, path if "://" in path else f"file://{path}")
+    """The shortlist of a survey in parts: told to files by the tasks, read back by Spark."""
+    folder = fixtures.scratch(spark, "survey")
+    folder = folder if "://" in folder else f"file://{folder}"
+    survey.of_pages(fixtures.json_pages(spark, sf_dir), TARGET, limit=None).write.parquet(f"{folder}/rows")
+    rows = survey.ordered(spark.read.parquet(f"{folder}/rows"))
+    documents.write_survey(rows, documents.survey_head(rows, TARGET), f"{folder}/document")
+    found = recorded.survey_document(spark, f"{folder}/document")
     return shortlist.shortlist(found).select("rank", "tier", "source_id", "sequence_id", "distance_m", "view_class", "target_in_fov", "heading_error_deg")
 
 

@@ -1,9 +1,8 @@
 """Documents: survey JSON, manifest JSON, gallery HTML.
 
 Formatted byte for byte: sorted keys, two spaces, non-ASCII as it is, one newline at the end.  Rows become
-text in the tasks that hold them and reach the driver in order, a partition at a time, so a document may be
-longer than the driver's memory; pictures are written by the tasks.  Bulk candidates stay in DataFrames (write
-them as Parquet or JSON lines).
+text in the tasks that hold them.  The text of one document reaches the driver in order, a partition at a time;
+a survey of any length is a folder of documents (``write_survey``), written by the tasks as pictures are.
 """
 
 from __future__ import annotations
@@ -12,6 +11,7 @@ import json
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,19 +23,30 @@ from . import files
 STYLE = "body{font:15px sans-serif;margin:2em}.grid{display:flex;flex-wrap:wrap;gap:1em}figure{margin:0;width:20em;border:1px solid #ccc}img,.missing{width:100%;height:13em;object-fit:cover}"
 
 
+#: A document of a survey in parts ends once its items have so many characters.
+PART_CHARS = 4 << 20
+
+
 def to_text(document: dict) -> str:
     return json.dumps(document, ensure_ascii=False, indent=2, sort_keys=True) + "\n"
 
 
+def _item_texts(batches: Iterable[pa.RecordBatch], dropped: tuple[str, ...] = ()) -> Iterator[str]:
+    """Each row as the text of an item of a list.  dropped: keys left out where null."""
+    for batch in batches:
+        for i in range(0, batch.num_rows, 1024):
+            for r in batch.slice(i, 1024).to_pylist():
+                found = {k: v for k, v in r.items() if not (v is None and k in dropped)}
+                yield "    " + to_text(found)[:-1].replace("\n", "\n    ")
+
+
 def _row_texts(rows: DataFrame, dropped: tuple[str, ...] = ()) -> Iterator[str]:
-    """Each row as the text of an item of a list, in the order of rows.  dropped: keys left out where null."""
+    """The items' texts at the driver, in the order of rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(0, batch.num_rows, 1024):
-                found = [{k: v for k, v in r.items() if not (v is None and k in dropped)} for r in batch.slice(i, 1024).to_pylist()]
-                texts = ["    " + to_text(r)[:-1].replace("\n", "\n    ") for r in found]
-                yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], names=["text"])
+                yield pa.RecordBatch.from_arrays([pa.array(_item_texts([batch.slice(i, 1024)], dropped), pa.string())], names=["text"])
 
     return (r.text for r in rows.mapInArrow(run, "text string").toLocalIterator())
 
@@ -86,6 +97,39 @@ def survey_text(rows: DataFrame, head: dict) -> Iterator[str]:
     return _with_lists(head, {"candidates": _row_texts(rows), "sequences": _row_texts(summary.ordered_sequences(rows))})
 
 
+def _part_files(rows: DataFrame, key: str) -> DataFrame:
+    """(name, content): survey documents that list the rows under key, a share each; their names ascend in the order of rows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, n = TaskContext.get().partitionId(), 0
+        items, chars = [], 0
+
+        def told() -> pa.RecordBatch:
+            content = "".join(_with_lists({"candidates": (), "sequences": ()}, {key: items})).encode("utf-8")
+            return pa.RecordBatch.from_pydict({"name": [f"{key}-{part:06d}-{n:06d}.json"], "content": pa.array([content], pa.binary())})
+
+        for text in _item_texts(batches):
+            items.append(text)
+            chars += len(text)
+            if chars >= PART_CHARS:
+                yield told()
+                items, chars, n = [], 0, n + 1
+        if items:
+            yield told()
+
+    return rows.mapInArrow(run, "name string, content binary")
+
+
+def write_survey(rows: DataFrame, head: dict, folder: str) -> None:
+    """A survey of ordered candidates as a folder of survey documents, for any number of rows: the head with empty
+    lists, and the lists in parts of bounded length, written by the tasks that hold them.  Rows are read several times:
+    store them.  The head is written last."""
+    rows.sparkSession.dataSource.register(files.FileSink)
+    for key, listed in (("candidates", rows), ("sequences", summary.ordered_sequences(rows))):
+        _part_files(listed, key).write.format("named_files").mode("append").save(folder)
+    write_text(f"{folder}/head.json", to_text(head | {"candidates": (), "sequences": ()}))
+
+
 def write_text(path: str, text: str | Iterable[str]) -> None:
     """Writes beside the path first (a path, or a URI of a shared store), so a job that fails leaves an older
     document as it was."""

@@ -20,9 +20,9 @@ def pages(spark: SparkSession, path: str) -> DataFrame:
 
 
 def survey_document(spark: SparkSession, path: str) -> DataFrame:
-    """The candidates of a survey document; without a candidate list, a ValueError."""
+    """The candidates of a survey document, or of a folder of them; if one has no candidate list, a ValueError."""
     text = spark.read.text(path, wholetext=True)
-    if not text.select(F.coalesce(F.startswith(F.schema_of_variant(F.try_variant_get(F.try_parse_json("value"), "$.candidates", "variant")), F.lit("ARRAY")), F.lit(False)).alias("ok")).first()["ok"]:
+    if not text.select(F.coalesce(F.startswith(F.schema_of_variant(F.try_variant_get(F.try_parse_json("value"), "$.candidates", "variant")), F.lit("ARRAY")), F.lit(False)).alias("ok")).agg(F.min("ok").alias("ok")).first()["ok"]:
         raise ValueError("not a survey document: it lists no candidates")
     rows = spark.read.json(path, multiLine=True, schema=f"candidates array<struct<{', '.join(f'{f.name}: {f.dataType.simpleString()}' for f in CANDIDATE)}>>")
     return rows.select(F.posexplode("candidates").alias("input_pos", "c")).where("c is not null").select("c.*")

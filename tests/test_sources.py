@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from kerbsight.functions import geo
 from kerbsight.operators import preview, survey
 from kerbsight.plans import fixtures
-from kerbsight.sources import documents, files, http
+from kerbsight.sources import documents, files, http, recorded
 
 SF = "/root/testdata/sf0.001"
 
@@ -140,6 +140,28 @@ def test_survey_text_is_the_document(spark, n):
     assert "".join(pieces) == want and len(json.loads(want)["candidates"]) == n and len(pieces) > n
 
 
+@pytest.mark.parametrize("chars", [1, 3000, documents.PART_CHARS])
+def test_a_survey_in_parts_is_the_survey(spark, tmp_path, monkeypatch, chars):
+    """Parts of bounded length, written by tasks: no row comes to the driver, and no task reads all of them."""
+    rows = survey.ordered(survey.candidates(fixtures.typed_items(spark, SF), fixtures.TARGET).withColumn("captured_at", F.lit('é "candidates": []\n')))
+    want = documents.survey_document(rows, fixtures.TARGET)
+    monkeypatch.setattr(documents, "PART_CHARS", chars)
+    monkeypatch.setattr("pyspark.sql.DataFrame.toLocalIterator", None)
+    head = documents.survey_head(rows, fixtures.TARGET)
+    for k, told in enumerate((rows, rows.limit(0))):
+        documents.write_survey(told, head, f"file://{tmp_path}/{k}")
+        parts = [json.loads(p.read_text()) for p in sorted((tmp_path / str(k)).iterdir())]
+        assert all((tmp_path / str(k) / p).stat().st_size < chars + 3000 for p in os.listdir(tmp_path / str(k)))
+        lists = {key: [x for p in parts for x in p[key]] for key in ("candidates", "sequences")}
+        assert lists == ({key: want[key] for key in lists} if k == 0 else {"candidates": [], "sequences": []})
+        assert json.loads((tmp_path / str(k) / "head.json").read_text()) == want | {"candidates": [], "sequences": []}
+        back = recorded.survey_document(spark, f"{tmp_path}/{k}")
+        assert back.exceptAll(told).isEmpty() and told.exceptAll(back).isEmpty()
+    (tmp_path / "0/z.json").write_text("{}")
+    with pytest.raises(ValueError):
+        recorded.survey_document(spark, f"{tmp_path}/0")
+
+
 def test_a_document_that_fails_leaves_the_old_one(tmp_path):
     path = tmp_path / "x/s.json"
     documents.write_text(str(path), "old")

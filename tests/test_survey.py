@@ -204,3 +204,13 @@ def test_search_past_the_page_cap_is_an_error(monkeypatch):
     assert [n for n, _ in http.search_pages(ask(9), "https://e", 1.0, 2.0, 10.0, limit=3)] == [0, 1, 2]
     with pytest.raises(http.ProviderError):
         list(http.search_pages(ask(9), "https://e", 1.0, 2.0, 10.0, limit=50))
+
+
+def reads_once(df):
+    """Pages are read for their ids and for their features, and neither again: no second shortlist, no sorted survey below it."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return plan.count("Scan parquet") == 2 and "rangepartitioning" not in plan
+
+
+def test_preview_results_read_the_pages_once(spark):
+    assert reads_once(Q.preview_results(spark, SF))

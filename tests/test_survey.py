@@ -214,3 +214,7 @@ def reads_once(df):
 
 def test_preview_results_read_the_pages_once(spark):
     assert reads_once(Q.preview_results(spark, SF))
+
+
+def test_manifest_counts_read_the_pages_once(spark):
+    assert reads_once(Q.manifest_counts(spark, SF))

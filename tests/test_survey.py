@@ -218,3 +218,7 @@ def test_preview_results_read_the_pages_once(spark):
 
 def test_manifest_counts_read_the_pages_once(spark):
     assert reads_once(Q.manifest_counts(spark, SF))
+
+
+def test_gallery_cards_read_the_pages_once(spark):
+    assert reads_once(Q.gallery_cards(spark, SF))

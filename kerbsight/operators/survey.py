@@ -70,8 +70,9 @@ def first_places(rows: DataFrame) -> DataFrame:
 
 
 def dedupe_first(rows: DataFrame, places: DataFrame | None = None) -> DataFrame:
-    """The first feature of each id in page order.  places: where those are, if known from elsewhere."""
-    return rows.join(first_places(rows) if places is None else places, "place", "left_semi")
+    """The first feature of each id in page order.  places: where those are, if known from elsewhere.  They are as many
+    as the ids, though Spark may reckon them small: never broadcast, as that would pass them all through the driver."""
+    return rows.join((first_places(rows) if places is None else places).hint("merge"), "place", "left_semi")
 
 
 def limit_first(places: DataFrame, limit: int | None) -> DataFrame:

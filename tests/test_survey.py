@@ -222,3 +222,8 @@ def test_manifest_counts_read_the_pages_once(spark):
 
 def test_gallery_cards_read_the_pages_once(spark):
     assert reads_once(Q.gallery_cards(spark, SF))
+
+
+def test_first_places_are_never_broadcast(spark):
+    found = survey.of_pages(fixtures.json_pages(spark, SF), fixtures.TARGET, limit=None)
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .survey import positive
+from .survey import fence, positive
 
 MAX_ITEMS, PER_SEQUENCE = 24, 4
 NO_ERROR = 999.0
@@ -19,7 +19,8 @@ def tier(panoramic: Column, view: Column, in_fov: Column) -> Column:
 
 
 def tiered(rows: DataFrame) -> DataFrame:
-    return rows.withColumn("tier", tier(F.col("panoramic"), F.col("view_class"), F.col("target_in_fov"))).where("tier is not null")
+    """Behind a fence: pushed below the angles, the filter would evaluate them many times over."""
+    return fence(rows.withColumn("tier", tier(F.col("panoramic"), F.col("view_class"), F.col("target_in_fov")))).where("tier is not null")
 
 
 def _keys() -> list[Column]:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from kerbsight import schemas
+from kerbsight.functions import stac
 from kerbsight.operators import preview, shortlist, summary, survey
 from kerbsight.plans import fixtures
 from kerbsight.plans import queries as Q
@@ -227,3 +228,31 @@ def test_gallery_cards_read_the_pages_once(spark):
 def test_first_places_are_never_broadcast(spark):
     found = survey.of_pages(fixtures.json_pages(spark, SF), fixtures.TARGET, limit=None)
     assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_only_features_within_the_radius_are_typed_and_exchanged(spark):
+    found = survey.of_pages(fixtures.json_pages(spark, SF), fixtures.TARGET, limit=None)
+    _, below = found._jdf.queryExecution().executedPlan().toString().split("Exchange hashpartitioning(place", 1)
+    assert "distance_m" in below.split("\n", 1)[1].split("Exchange hashpartitioning(page_no", 1)[0]
+
+
+def test_first_wins_even_outside_the_radius(spark):
+    at = lambda i, lat, more="": f'{{"id":{json.dumps(i)},"geometry":{{"coordinates":[6.0,{lat}]}}{more}}}'
+    pages = [
+        (0, '{"features":[' + ",".join([at("far-first", 50.0), at("near-first", 45.0), at("blank", '" 45.0 "'), at(" ", 45.0), at("lost", '"x"')]) + "]}"),
+        (1, '{"features":[' + ",".join([at("far-first", 45.0), at("near-first", 50.0), at("edge", 45.0, ',"links":[{"rel":"self","href":"https://h/e"}]'), at("lost", 45.0)]) + "]}"),
+    ]
+    found = survey.of_pages(spark.createDataFrame(pages, "page_no long, body string"), survey.Target(45.0, 6.0, 10.0), limit=None)
+    assert {(r.source_id, r.latitude, r.source_url.rsplit("/", 1)[1]) for r in found.collect()} == {("near-first", 45.0, "near-first"), ("blank", 45.0, "blank"), ("edge", 45.0, "e")}
+
+
+def test_pages_are_parsed_once_for_each_use(spark):
+    rows = survey.shredded(spark.createDataFrame([(0, '{"features":[{"id":1}]}')], "page_no long, body string"), stac.FEATURE_ID)
+    generated = [line for line in rows._jdf.queryExecution().optimizedPlan().toString().splitlines() if "posexplode" in line]
+    assert len(generated) == 1 and generated[0].count("features,ArrayType(StructType(StructField(id") == 1
+
+
+def test_tiers_do_not_repeat_the_bearing(spark):
+    found = survey.candidates(fixtures.typed_items(spark, SF), fixtures.TARGET)
+    plans = [rows._jdf.queryExecution().executedPlan().toString().upper().count("ATAN2(") for rows in (found, shortlist.tiered(found))]
+    assert plans[0] == plans[1] > 0

@@ -67,3 +67,14 @@ def test_covering_box_holds_the_circle(spark, lat, radius):
 def test_expressions_stay_native(spark):
     plan = spark.range(3).select(geo.haversine_m(1.0, 2.0, F.col("id"), F.col("id")))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "*(1)" in plan
+
+
+def test_thousandths_are_rounded_numbers(spark):
+    rows = spark.range(200_000).select((F.col("id") / 2000.0).alias("x")).union(spark.range(20_000).select((F.rand(3) * 400.0).alias("x"))).union(spark.range(20_000).select((F.rand(4) * 2e7).alias("x")))
+    ties = rows.union(spark.createDataFrame([(0.0,), (1.0005,), (2.0005,), (359.9995,), (0.0004999999999999999,), (20015114.3525,), (float("nan"),), (None,)], "x double"))
+    assert ties.where(~geo.thousandths("x").eqNullSafe(F.round("x", 3))).isEmpty()
+
+
+def test_once_around_is_the_remainder(spark):
+    rows = spark.createDataFrame([(x,) for x in (-359.5, -0.25, 0.0, 12.5, 359.75, 360.0, 540.0, 719.5, float("nan"), None)], "x double")
+    assert rows.where(~geo.once_around("x").eqNullSafe(geo.floor_mod("x", 360.0))).isEmpty()

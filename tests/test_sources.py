@@ -338,3 +338,39 @@ def test_circles_meet_few_points_outside_them(spark):
         met += rows.select(geo.cell_of_point("latitude", "longitude", level).alias("cell")).join(circles.where(F.col("level") == level), "cell").count()
     assert 0 < found.count() <= met < 3 * found.count()
     assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_the_radius_holds_to_the_millimetre(spark):
+    """A pair is told from its chord, but for those about a radius away: there the rounded distance decides."""
+    r = random.Random(6)
+    spots = [(r.uniform(-89, 89), r.uniform(-180, 180)) for _ in range(60)]
+    pairs = [(p, (p[0] + r.gauss(0, d), p[1] + r.gauss(0, d))) for p in spots for d in (1e-7, 1e-4, 0.05, 0.7, 12.0) if abs(p[0]) < 45 or d < 1]
+    rows = spark.createDataFrame([(f"p{k}", min(90.0, q[0]), q[1], 10.0, 60.0, None, None) for k, (_, q) in enumerate(pairs)], "source_id string, latitude double, longitude double, heading_deg double, field_of_view_deg double, panoramic boolean, sequence_id string")
+    far = {r.source_id: r.m for r in rows.join(spark.createDataFrame([(f"p{k}", *p) for k, (p, _) in enumerate(pairs)], "source_id string, a double, b double"), "source_id").select("source_id", F.round(geo.haversine_m("a", "b", "latitude", "longitude"), 3).alias("m")).collect()}
+    given = [(3 * k + j, *p, far[f"p{k}"] + (j - 1) / 1000) for k, (p, _) in enumerate(pairs) for j in range(3)]
+    found = survey.candidates_of_targets(rows, spark.createDataFrame(given, "target_id int, latitude double, longitude double, radius_m double")).collect()
+    own = {(x.target_id, x.source_id): x.distance_m for x in found if x.source_id == f"p{x.target_id // 3}"}
+    assert own == {(t, f"p{t // 3}"): far[f"p{t // 3}"] for t, _, _, m in given if m > 0 and far[f"p{t // 3}"] <= m}
+
+
+def test_pairs_are_told_in_compiled_code(spark):
+    """The JVM compiles no method above 8,000 bytes of code, and a generator above the join would make each pair again."""
+    on = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        found = survey.candidates_of_targets(fixtures.typed_items(spark, SF), fixtures.targets(spark, SF)).select("target_id", "source_id", "distance_m", "target_bearing_deg", "view_class")
+        told = spark._jvm.PythonSQLUtils.explainString(found._jdf.queryExecution(), "codegen")
+        plan = found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", on)
+    sizes = [int(x.split(";")[0]) for x in told.split("maxMethodCodeSize:")[1:]]
+    assert len(sizes) > 4 and 0 < max(sizes) < 8000
+    assert "Generate" not in plan[: plan.index("SortMergeJoin")] and "Generate" in plan
+
+
+def test_items_without_a_position_are_near_nothing(spark):
+    rows = [("here", 45.0, 6.0, 1), ("none", None, 6.0, 2), ("half", 45.0, None, 3), ("nan", float("nan"), 6.0, 4), ("nan too", 45.0, float("nan"), 5)]
+    items = spark.createDataFrame(rows, "source_id string, latitude double, longitude double, level int").selectExpr("*", "cast(null as double) heading_deg", "90D field_of_view_deg", "cast(null as boolean) panoramic", "'s' sequence_id")
+    targets = spark.createDataFrame([(1, 45.0, 6.0, 5.0), (2, 45.0, 6.0, float("nan")), (3, 45.0, 6.0, 3e7), (4, -90.0, -180.0, 5.0)], "target_id int, latitude double, longitude double, radius_m double")
+    found = survey.candidates_of_targets(items, targets)
+    assert sorted((x.target_id, x.source_id, x.view_class, x.distance_m, x.heading_error_deg) for x in found.collect()) == [(1, "here", "unknown", 0.0, None), (3, "here", "unknown", 0.0, None)]
